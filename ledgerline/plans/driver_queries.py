@@ -30,3 +30,61 @@ QUERIES = {
     "candidate_committee_details": q_candidate_committee_details,
     "top_contributors": q_top_contributors,
 }
+
+
+# --- dimensions and flat receipts -------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import dims, lookup, receipts as receipts_op  # noqa: E402
+from ..operators.common import union_all  # noqa: E402
+
+
+def _candidate_dim(spark, sf_dir):
+    return dims.build_candidate_dim(standins.candidate_master(spark, sf_dir))
+
+
+def _committee_dim(spark, sf_dir):
+    return dims.build_committee_dim(standins.committee_master(spark, sf_dir))
+
+
+def _candidate_committees(spark, sf_dir):
+    return dims.build_candidate_committees(standins.candidate_links(spark, sf_dir), _committee_dim(spark, sf_dir))
+
+
+def _flat(spark, sf_dir):
+    return receipts_op.build_schedule_a_flat(
+        standins.raw_receipts(spark, sf_dir),
+        _candidate_committees(spark, sf_dir),
+        _candidate_dim(spark, sf_dir),
+        _committee_dim(spark, sf_dir),
+    )
+
+
+def q_dim_dedup(spark, sf_dir):
+    """The candidate dimension, one row per (cand, cycle)."""
+    return _candidate_dim(spark, sf_dir)
+
+
+def q_committee_roles(spark, sf_dir):
+    """Deduplicated links with roles and committee attributes."""
+    return _candidate_committees(spark, sf_dir)
+
+
+def q_receipts_flat(spark, sf_dir):
+    """Flat receipts, summarised per back-filled attributes."""
+    flat = _flat(spark, sf_dir)
+    return flat.groupBy(
+        "candidate_id", "candidate_name", "candidate_office", "recipient_committee_type",
+        "recipient_committee_designation", "two_year_transaction_period",
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.col("contribution_receipt_amount").cast("decimal(38,2)")).cast("double").alias("amount"),
+    )
+
+
+QUERIES.update({
+    "dim_dedup": q_dim_dedup,
+    "committee_roles": q_committee_roles,
+    "receipts_flat": q_receipts_flat,
+})

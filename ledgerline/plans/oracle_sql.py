@@ -68,3 +68,140 @@ FROM (
   FROM t
 ) WHERE rk <= 20
 """
+
+# --- dimensions and flat receipts -------------------------------------------
+
+_CANDIDATE_MASTER = """
+  SELECT o.o_orderkey, o.o_custkey AS CAND_ID,
+         CAST(year(o.o_orderdate) + year(o.o_orderdate) % 2 AS INTEGER) AS cycle,
+         c.c_name AS CAND_NAME, c.c_mktsegment AS CAND_PTY_AFFILIATION,
+         (['P','S','H','X', NULL::VARCHAR])[n.n_regionkey + 1] AS CAND_OFFICE,
+         n.n_name AS CAND_OFFICE_ST, o.o_orderstatus AS CAND_OFFICE_DISTRICT,
+         CAST(year(o.o_orderdate) AS VARCHAR) AS CAND_ELECTION_YR,
+         o.o_orderstatus AS CAND_ICI, o.o_orderstatus AS CAND_STATUS, CAST(NULL AS VARCHAR) AS CAND_PCC
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
+def name_parts_ctes(src: str, name_col: str) -> str:
+    """C1 (ASCII) + C3 as CTE steps over ``src``; the last CTE is ``np``."""
+    return f"""
+np1 AS (SELECT *, upper(trim(regexp_replace({name_col}, '\\s+', ' ', 'g'))) AS normalized_name FROM {src}),
+np2 AS (SELECT *, list_transform(string_split(normalized_name, ','), lambda p: trim(p)) AS np_parts FROM np1),
+np3 AS (SELECT *, list_filter(string_split(np_parts[1], ' '), lambda t: t <> '') AS np_toks,
+               list_filter(string_split(coalesce(np_parts[2], ''), ' '), lambda t: t <> '') AS np_rest FROM np2),
+np4 AS (SELECT *, (len(np_rest) > 0 AND np_rest[1] IN ('DR','HON','GOV','SEN','REP')) AS np_has_prefix FROM np3),
+np5 AS (SELECT *, CASE WHEN np_has_prefix THEN np_rest[2:] ELSE np_rest END AS np_rest2 FROM np4),
+np6 AS (SELECT *, (len(np_rest2) > 0 AND np_rest2[len(np_rest2)] IN ('JR','SR','II','III','IV')) AS np_has_suffix FROM np5),
+np7 AS (SELECT *, CASE WHEN np_has_suffix THEN np_rest2[1:len(np_rest2)-1] ELSE np_rest2 END AS np_rest3 FROM np6),
+np AS (SELECT *,
+   CASE WHEN normalized_name IS NULL THEN NULL WHEN len(np_parts) = 1 THEN np_toks[1] ELSE np_rest2[1] END AS first_name,
+   CASE WHEN normalized_name IS NULL THEN NULL
+        WHEN len(np_parts) = 1 THEN (CASE WHEN len(np_toks) > 2 THEN array_to_string(np_toks[2:len(np_toks)-1], ' ') END)
+        ELSE (CASE WHEN len(np_rest3) > 1 THEN array_to_string(np_rest3[2:], ' ') END) END AS middle_name,
+   CASE WHEN normalized_name IS NULL THEN NULL
+        WHEN len(np_parts) = 1 THEN (CASE WHEN len(np_toks) > 1 THEN np_toks[len(np_toks)] END)
+        ELSE nullif(np_parts[1], '') END AS last_name,
+   CASE WHEN len(np_parts) > 1 AND np_has_prefix THEN np_rest[1] END AS prefix,
+   CASE WHEN len(np_parts) > 1 AND np_has_suffix THEN np_rest2[len(np_rest2)] END AS suffix
+ FROM np7)"""
+
+
+_CANDIDATE_DIM_CTES = f"""
+cm AS ({_CANDIDATE_MASTER}),
+{name_parts_ctes('cm', 'CAND_NAME')},
+cproj AS (
+  SELECT CAND_ID AS cand_id, cycle, CAND_NAME AS display_name, first_name, middle_name, last_name, prefix, suffix,
+         CAND_PTY_AFFILIATION AS party, CAND_OFFICE AS office, CAND_OFFICE_ST AS state,
+         CAND_OFFICE_DISTRICT AS district, CAND_ELECTION_YR AS candidate_election_year,
+         CAND_ICI AS incumbent_challenger_status, CAND_STATUS AS status, normalized_name,
+         CAND_PCC AS principal_campaign_committee
+  FROM np),
+cdim AS (
+  SELECT * EXCLUDE (rn), concat_ws(' ', normalized_name, display_name) AS search_text,
+         CASE office WHEN 'P' THEN 'President' WHEN 'S' THEN 'Senate' WHEN 'H' THEN 'House' END AS office_full
+  FROM (SELECT *, row_number() OVER (PARTITION BY cand_id, cycle ORDER BY
+          display_name NULLS FIRST, first_name NULLS FIRST, middle_name NULLS FIRST, last_name NULLS FIRST,
+          prefix NULLS FIRST, suffix NULLS FIRST, party NULLS FIRST, office NULLS FIRST, state NULLS FIRST,
+          district NULLS FIRST, candidate_election_year NULLS FIRST, incumbent_challenger_status NULLS FIRST,
+          status NULLS FIRST, normalized_name NULLS FIRST, principal_campaign_committee NULLS FIRST) AS rn
+        FROM cproj) WHERE rn = 1)"""
+
+_COMMITTEE_DIM_CTES = f"""
+rsc AS (SELECT DISTINCT committee_id, two_year_transaction_period FROM ({_RECEIPTS})),
+cmaster AS (
+  SELECT s.s_suppkey AS cmte_id, r.two_year_transaction_period AS cycle, s.s_name AS name,
+         NULL::VARCHAR AS treasurer, NULL::VARCHAR AS street_1, NULL::VARCHAR AS street_2, NULL::VARCHAR AS city,
+         CAST(s.s_nationkey AS VARCHAR) AS state, NULL::VARCHAR AS zip,
+         CASE WHEN s.s_nationkey % 2 = 0 THEN 'U' END AS designation,
+         CASE WHEN s.s_nationkey % 3 = 0 THEN 'N' WHEN s.s_nationkey % 3 = 1 THEN 'Q' END AS committee_type,
+         NULL::VARCHAR AS party_affiliation, NULL::VARCHAR AS filing_frequency, 'C' AS org_type,
+         NULL::VARCHAR AS connected_org, NULL::BIGINT AS principal_candidate_id
+  FROM rsc r JOIN supplier s ON r.committee_id = s.s_suppkey),
+cmdim AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY cmte_id, cycle ORDER BY name NULLS FIRST, treasurer NULLS FIRST,
+       street_1 NULLS FIRST, street_2 NULLS FIRST, city NULLS FIRST, state NULLS FIRST, zip NULLS FIRST,
+       designation NULLS FIRST, committee_type NULLS FIRST, party_affiliation NULLS FIRST,
+       filing_frequency NULLS FIRST, org_type NULLS FIRST, connected_org NULLS FIRST,
+       principal_candidate_id NULLS FIRST) AS rn
+    FROM cmaster) WHERE rn = 1)"""
+
+_LINKS_CTES = f"""
+ltot AS (SELECT committee_id, two_year_transaction_period, candidate_id,
+                SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS amt
+         FROM ({_RECEIPTS}) GROUP BY ALL),
+links AS (
+  SELECT candidate_id AS cand_id, committee_id AS cmte_id, two_year_transaction_period AS cycle,
+         CASE WHEN rk = 1 THEN 'H' END AS committee_type_code,
+         CASE WHEN rk = 1 THEN 'P' ELSE 'J' END AS designation_code
+  FROM (SELECT *, row_number() OVER (PARTITION BY committee_id, two_year_transaction_period
+                                     ORDER BY amt DESC, candidate_id ASC) AS rk FROM ltot)
+  WHERE rk <= 2),
+roles AS (
+  SELECT *, CASE WHEN designation_code IN ('P','A') THEN 'principal'
+                 WHEN designation_code IN ('J') THEN 'joint_fundraising'
+                 WHEN designation_code IN ('L') THEN 'leadership' ELSE 'other' END AS role
+  FROM links),
+cc AS (
+  SELECT r.cmte_id, r.cycle, r.cand_id, r.role, d.name, d.treasurer, d.street_1, d.street_2, d.city, d.state,
+         d.zip, coalesce(d.designation, r.designation_code) AS designation,
+         coalesce(d.committee_type, r.committee_type_code) AS committee_type, d.party_affiliation,
+         d.filing_frequency, d.org_type, d.connected_org, d.principal_candidate_id,
+         (r.role = 'principal') AS principal_flag
+  FROM roles r LEFT JOIN cmdim d ON r.cmte_id = d.cmte_id AND r.cycle = d.cycle)"""
+
+SQL["dim_dedup"] = f"""
+WITH {_CANDIDATE_DIM_CTES}
+SELECT cand_id, cycle, display_name, first_name, middle_name, last_name, prefix, suffix, party, office, state,
+       district, candidate_election_year, incumbent_challenger_status, status, normalized_name,
+       principal_campaign_committee, search_text, office_full
+FROM cdim
+"""
+
+SQL["committee_roles"] = f"""
+WITH {_COMMITTEE_DIM_CTES}, {_LINKS_CTES}
+SELECT * FROM cc
+"""
+
+SQL["receipts_flat"] = f"""
+WITH {_CANDIDATE_DIM_CTES}, {_COMMITTEE_DIM_CTES}, {_LINKS_CTES},
+raw AS (
+  SELECT committee_id, CASE WHEN entity_type = 'COM' THEN candidate_id END AS candidate_id,
+         two_year_transaction_period, contribution_receipt_amount
+  FROM ({_RECEIPTS})),
+flat AS (
+  SELECT coalesce(sa.candidate_id, cc.cand_id) AS candidate_id,
+         cd.display_name AS candidate_name, cd.office AS candidate_office,
+         cm.committee_type AS recipient_committee_type, cm.designation AS recipient_committee_designation,
+         sa.two_year_transaction_period, sa.contribution_receipt_amount
+  FROM raw sa
+  LEFT JOIN cc ON sa.committee_id = cc.cmte_id AND sa.two_year_transaction_period = cc.cycle
+  LEFT JOIN cdim cd ON coalesce(cc.cand_id, sa.candidate_id) = cd.cand_id AND sa.two_year_transaction_period = cd.cycle
+  LEFT JOIN cmdim cm ON sa.committee_id = cm.cmte_id AND sa.two_year_transaction_period = cm.cycle)
+SELECT candidate_id, candidate_name, candidate_office, recipient_committee_type, recipient_committee_designation,
+       two_year_transaction_period, COUNT(*) AS n_rows,
+       CAST(SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount
+FROM flat GROUP BY ALL
+"""

@@ -67,3 +67,108 @@ def receipts(spark: SparkSession, sf_dir: str, candidate: str = "customer") -> D
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("contribution_receipt_date"),
         F.col("l_orderkey"),
     )
+
+
+def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw Schedule A stand-in: receipts before any dimension join.
+
+    Committee contributions (entity COM) name their candidate themselves;
+    all other receipts leave ``candidate_id`` empty, like individual
+    contributions in the bulk files."""
+    r = receipts(spark, sf_dir)
+    return r.select(
+        F.col("committee_id"),
+        F.when(F.col("entity_type") == "COM", F.col("candidate_id")).alias("candidate_id"),
+        "entity_type",
+        "contributor_name",
+        F.col("contribution_receipt_amount").cast("string").alias("contribution_receipt_amount"),
+        "contribution_receipt_date",
+        "report_year",
+        "report_type",
+        "two_year_transaction_period",
+        F.lit(None).cast("string").alias("candidate_name"),
+        *[
+            F.lit(None).cast("string").alias(c)
+            for c in (
+                "candidate_first_name", "candidate_last_name", "candidate_middle_name", "candidate_prefix",
+                "candidate_suffix", "candidate_office", "candidate_office_state", "candidate_office_district",
+                "recipient_committee_type", "recipient_committee_org_type", "recipient_committee_designation",
+            )
+        ],
+    )
+
+
+def candidate_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate master stand-in: one row per order, so a (candidate, cycle)
+    appears once per order and the dimension has to deduplicate.
+
+    Columns follow the bulk header names; the name is the customer's."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    j = orders.join(cust, orders.o_custkey == cust.c_custkey).join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    office = F.element_at(F.array(F.lit("P"), F.lit("S"), F.lit("H"), F.lit("X"), F.lit(None)), F.col("n_regionkey") + 1)
+    return j.select(
+        F.col("o_orderkey"),
+        F.col("o_custkey").alias("CAND_ID"),
+        cycle_of(F.col("o_orderdate")).alias("cycle"),
+        F.col("c_name").alias("CAND_NAME"),
+        F.col("c_mktsegment").alias("CAND_PTY_AFFILIATION"),
+        office.alias("CAND_OFFICE"),
+        F.col("n_name").alias("CAND_OFFICE_ST"),
+        F.col("o_orderstatus").alias("CAND_OFFICE_DISTRICT"),
+        F.year("o_orderdate").cast("string").alias("CAND_ELECTION_YR"),
+        F.col("o_orderstatus").alias("CAND_ICI"),
+        F.col("o_orderstatus").alias("CAND_STATUS"),
+        F.lit(None).cast("string").alias("CAND_PCC"),
+    )
+
+
+def candidate_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linkage stand-in: each (committee, cycle) is linked to its two largest
+    customers by receipts; the largest is the principal (designation P), the
+    second a joint-fundraising link (J). Ties go to the smaller customer key.
+
+    Derived by aggregation and a bounded per-key top-2, so it grows with the
+    data while each receipt fans out to at most two links."""
+    from pyspark.sql import Window
+
+    r = receipts(spark, sf_dir)
+    totals = r.groupBy("committee_id", "two_year_transaction_period", "candidate_id").agg(
+        F.sum(F.col("contribution_receipt_amount").cast("decimal(38,2)")).alias("amt")
+    )
+    w = Window.partitionBy("committee_id", "two_year_transaction_period").orderBy(
+        F.col("amt").desc(), F.col("candidate_id").asc()
+    )
+    ranked = totals.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= 2)
+    return ranked.select(
+        F.col("candidate_id").alias("CAND_ID"),
+        F.col("committee_id").alias("CMTE_ID"),
+        F.col("two_year_transaction_period").alias("cycle"),
+        F.when(F.col("rk") == 1, F.lit("H")).otherwise(F.lit(None)).alias("CMTE_TP"),
+        F.when(F.col("rk") == 1, F.lit("P")).otherwise(F.lit("J")).alias("CMTE_DSGN"),
+    )
+
+
+def committee_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Committee master stand-in: a supplier in each cycle it has receipts."""
+    r = receipts(spark, sf_dir).select("committee_id", "two_year_transaction_period").distinct()
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    j = r.join(sup, r.committee_id == sup.s_suppkey)
+    typ = F.when(F.col("s_nationkey") % 3 == 0, F.lit("N")).when(F.col("s_nationkey") % 3 == 1, F.lit("Q"))
+    return j.select(
+        F.col("s_suppkey").alias("CMTE_ID"),
+        F.col("two_year_transaction_period").alias("cycle"),
+        F.col("s_name").alias("CMTE_NM"),
+        *[F.lit(None).cast("string").alias(c) for c in ("TRES_NM", "CMTE_ST1", "CMTE_ST2", "CMTE_CITY")],
+        F.col("s_nationkey").cast("string").alias("CMTE_ST"),
+        F.lit(None).cast("string").alias("CMTE_ZIP"),
+        F.when(F.col("s_nationkey") % 2 == 0, F.lit("U")).alias("CMTE_DSGN"),
+        typ.alias("CMTE_TP"),
+        *[F.lit(None).cast("string").alias(c) for c in ("CMTE_PTY_AFFILIATION", "CMTE_FILING_FREQ")],
+        F.lit("C").alias("ORG_TP"),
+        F.lit(None).cast("string").alias("CONNECTED_ORG_NM"),
+        F.lit(None).cast("long").alias("CAND_ID"),
+    )
