@@ -55,7 +55,7 @@ def schedule_a_history(
     cycles: Iterable[int] | None = None,
     limit: int = 200,
     page: int = 1,
-    tie_breaker: str | None = "sub_id",
+    tie_breaker: str | list | None = "sub_id",
 ) -> DataFrame:
     """One page of a candidate's receipts, newest date text first.
 
@@ -68,8 +68,8 @@ def schedule_a_history(
     if cycle_list:
         rows = rows.filter(F.col("two_year_transaction_period").isin(cycle_list))
     order = [F.col("contribution_receipt_date").desc_nulls_first()]
-    if tie_breaker and tie_breaker in flat.columns:
-        order.append(F.col(tie_breaker).asc_nulls_last())
+    ties = [tie_breaker] if isinstance(tie_breaker, str) else list(tie_breaker or [])
+    order += [F.col(c).asc_nulls_last() for c in ties if c in flat.columns]
     return rows.orderBy(*order).offset((page - 1) * limit).limit(limit)
 
 

@@ -88,3 +88,68 @@ QUERIES.update({
     "committee_roles": q_committee_roles,
     "receipts_flat": q_receipts_flat,
 })
+
+
+# --- lookups, search, names --------------------------------------------------
+
+LOOKUP_CANDIDATE = 1  # candidate (customer) key the lookup queries ask for
+LOOKUP_NATION = 1  # candidate (nation) key for the top-contributor lookup
+SEARCH_NAME = "small ring"
+
+
+def _part_dim(spark, sf_dir):
+    return dims.build_candidate_dim(standins.part_candidate_master(spark, sf_dir))
+
+
+def q_candidate_summary_lookup(spark, sf_dir):
+    """A candidate's cycles joined to the receipt summary."""
+    summary = facts.candidate_cycle_summary(standins.receipts(spark, sf_dir))
+    return lookup.candidate_summary(_candidate_dim(spark, sf_dir), summary, LOOKUP_CANDIDATE)
+
+
+def q_history_page(spark, sf_dir):
+    """Page 2 (20 rows) of a candidate's receipts in two cycles."""
+    flat = standins.receipts(spark, sf_dir)
+    ties = [c for c in flat.columns if c != "contribution_receipt_date"]
+    return lookup.schedule_a_history(flat, LOOKUP_CANDIDATE, cycles=[1996, 1998], limit=20, page=2, tie_breaker=ties)
+
+
+def q_top_lookup(spark, sf_dir):
+    """Top contributors of one candidate, latest cycle first."""
+    top = facts.top_contributors(standins.receipts(spark, sf_dir, candidate="nation"))
+    return lookup.top_contributors_lookup(top, LOOKUP_NATION, limit=20)
+
+
+def q_candidate_search(spark, sf_dir):
+    """C4/F8/O1/O2: name search over the candidate dimension, first 50."""
+    return lookup.search_candidates(_part_dim(spark, sf_dir), SEARCH_NAME, limit=50)
+
+
+def q_name_parts(spark, sf_dir):
+    """Normalized name and name parts for every candidate row."""
+    named = dims.with_name_columns(standins.part_candidate_master(spark, sf_dir))
+    return named.select(
+        F.col("CAND_ID").alias("cand_id"), F.col("CAND_NAME").alias("display_name"), "normalized_name",
+        "first_name", "middle_name", "last_name", "prefix", "suffix",
+    )
+
+
+def q_cycle_union(spark, sf_dir):
+    """Two candidate sources unioned by name into one dimension."""
+    masters = union_all(
+        [standins.candidate_master(spark, sf_dir).drop("o_orderkey"), standins.part_candidate_master(spark, sf_dir)]
+    )
+    cand = dims.build_candidate_dim(masters)
+    return cand.groupBy("cycle", "office_full").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.countDistinct("cand_id").alias("n_ids")
+    )
+
+
+QUERIES.update({
+    "candidate_summary_lookup": q_candidate_summary_lookup,
+    "history_page": q_history_page,
+    "top_lookup": q_top_lookup,
+    "candidate_search": q_candidate_search,
+    "name_parts": q_name_parts,
+    "cycle_union": q_cycle_union,
+})

@@ -84,18 +84,36 @@ _CANDIDATE_MASTER = """
 """
 
 
-def name_parts_ctes(src: str, name_col: str) -> str:
-    """C1 (ASCII) + C3 as CTE steps over ``src``; the last CTE is ``np``."""
+_PART_MASTER = """
+  SELECT p_partkey AS CAND_ID, CAST(1994 + 2 * (p_size % 4) AS INTEGER) AS cycle,
+         CASE p_size % 5 WHEN 0 THEN upper(w2) || ', ' || upper(w1)
+                         WHEN 1 THEN upper(w2) || ', DR ' || upper(w1) || ' ' || p_type
+                         WHEN 2 THEN w1 || '  ' || w2
+                         WHEN 3 THEN upper(w2) || ', ' || upper(w1) || ' Q JR'
+                         ELSE upper(w2) || ',' || upper(w1) || ', III' END AS CAND_NAME,
+         p_brand AS CAND_PTY_AFFILIATION,
+         (['P','S','H', NULL::VARCHAR])[p_size % 4 + 1] AS CAND_OFFICE,
+         p_type AS CAND_OFFICE_ST,
+         lpad(CAST(p_size % 10 AS VARCHAR), 2, '0') AS CAND_OFFICE_DISTRICT,
+         CASE WHEN p_size % 7 = 0 THEN NULL
+              ELSE CAST(1994 + 2 * (p_size % 4) + (p_size % 3) * 2 AS VARCHAR) END AS CAND_ELECTION_YR,
+         'C' AS CAND_ICI, 'N' AS CAND_STATUS, NULL::VARCHAR AS CAND_PCC
+  FROM (SELECT *, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2 FROM part)
+"""
+
+
+def name_parts_ctes(src: str, name_col: str, p: str = "np") -> str:
+    """C1 (ASCII) + C3 as CTE steps over ``src``; the last CTE is named ``p``."""
     return f"""
-np1 AS (SELECT *, upper(trim(regexp_replace({name_col}, '\\s+', ' ', 'g'))) AS normalized_name FROM {src}),
-np2 AS (SELECT *, list_transform(string_split(normalized_name, ','), lambda p: trim(p)) AS np_parts FROM np1),
-np3 AS (SELECT *, list_filter(string_split(np_parts[1], ' '), lambda t: t <> '') AS np_toks,
-               list_filter(string_split(coalesce(np_parts[2], ''), ' '), lambda t: t <> '') AS np_rest FROM np2),
-np4 AS (SELECT *, (len(np_rest) > 0 AND np_rest[1] IN ('DR','HON','GOV','SEN','REP')) AS np_has_prefix FROM np3),
-np5 AS (SELECT *, CASE WHEN np_has_prefix THEN np_rest[2:] ELSE np_rest END AS np_rest2 FROM np4),
-np6 AS (SELECT *, (len(np_rest2) > 0 AND np_rest2[len(np_rest2)] IN ('JR','SR','II','III','IV')) AS np_has_suffix FROM np5),
-np7 AS (SELECT *, CASE WHEN np_has_suffix THEN np_rest2[1:len(np_rest2)-1] ELSE np_rest2 END AS np_rest3 FROM np6),
-np AS (SELECT *,
+{p}1 AS (SELECT *, upper(trim(regexp_replace({name_col}, '\\s+', ' ', 'g'))) AS normalized_name FROM {src}),
+{p}2 AS (SELECT *, list_transform(string_split(normalized_name, ','), lambda p: trim(p)) AS np_parts FROM {p}1),
+{p}3 AS (SELECT *, list_filter(string_split(np_parts[1], ' '), lambda t: t <> '') AS np_toks,
+               list_filter(string_split(coalesce(np_parts[2], ''), ' '), lambda t: t <> '') AS np_rest FROM {p}2),
+{p}4 AS (SELECT *, (len(np_rest) > 0 AND np_rest[1] IN ('DR','HON','GOV','SEN','REP')) AS np_has_prefix FROM {p}3),
+{p}5 AS (SELECT *, CASE WHEN np_has_prefix THEN np_rest[2:] ELSE np_rest END AS np_rest2 FROM {p}4),
+{p}6 AS (SELECT *, (len(np_rest2) > 0 AND np_rest2[len(np_rest2)] IN ('JR','SR','II','III','IV')) AS np_has_suffix FROM {p}5),
+{p}7 AS (SELECT *, CASE WHEN np_has_suffix THEN np_rest2[1:len(np_rest2)-1] ELSE np_rest2 END AS np_rest3 FROM {p}6),
+{p} AS (SELECT *,
    CASE WHEN normalized_name IS NULL THEN NULL WHEN len(np_parts) = 1 THEN np_toks[1] ELSE np_rest2[1] END AS first_name,
    CASE WHEN normalized_name IS NULL THEN NULL
         WHEN len(np_parts) = 1 THEN (CASE WHEN len(np_toks) > 2 THEN array_to_string(np_toks[2:len(np_toks)-1], ' ') END)
@@ -105,20 +123,22 @@ np AS (SELECT *,
         ELSE nullif(np_parts[1], '') END AS last_name,
    CASE WHEN len(np_parts) > 1 AND np_has_prefix THEN np_rest[1] END AS prefix,
    CASE WHEN len(np_parts) > 1 AND np_has_suffix THEN np_rest2[len(np_rest2)] END AS suffix
- FROM np7)"""
+ FROM {p}7)"""
 
 
-_CANDIDATE_DIM_CTES = f"""
-cm AS ({_CANDIDATE_MASTER}),
-{name_parts_ctes('cm', 'CAND_NAME')},
-cproj AS (
+def candidate_dim_ctes(master_sql: str, out: str = "cdim", p: str = "np") -> str:
+    """Candidate dimension (P3-P5, A4) from a candidate-master query; CTE ``out``."""
+    return f"""
+{p}m AS ({master_sql}),
+{name_parts_ctes(p + 'm', 'CAND_NAME', p)},
+{p}proj AS (
   SELECT CAND_ID AS cand_id, cycle, CAND_NAME AS display_name, first_name, middle_name, last_name, prefix, suffix,
          CAND_PTY_AFFILIATION AS party, CAND_OFFICE AS office, CAND_OFFICE_ST AS state,
          CAND_OFFICE_DISTRICT AS district, CAND_ELECTION_YR AS candidate_election_year,
          CAND_ICI AS incumbent_challenger_status, CAND_STATUS AS status, normalized_name,
          CAND_PCC AS principal_campaign_committee
-  FROM np),
-cdim AS (
+  FROM {p}),
+{out} AS (
   SELECT * EXCLUDE (rn), concat_ws(' ', normalized_name, display_name) AS search_text,
          CASE office WHEN 'P' THEN 'President' WHEN 'S' THEN 'Senate' WHEN 'H' THEN 'House' END AS office_full
   FROM (SELECT *, row_number() OVER (PARTITION BY cand_id, cycle ORDER BY
@@ -126,7 +146,10 @@ cdim AS (
           prefix NULLS FIRST, suffix NULLS FIRST, party NULLS FIRST, office NULLS FIRST, state NULLS FIRST,
           district NULLS FIRST, candidate_election_year NULLS FIRST, incumbent_challenger_status NULLS FIRST,
           status NULLS FIRST, normalized_name NULLS FIRST, principal_campaign_committee NULLS FIRST) AS rn
-        FROM cproj) WHERE rn = 1)"""
+        FROM {p}proj) WHERE rn = 1)"""
+
+
+_CANDIDATE_DIM_CTES = candidate_dim_ctes(_CANDIDATE_MASTER)
 
 _COMMITTEE_DIM_CTES = f"""
 rsc AS (SELECT DISTINCT committee_id, two_year_transaction_period FROM ({_RECEIPTS})),
@@ -205,3 +228,57 @@ SELECT candidate_id, candidate_name, candidate_office, recipient_committee_type,
        CAST(SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount
 FROM flat GROUP BY ALL
 """
+
+_SUMMARY_SQL = f"""
+  SELECT candidate_id, two_year_transaction_period AS cycle,
+       CAST(SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_receipts,
+       CAST(SUM(CASE WHEN entity_type = 'IND' THEN CAST(contribution_receipt_amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS individual_receipts,
+       CAST(SUM(CASE WHEN entity_type IN ('CCM','COM') THEN CAST(contribution_receipt_amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS committee_receipts,
+       CAST(SUM(CASE WHEN entity_type = 'PTY' THEN CAST(contribution_receipt_amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS party_receipts,
+       COUNT(*) AS transaction_count
+  FROM ({_RECEIPTS}) WHERE candidate_id IS NOT NULL GROUP BY 1, 2
+"""
+
+SQL["candidate_summary_lookup"] = f"""
+WITH {_CANDIDATE_DIM_CTES}, s AS ({_SUMMARY_SQL})
+SELECT c.cand_id, c.cycle, c.display_name, c.party, c.office, c.office_full, c.state, c.district,
+       s.total_receipts, s.individual_receipts, s.committee_receipts, s.party_receipts, s.transaction_count
+FROM cdim c LEFT JOIN s ON c.cand_id = s.candidate_id AND c.cycle = s.cycle
+WHERE c.cand_id = 1
+"""
+
+SQL["history_page"] = f"""
+SELECT * EXCLUDE (nationkey) FROM ({_RECEIPTS})
+WHERE candidate_id = 1 AND two_year_transaction_period IN (1996, 1998)
+ORDER BY contribution_receipt_date DESC NULLS FIRST, candidate_id, committee_id, two_year_transaction_period,
+         report_year, report_type, contributor_name, entity_type, contribution_receipt_amount, l_orderkey
+LIMIT 20 OFFSET 20
+"""
+
+SQL["top_lookup"] = SQL["top_contributors"].replace(
+    ") WHERE rk <= 20",
+    ") WHERE rk <= 20 AND candidate_id = 1\nORDER BY cycle DESC NULLS FIRST, total_amount DESC NULLS FIRST, "
+    "contributor_name ASC NULLS LAST, entity_type ASC NULLS LAST LIMIT 20",
+)
+
+SQL["candidate_search"] = f"""
+WITH {candidate_dim_ctes(_PART_MASTER, "pdim", "pp")}
+SELECT cand_id, cycle, display_name, normalized_name, party, office, office_full, state, district,
+       candidate_election_year
+FROM pdim WHERE search_text ILIKE '%small%ring%'
+ORDER BY cycle DESC NULLS FIRST, display_name ASC NULLS LAST, cand_id ASC NULLS LAST
+LIMIT 50
+"""
+
+SQL["name_parts"] = f"""
+WITH pm AS ({_PART_MASTER}), {name_parts_ctes('pm', 'CAND_NAME', 'np')}
+SELECT CAND_ID AS cand_id, CAND_NAME AS display_name, normalized_name, first_name, middle_name, last_name,
+       prefix, suffix
+FROM np
+"""
+
+SQL["cycle_union"] = f"""
+WITH {candidate_dim_ctes("SELECT * EXCLUDE (o_orderkey) FROM (" + _CANDIDATE_MASTER + ") UNION ALL BY NAME " + _PART_MASTER, "udim", "up")}
+SELECT cycle, office_full, COUNT(*) AS n_candidates, COUNT(DISTINCT cand_id) AS n_ids
+FROM udim GROUP BY cycle, office_full
+"""

@@ -172,3 +172,41 @@ def committee_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("CONNECTED_ORG_NM"),
         F.lit(None).cast("long").alias("CAND_ID"),
     )
+
+
+def part_candidate_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate master stand-in with person-like names built from part names.
+
+    ``p_name`` is two lower-case words; the size picks one of five name
+    layouts, so every C3 branch is exercised (comma form, title prefix,
+    plain form, generation suffix, extra comma part). One row per part."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    words = F.split(F.col("p_name"), " ")
+    w1, w2 = F.get(words, 0), F.get(words, 1)
+    u1, u2 = F.upper(w1), F.upper(w2)
+    v = F.col("p_size") % 5
+    name = (
+        F.when(v == 0, F.concat(u2, F.lit(", "), u1))
+        .when(v == 1, F.concat(u2, F.lit(", DR "), u1, F.lit(" "), F.col("p_type")))
+        .when(v == 2, F.concat(w1, F.lit("  "), w2))
+        .when(v == 3, F.concat(u2, F.lit(", "), u1, F.lit(" Q JR")))
+        .otherwise(F.concat(u2, F.lit(","), u1, F.lit(", III")))
+    )
+    cycle = (F.lit(1994) + F.lit(2) * (F.col("p_size") % 4)).cast("int")
+    office = F.element_at(F.array(F.lit("P"), F.lit("S"), F.lit("H"), F.lit(None)), (F.col("p_size") % 4) + 1)
+    year = F.when(F.col("p_size") % 7 == 0, F.lit(None)).otherwise(
+        (F.lit(1994) + F.lit(2) * (F.col("p_size") % 4) + (F.col("p_size") % 3) * 2).cast("string")
+    )
+    return part.select(
+        F.col("p_partkey").alias("CAND_ID"),
+        cycle.alias("cycle"),
+        name.alias("CAND_NAME"),
+        F.col("p_brand").alias("CAND_PTY_AFFILIATION"),
+        office.alias("CAND_OFFICE"),
+        F.col("p_type").alias("CAND_OFFICE_ST"),
+        F.lpad((F.col("p_size") % 10).cast("string"), 2, "0").alias("CAND_OFFICE_DISTRICT"),
+        year.alias("CAND_ELECTION_YR"),
+        F.lit("C").alias("CAND_ICI"),
+        F.lit("N").alias("CAND_STATUS"),
+        F.lit(None).cast("string").alias("CAND_PCC"),
+    )
