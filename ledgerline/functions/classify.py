@@ -28,12 +28,11 @@ def join_nonempty(*parts) -> Column:
 
 
 def is_election_event(title, description, ticker, slug, category) -> Column:
-    """any election word occurs as a substring of the lower-cased text.
-
-    A missing field contributes its Python text 'none'."""
-    parts = [F.coalesce(_col(p).cast("string"), F.lit("none")) for p in (title, description, ticker, slug, category)]
-    hay = F.lower(F.concat_ws(" ", *[F.nullif(p, F.lit("")) for p in parts]))
-    return F.coalesce(F.exists(F.array(*[F.lit(w) for w in vocab.ELECTION_KEYWORDS]), lambda w: F.instr(hay, w) > 0), F.lit(False))
+    """any election word occurs as a substring of the lower-cased text
+    of the non-empty fields, joined by spaces."""
+    hay = F.lower(join_nonempty(title, description, ticker, slug, category))
+    words = F.array(*[F.lit(w) for w in vocab.ELECTION_KEYWORDS])
+    return F.coalesce(F.exists(words, lambda w: F.instr(hay, w) > 0), F.lit(False))
 
 
 def is_election_question(question) -> Column:
@@ -85,6 +84,31 @@ SENATE_RE = rf"(?di){_NW}([A-Z]{{2}}){_EW}.*{_NW}senate{_EW}"
 GOVERNOR_RE = rf"(?di){_NW}([A-Z]{{2}}){_EW}.*{_NW}governor"
 
 
+_STATE_NAMES_LOWER = [n.lower() for _, n in vocab.US_DIVISIONS]
+# every position where some state name starts as a whole word; a zero-width
+# match per position, so names inside longer names are found too
+STATE_NAME_SCAN = (
+    "(?=" + _NW + "(" + "|".join(re.escape(n).replace("\\ ", " ") for n in _STATE_NAMES_LOWER) + ")" + _EW + ")"
+)
+
+
+def _first_in_list_order(hits: Column, names) -> Column:
+    """The hit that comes first in ``names`` (list order, not text order)."""
+    index = F.create_map(*sum(([F.lit(n.lower()), F.lit(i)] for i, n in enumerate(names)), []))
+    best = F.array_min(F.transform(hits, lambda h: index[h]))
+    return F.element_at(F.array(*[F.lit(n) for n in names]), best + 1)
+
+
+def _first_non_null(*candidates: Column) -> Column:
+    """First struct whose ``name`` is not NULL; each candidate is written
+    once in the plan (no CASE duplication)."""
+    return F.get(F.filter(F.array(*candidates), lambda s: s["name"].isNotNull()), 0)
+
+
+def _st(name: Column, level: str) -> Column:
+    return F.struct(name.cast("string").alias("name"), F.lit(level).alias("level"))
+
+
 def match_us_state(text) -> Column:
     """struct(name, level) of a US state reference, or NULL.
 
@@ -93,24 +117,23 @@ def match_us_state(text) -> Column:
     (c) two letters before 'senate' on one line; (d) two letters before
     'governor' on one line. (c) and (d) ignore case."""
     t = _col(text)
-    low = F.lower(t)
-    by_name = None
-    for _, name in vocab.US_DIVISIONS:
-        cond = low.rlike(literal_word(name.lower()))
-        by_name = F.when(cond, F.lit(name)) if by_name is None else by_name.when(cond, F.lit(name))
+    hits = F.regexp_extract_all(F.lower(t), F.lit(STATE_NAME_SCAN), 1)
+    by_name = _first_in_list_order(hits, [n for _, n in vocab.US_DIVISIONS])
     district = _abbr_to_state(F.nullif(F.regexp_extract(t, DISTRICT_RE, 1), F.lit("")))
     senate = _abbr_to_state(F.upper(F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit(""))))
     governor = _abbr_to_state(F.upper(F.nullif(F.regexp_extract(t, GOVERNOR_RE, 1), F.lit(""))))
+    return _first_non_null(
+        _st(by_name, "state"), _st(district, "district"), _st(senate, "state"), _st(governor, "state")
+    )
 
-    def st(name, level):
-        return F.struct(name.alias("name"), F.lit(level).alias("level"))
 
-    return (
-        F.when(by_name.isNotNull(), st(by_name, "state"))
-        .when(district.isNotNull(), st(district, "district"))
-        .when(senate.isNotNull(), st(senate, "state"))
-        .when(governor.isNotNull(), st(governor, "state"))
-    )
+def country_keyword(low: Column) -> Column:
+    """The first country keyword (list order) occurring as a substring."""
+    expr = None
+    for keyword, name, level in vocab.COUNTRY_KEYWORDS:
+        hit = F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
+        expr = F.when(low.contains(keyword), hit) if expr is None else expr.when(low.contains(keyword), hit)
+    return expr.otherwise(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("level")))
 
 
 def infer_jurisdiction(text) -> Column:
@@ -122,22 +145,21 @@ def infer_jurisdiction(text) -> Column:
     else Unclassified."""
     t = _col(text)
     low = F.lower(t)
-    state = match_us_state(t)
+    mayor = low.contains("mayor")
 
-    def st(name, level):
-        return F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
+    def when_lit(cond, name, level):
+        return F.struct(F.when(cond, F.lit(name)).alias("name"), F.lit(level).alias("level"))
 
-    expr = F.when(t.isNull() | (t == ""), st(*vocab.UNCLASSIFIED)).when(state.isNotNull(), state)
-    for keyword, name, level in vocab.COUNTRY_KEYWORDS:
-        expr = expr.when(low.contains(keyword), st(name, level))
-    mayor = low.contains("mayor")
-    expr = (
-        expr.when(mayor & low.contains("london"), st("United Kingdom - London", "city"))
-        .when(mayor & low.contains("new york"), st("United States - New York City", "city"))
-        .when(low.contains("senate") | low.contains("house") | low.contains("congress"), st("United States", "national"))
-        .when(low.contains("parliament"), st("European Union", "supra-national"))
+    found = _first_non_null(
+        F.coalesce(match_us_state(t), _st(F.lit(None), "state")),
+        country_keyword(low),
+        when_lit(mayor & low.contains("london"), "United Kingdom - London", "city"),
+        when_lit(mayor & low.contains("new york"), "United States - New York City", "city"),
+        when_lit(low.contains("senate") | low.contains("house") | low.contains("congress"), "United States", "national"),
+        when_lit(low.contains("parliament"), "European Union", "supra-national"),
     )
-    return expr.otherwise(st(*vocab.UNCLASSIFIED))
+    unclassified = F.struct(F.lit(vocab.UNCLASSIFIED[0]).alias("name"), F.lit(vocab.UNCLASSIFIED[1]).alias("level"))
+    return F.when(t.isNull() | (t == ""), unclassified).otherwise(F.coalesce(found, unclassified))
 
 
 __all__ = [

@@ -22,7 +22,8 @@ from .text import first_spelling
 SpanFinder = Callable[[Column], Column]
 
 _CAP_WORD = r"[A-Z][A-Za-z'.-]*"
-CAPITALISED_RUN = rf"(?<!{WORD_CLASS}){_CAP_WORD}(?:{SPACE_CLASS}+{_CAP_WORD})*"
+# a run starts where the previous character is not an ASCII word character
+CAPITALISED_RUN = rf"(?<![A-Za-z0-9_]){_CAP_WORD}(?: +{_CAP_WORD})*"
 
 
 def capitalised_runs(text: Column) -> Column:
@@ -53,9 +54,11 @@ def is_plausible(tokens: Column) -> Column:
 
 
 def needs_title_variant(text: Column) -> Column:
-    """Every alphabetic word is lower-case (and there is one)."""
-    words = F.regexp_extract_all(text, F.lit(rf"(?<!{WORD_CLASS})\p{{L}}+(?!{WORD_CLASS})"), 0)
-    return (F.size(words) > 0) & F.forall(words, lambda w: (w == F.lower(w)) & (w != F.upper(w)))
+    """The text has letters and none of them is upper-case.
+
+    (The original looks at tagger tokens; without the tagger the whole
+    text is tested.)"""
+    return (text == F.lower(text)) & (text != F.upper(text))
 
 
 def capwords(text: Column) -> Column:
@@ -73,15 +76,20 @@ def text_variants(text: Column) -> Column:
 
 def drop_subsumed_single_names(names: Column) -> Column:
     """drop a one-token name whose token belongs to a multi-token name."""
-    tokenised = F.transform(names, lambda n: name_tokens(n))
-    multi = F.flatten(F.filter(tokenised, lambda t: F.size(t) > 1))
-    multi_lower = F.transform(multi, lambda t: F.lower(t))
-    return F.filter(
-        names,
-        lambda n: ~(
-            (F.size(name_tokens(n)) == 1) & F.array_contains(multi_lower, F.lower(F.get(name_tokens(n), 0)))
-        ),
-    )
+    tokenised = F.transform(names, lambda n: F.struct(n.alias("n"), name_tokens(n).alias("t")))
+
+    def keep(entries):
+        multi = F.transform(
+            F.flatten(F.transform(F.filter(entries, lambda e: F.size(e["t"]) > 1), lambda e: e["t"])),
+            lambda t: F.lower(t),
+        )
+        single = F.filter(
+            entries,
+            lambda e: ~((F.size(e["t"]) == 1) & F.array_contains(multi, F.lower(F.get(e["t"], 0)))),
+        )
+        return F.transform(single, lambda e: e["n"])
+
+    return keep(tokenised)
 
 
 def candidate_names_from_spans(spans: Column) -> Column:

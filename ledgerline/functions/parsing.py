@@ -54,18 +54,23 @@ def infer_winner(outcomes_text, prices_text) -> Column:
     return F.when(valid, F.get(hits, 0)["o"])
 
 
+_ISO_SHAPE = r"^(\d{4}-\d{2}-\d{2}(T\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?([+-]\d{2}:\d{2})?)?)$"
+
+
 def parse_iso_datetime(value) -> Column:
     """ISO-like text -> UTC timestamp; anything else NULL.
 
-    Trimmed; 'Z' means +00:00; a space separates date and time when there is
-    no 'T'; '+HH' is read as '+HH:00'. Text without an offset is taken as UTC
-    (Q21). Only text starting with a full date qualifies."""
-    v = py_strip(_col(value))
-    v = F.regexp_replace(v, "Z$", "+00:00")
-    v = F.when(v.contains(" ") & ~v.contains("T"), F.regexp_replace(v, " ", "T")).otherwise(v)
+    Trimmed; 'Z' means +00:00; spaces separate date and time; '+HH' is read
+    as '+HH:00'. Text without an offset is taken as UTC (Q21). Only text
+    of the full ISO shape qualifies. Each step refers to the previous one
+    once, so the expression stays linear in size."""
+    v = F.regexp_replace(py_strip(_col(value)), "Z$", "+00:00")
+    # text holding both 'T' and a space is never valid; replacing the
+    # spaces unconditionally gives it a second 'T', which the shape rejects
+    v = F.regexp_replace(v, " ", "T")
     v = F.regexp_replace(v, r"(\+\d{2})$", "$1:00")
-    ok = v.rlike(r"^\d{4}-\d{2}-\d{2}(T\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?([+-]\d{2}:\d{2})?)?$")
-    return F.when(ok, F.try_to_timestamp(v))
+    shaped = F.nullif(F.regexp_extract(v, _ISO_SHAPE, 1), F.lit(""))
+    return F.try_to_timestamp(shaped)
 
 
 def first_timestamp(*values) -> Column:

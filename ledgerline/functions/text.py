@@ -112,12 +112,20 @@ def normalize_query(col: Column | str) -> Column:
 
 
 def first_spelling(arr: Column) -> Column:
-    """Keep the first spelling of each case-insensitive value, order kept."""
-    return F.filter(
-        arr,
-        lambda x, i: ~F.array_contains(F.transform(F.slice(arr, 1, i), lambda y: F.lower(y)), F.lower(x)),
+    """Keep the first spelling of each case-insensitive value, order kept
+    (A10/A11). One left fold, so ``arr`` is evaluated once."""
+    init = F.struct(
+        F.array().cast("array<string>").alias("seen"), F.array().cast("array<string>").alias("out")
     )
 
+    def step(acc, x):
+        key = F.lower(x)
+        return F.when(F.array_contains(acc["seen"], key), acc).otherwise(
+            F.struct(F.array_append(acc["seen"], key).alias("seen"), F.array_append(acc["out"], x).alias("out"))
+        )
+
+    return F.aggregate(arr, init, step, lambda acc: acc["out"])
+
 
 def extract_queries(col: Column | str) -> Column:
     """Lookup queries for a candidate-names cell.

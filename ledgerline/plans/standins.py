@@ -210,3 +210,154 @@ def part_candidate_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("N").alias("CAND_STATUS"),
         F.lit(None).cast("string").alias("CAND_PCC"),
     )
+
+
+# --- prediction-market stand-ins ---------------------------------------------
+#
+# market event = a conversation; its markets = the conversation's turns.
+# Phrases are prefixed to the whole turn texts so the election filters and
+# classifiers have something to find (the generated prose has no election
+# vocabulary); which phrase a row gets follows from its ids.
+
+MARKET_PHRASES = (
+    "Will X win?", "Winter storm?", "D-nom?", "Household income", "vice president debate",
+    "VP pick", "state senate", "state house", "lieutenant governor", "European Parliament",
+    "White House", "councilmember", "attorney general", "Pennsylvania primary",
+    "West Virginia primary", "PA-07 race", "Who wins in the Senate", "Who is up\nSenate",
+    "U.S. Senate control", "Ukraine vote", "Jerusalem vote", "Scotland vote", "Mayor: London",
+    "Mayor: New York", "parliament vote", "Will Donald Trump be elected president?",
+    "Kamala Harris nominee", "Texas governor runoff", "prime minister majority", "no match here",
+)
+OUTCOME_TEXTS = ('["Yes", "No"]', "['Yes','No']", '["A","B","C"]', "oops")
+PRICE_TEXTS = ('["0","1"]', '["0.85","0.15"]', '["0.5","0.5"]', '["1"]', '["x","1"]', '["0.9","0.95","0.1"]')
+TAG_TEXTS = ('["Election","Politics"]', "President, Senate", '["sports"]', "NFL", None, '[" Mayor ", "NBA"]')
+
+
+def _pick(options, index: Column) -> Column:
+    arr = F.array(*[F.lit(o) for o in options])
+    return F.element_at(arr, (index % len(options)).cast("int") + 1)
+
+
+def _iso_spelling(day: Column, variant: Column) -> Column:
+    """A date rendered in one of several ISO-like spellings (or junk)."""
+    d = F.date_format(day, "yyyy-MM-dd")
+    return (
+        F.when(variant == 0, F.concat(d, F.lit("T12:00:00Z")))
+        .when(variant == 1, F.concat(d, F.lit(" 08:30:00+00")))
+        .when(variant == 2, F.concat(d, F.lit("T20:15:00-05:00")))
+        .when(variant == 3, d)
+        .when(variant == 4, F.lit("junk"))
+        .otherwise(F.lit(""))
+    )
+
+
+def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested market events (EVENT_SCHEMA shape) built from conversations.
+
+    The per-event market list is assembled with ``collect_list`` grouped by
+    conversation; a conversation holds a handful of turns."""
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    cid, turn = F.col("conv_id"), F.col("turn")
+    market = F.struct(
+        (cid * 1000 + turn).cast("string").alias("id"),
+        F.concat(_pick(MARKET_PHRASES, cid + turn), F.lit(" "), F.col("text")).alias("question"),
+        F.when(F.col("role") == "assistant", F.lit("")).when(F.col("role") == "system", F.lit(None))
+        .otherwise(F.col("text")).alias("description"),
+        _pick(OUTCOME_TEXTS, turn).alias("outcomes"),
+        _pick(PRICE_TEXTS, cid + turn).alias("outcomePrices"),
+        F.concat(F.lit('["t'), cid.cast("string"), F.lit('", "u'), turn.cast("string"), F.lit('"]')).alias("clobTokenIds"),
+        F.when(turn % 3 == 0, F.lit(None)).when(turn % 3 == 1, F.lit(""))
+        .otherwise(_iso_spelling(F.date_add(F.lit("2021-01-01").cast("date"), (cid * 7 + turn).cast("int")), turn % 4))
+        .alias("closedTime"),
+        F.when(F.col("role") == "user", F.lit("")).otherwise(F.concat(F.lit("src-"), F.col("role"))).alias("resolutionSource"),
+        F.length("text").cast("string").alias("volume"),
+        F.when(turn % 2 == 0, F.lit("null")).otherwise((turn * 1.5).cast("string")).alias("volume24hr"),
+        F.lit(None).cast("string").alias("volume1wk"),
+        F.concat(turn.cast("string"), F.lit("_000")).alias("volume1mo"),
+        F.lit("1.0d").alias("volume1yr"),
+        F.concat(F.lit(" "), (turn + 1).cast("string"), F.lit(" ")).alias("liquidity"),
+        F.when(turn % 3 == 0, F.lit("0")).otherwise(turn.cast("string")).alias("liquidityAmm"),
+    )
+    grouped = conv.groupBy("conv_id").agg(
+        F.min_by("text", "turn").alias("first_text"),
+        F.max_by("text", "turn").alias("last_text"),
+        F.min_by("role", "turn").alias("first_role"),
+        F.count(F.lit(1)).alias("n_turns"),
+        F.collect_list(market).alias("markets"),
+    )
+    day = F.date_add(F.lit("2021-01-01").cast("date"), (F.col("conv_id") * 7).cast("int"))
+    cid = F.col("conv_id")
+    return grouped.select(
+        cid.cast("string").alias("id"),
+        F.concat(_pick(MARKET_PHRASES, cid * 7), F.lit(" "), F.col("first_text")).alias("title"),
+        F.col("last_text").alias("description"),
+        F.lit(None).cast("string").alias("ticker"),
+        F.concat(F.lit("conv-"), cid.cast("string")).alias("slug"),
+        F.col("first_role").alias("category"),
+        _iso_spelling(F.date_sub(day, 30), cid % 6).alias("startDate"),
+        _iso_spelling(day, (cid + 1) % 6).alias("endDate"),
+        _iso_spelling(F.date_add(day, 1), (cid + 2) % 6).alias("closedTime"),
+        F.concat(F.lit("event-src-"), cid.cast("string")).alias("resolutionSource"),
+        (F.col("n_turns") * 10).cast("string").alias("liquidityClob"),
+        F.lit("5").alias("liquidityAmm"),
+        F.when(cid % 2 == 0, F.lit("12.5")).otherwise(F.lit("null")).alias("openInterest"),
+        F.col("markets"),
+    )
+
+
+def analytics_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analytics snapshot entries (ANALYTICS_FIELDS + _file/_pos) from the
+    event stream: entry market id = user_id * 1000 + event_id % 8, so each
+    market gets a series of entries in time order and the latest wins."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    tags = (
+        F.when(F.col("event_type") == "click", F.lit(TAG_TEXTS[0]))
+        .when(F.col("event_type") == "view", F.lit(TAG_TEXTS[1]))
+        .when(F.col("event_type") == "error", F.lit(TAG_TEXTS[2]))
+        .when(F.col("event_type") == "signup", F.lit(TAG_TEXTS[5]))
+    )
+    return ev.select(
+        F.lit("snapshot").alias("_file"),
+        F.col("event_id").alias("_pos"),
+        (F.col("user_id") * 1000 + F.col("event_id") % 8).cast("string").alias("market_id"),
+        F.col("value").cast("string").alias("market_volume"),
+        F.get_json_object("props", "$.k").alias("market_open_interest"),
+        (F.col("value") / 100).cast("string").alias("outcome_1_price"),
+        F.lit(None).cast("string").alias("outcome_2_price"),
+        F.col("event_type").alias("event_slug"),
+        F.lit("analytics").alias("source"),
+        tags.alias("event_tags"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("market_close_date"),
+        F.lit(None).cast("string").alias("event_end_date"),
+        F.when(F.col("event_type") == "purchase", F.lit("Ohio senate special")).alias("event_title"),
+        F.lit(None).cast("string").alias("event_description"),
+    )
+
+
+def link_markets_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markets for the linkage job: one per distinct part name.
+
+    candidate_names lists the name as written and reversed; office and the
+    start/end dates follow from the sizes of the parts with that name."""
+    part = table(spark, sf_dir, "part").select("p_name", "p_size")
+    g = part.groupBy("p_name").agg(F.min("p_size").alias("smin"), F.max("p_size").alias("smax"))
+    words = F.split(F.col("p_name"), " ")
+    w1, w2 = F.get(words, 0), F.get(words, 1)
+    names = (
+        F.when(F.col("smin") % 4 == 0, F.initcap(F.col("p_name")))
+        .when(F.col("smin") % 4 == 1, F.concat(F.initcap(F.col("p_name")), F.lit(", "), F.initcap(F.concat(w2, F.lit(" "), w1))))
+        .when(F.col("smin") % 4 == 2, F.concat(F.upper(w2), F.lit(" | "), F.initcap(w1), F.lit(" "), F.initcap(w2)))
+        .otherwise(F.lit("nan"))
+    )
+    office = F.element_at(
+        F.array(F.lit("President"), F.lit("senate"), F.lit("House"), F.lit("Governor"), F.lit(None)),
+        (F.col("smax") % 5) + 1,
+    )
+    start = F.when(F.col("smin") % 3 == 0, F.lit(None)).otherwise(
+        F.concat((F.lit(1994) + (F.col("smin") % 3) * 2).cast("string"), F.lit("-01-01")))
+    end = F.when(F.col("smax") % 4 == 0, F.lit(None)).otherwise(
+        F.concat((F.lit(1996) + (F.col("smax") % 3) * 2).cast("string"), F.lit("-12-31")))
+    return g.select(
+        F.col("p_name").alias("market_id"), names.alias("candidate_names"), office.alias("office"),
+        start.alias("start_date"), end.alias("end_date"),
+    )
