@@ -425,3 +425,134 @@ SELECT s.jurisdiction, s.level, s.name AS source_name, s.url, s.description, s.a
        s.feasibility, s.feasibility_notes, b.jurisdiction_feasibility, b.jurisdiction_feasibility_notes
 FROM srcs s JOIN best b ON s.jurisdiction = b.jurisdiction
 """
+
+# --- names and linkage --------------------------------------------------------
+
+CAP_RUN = r"\b[A-Z][A-Za-z'.-]*(?: +[A-Z][A-Za-z'.-]*)*"
+NAME_TOKEN = vocab.NAME_TOKEN_PATTERN
+_EDGE = "[" + re.escape(vocab.NAME_EDGE_CHARACTERS) + "]"
+
+
+def capwords(x: str) -> str:
+    words = f"list_filter(regexp_split_to_array({x}, '{PY_SPACE}+'), lambda w: w <> '')"
+    return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+
+
+def first_spelling(lst: str) -> str:
+    return (f"list_filter({lst}, lambda x, i: NOT list_contains("
+            f"list_transform({lst}[1:i - 1], lambda y: lower(y)), lower(x)))")
+
+
+_SUFFIXES = ", ".join(q(t) for t in vocab.PERSON_SUFFIX_TOKENS)
+_EXCLUDED = ", ".join(q(t) for t in vocab.PERSON_EXCLUSION_TOKENS)
+
+NAMES = f"""
+nm1 AS (
+  SELECT market_id,
+    list_filter(list_concat(analytics_event_tags, [resolution_notes]), lambda t: t IS NOT NULL AND t <> '') AS kept
+  FROM em),
+nm2 AS (
+  SELECT market_id, flatten(list_transform(kept, lambda t:
+      CASE WHEN lower(t) = t AND upper(t) <> t AND {capwords('t')} <> t THEN [t, {capwords('t')}] ELSE [t] END)) AS variants
+  FROM nm1),
+nm3 AS (
+  SELECT market_id, flatten(list_transform(variants, lambda v: regexp_extract_all(v, {q(CAP_RUN)}, 0))) AS spans
+  FROM nm2),
+nm4 AS (
+  SELECT market_id, list_filter(list_transform(spans, lambda s:
+      regexp_replace(trim(regexp_replace(s, '{PY_SPACE}+', ' ', 'g')), {q('^' + _EDGE + '+|' + _EDGE + '+$')}, '', 'g')),
+      lambda s: s <> '') AS cleaned
+  FROM nm3),
+nm5 AS (
+  SELECT market_id, list_filter(cleaned, lambda s:
+      len(list_filter(list_transform(regexp_extract_all(s, {q(NAME_TOKEN)}, 0), lambda t: lower(t)),
+                      lambda t: t NOT IN ({_SUFFIXES}))) > 0
+      AND NOT list_has_any(list_filter(list_transform(regexp_extract_all(s, {q(NAME_TOKEN)}, 0), lambda t: lower(t)),
+                                       lambda t: t NOT IN ({_SUFFIXES})), [{_EXCLUDED}])) AS plausible
+  FROM nm4),
+nm6 AS (SELECT market_id, {first_spelling('plausible')} AS deduped FROM nm5),
+nm7 AS (
+  SELECT market_id, list_transform(deduped, lambda n: {{'n': n, 't': regexp_extract_all(n, {q(NAME_TOKEN)}, 0)}}) AS tk
+  FROM nm6),
+nm8 AS (
+  SELECT market_id, tk,
+    list_transform(flatten(list_transform(list_filter(tk, lambda e: len(e.t) > 1), lambda e: e.t)), lambda t: lower(t)) AS multi
+  FROM nm7),
+names AS (
+  SELECT market_id,
+    list_transform(list_filter(tk, lambda e: NOT (len(e.t) = 1 AND list_contains(multi, lower(e.t[1])))), lambda e: e.n)
+      AS candidate_names
+  FROM nm8)"""
+
+SQL["name_candidates"] = f"""
+WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {NAMES}
+SELECT market_id, candidate_names FROM names
+"""
+
+
+def _initcap_word(x: str) -> str:
+    return f"(upper({x}[1]) || lower({x}[2:]))"
+
+
+def safe_int_sql(x: str) -> str:
+    s = py_strip(f"CAST({x} AS VARCHAR)")
+    return f"(CASE WHEN regexp_full_match({s}, '[+-]?\\d+') THEN TRY_CAST({s} AS INTEGER) END)"
+
+
+def _link_sql() -> str:
+    from .oracle_sql import _PART_MASTER, candidate_dim_ctes
+
+    w1, w2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+    names = (
+        f"CASE smin % 4 WHEN 0 THEN {_initcap_word(w1)} || ' ' || {_initcap_word(w2)} "
+        f"WHEN 1 THEN {_initcap_word(w1)} || ' ' || {_initcap_word(w2)} || ', ' || {_initcap_word(w2)} || ' ' || {_initcap_word(w1)} "
+        f"WHEN 2 THEN upper({w2}) || ' | ' || {_initcap_word(w1)} || ' ' || {_initcap_word(w2)} ELSE 'nan' END"
+    )
+    text = py_strip("candidate_names")
+    parts = f"list_filter(list_transform(regexp_split_to_array({text}, '[|,]'), lambda x: {py_strip('x')}), lambda x: x <> '')"
+    words = f"list_filter(regexp_split_to_array(replace(query, ',', ' '), '{PY_SPACE}+'), lambda w: w <> '')"
+    return f"""
+WITH {candidate_dim_ctes(_PART_MASTER, "pdim", "pp")},
+mkt AS (
+  SELECT p_name AS market_id, {names} AS candidate_names,
+    (['President', 'senate', 'House', 'Governor', NULL::VARCHAR])[smax % 5 + 1] AS office,
+    CASE WHEN smin % 3 = 0 THEN NULL ELSE CAST(1994 + (smin % 3) * 2 AS VARCHAR) || '-01-01' END AS start_date,
+    CASE WHEN smax % 4 = 0 THEN NULL ELSE CAST(1996 + (smax % 3) * 2 AS VARCHAR) || '-12-31' END AS end_date
+  FROM (SELECT p_name, min(p_size) AS smin, max(p_size) AS smax FROM part GROUP BY p_name)),
+mq AS (
+  SELECT *, CASE WHEN {text} IS NULL OR {text} = '' OR lower({text}) IN ('nan', 'none', 'null') THEN []::VARCHAR[]
+                 ELSE list_concat([{text}], {parts}) END AS ordered
+  FROM mkt),
+mq2 AS (SELECT market_id, office, start_date, end_date, unnest({first_spelling('ordered')}) AS query FROM mq),
+mq3 AS (
+  SELECT *, CASE WHEN len({words}) = 0 THEN '%' ELSE '%' || array_to_string({words}, '%') || '%' END AS pattern
+  FROM mq2),
+mq4 AS (
+  SELECT * FROM mq3
+  WHERE len(list_filter(flatten(list_transform(string_split(pattern, '%'), lambda s: string_split(s, '_'))),
+                        lambda r: length(r) > 0 AND NOT contains(r, '\\'))) > 0),
+cands AS (
+  SELECT cand_id, search_text, {safe_int_sql('cycle')} AS c_cycle,
+    coalesce(nullif({safe_int_sql('candidate_election_year')}, 0), {safe_int_sql('cycle')}) AS eyear,
+    lower(trim(office_full)) AS ofull, lower(trim(office)) AS ocode,
+    coalesce(nullif(normalized_name, ''), display_name) AS matched_candidate_name
+  FROM pdim WHERE cand_id IS NOT NULL AND CAST(cand_id AS VARCHAR) <> ''),
+pairs AS (
+  SELECT m.market_id, c.cand_id, c.c_cycle, c.matched_candidate_name, c.eyear, c.ofull, c.ocode,
+         year(TRY_CAST({py_strip('m.start_date')} AS TIMESTAMP)) AS sy,
+         year(TRY_CAST({py_strip('m.end_date')} AS TIMESTAMP)) AS ey,
+         lower(m.office) AS wanted
+  FROM mq4 m JOIN cands c ON c.search_text ILIKE m.pattern),
+kept AS (
+  SELECT DISTINCT market_id, cand_id, c_cycle, matched_candidate_name FROM pairs
+  WHERE (sy IS NULL OR eyear IS NULL OR eyear >= sy) AND (ey IS NULL OR eyear IS NULL OR eyear <= ey)
+    AND (NOT coalesce(wanted IN ('president', 'senate', 'house'), false)
+         OR coalesce(nullif(ofull, ''), ocode, '') = wanted
+         OR coalesce(nullif(ofull, ''), ocode, '') = (CASE wanted WHEN 'president' THEN 'p' WHEN 'senate' THEN 's' WHEN 'house' THEN 'h' END)))
+SELECT m.market_id, m.candidate_names, m.office, m.start_date, m.end_date,
+       k.cand_id AS matched_candidate_id, k.matched_candidate_name
+FROM mkt m LEFT JOIN kept k ON m.market_id = k.market_id
+"""
+
+
+SQL["market_links"] = _link_sql()
