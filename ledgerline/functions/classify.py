@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
-from .regex import SPACE_CLASS, WORD_CLASS, any_of, literal_word
+from .regex import SPACE_CLASS, WORD_CLASS, any_of, literal_word, required_literal, trie_alternation
 
 
 def _col(c) -> Column:
@@ -38,7 +38,20 @@ def is_election_event(title, description, ticker, slug, category) -> Column:
 def is_election_question(question) -> Column:
     """any of the question patterns matches (case-insensitive)."""
     q = _col(question)
-    return F.coalesce(q.rlike("(?i)" + any_of(vocab.QUESTION_PATTERNS)), F.lit(False))
+    return F.coalesce(_prechecked(F.lower(q), q, vocab.QUESTION_PATTERNS, "(?i)"), F.lit(False))
+
+
+def _prechecked(low: Column, text: Column, patterns, flags: str = "") -> Column:
+    """``text rlike any(patterns)``, evaluated only when the lower-cased text
+    contains one of the literals the patterns require (a cheap scan)."""
+    literals = sorted({required_literal(p) for p in patterns})
+    if any(not lit for lit in literals):
+        return text.rlike(flags + any_of(patterns))
+    pre = None
+    for lit in literals:
+        c = F.instr(low, lit) > 0
+        pre = c if pre is None else pre | c
+    return F.when(pre, text.rlike(flags + any_of(patterns))).otherwise(F.lit(False))
 
 
 def is_election_by_tags(tags) -> Column:
@@ -57,7 +70,7 @@ def infer_office(text) -> Column:
     t = F.lower(_col(text))
     expr = None
     for office, patterns in vocab.OFFICE_PATTERNS:
-        cond = t.rlike(any_of(patterns))
+        cond = _prechecked(t, t, patterns)
         if office == "House":
             cond = cond & ~t.contains(vocab.HOUSE_EXCEPTION_PHRASE)
         expr = F.when(cond, F.lit(office)) if expr is None else expr.when(cond, F.lit(office))
@@ -87,9 +100,7 @@ GOVERNOR_RE = rf"(?di){_NW}([A-Z]{{2}}){_EW}.*{_NW}governor"
 _STATE_NAMES_LOWER = [n.lower() for _, n in vocab.US_DIVISIONS]
 # every position where some state name starts as a whole word; a zero-width
 # match per position, so names inside longer names are found too
-STATE_NAME_SCAN = (
-    "(?=" + _NW + "(" + "|".join(re.escape(n).replace("\\ ", " ") for n in _STATE_NAMES_LOWER) + ")" + _EW + ")"
-)
+STATE_NAME_SCAN = "(?=" + _NW + "(" + trie_alternation(_STATE_NAMES_LOWER) + ")" + _EW + ")"
 
 
 def _first_in_list_order(hits: Column, names) -> Column:
@@ -120,8 +131,11 @@ def match_us_state(text) -> Column:
     hits = F.regexp_extract_all(F.lower(t), F.lit(STATE_NAME_SCAN), 1)
     by_name = _first_in_list_order(hits, [n for _, n in vocab.US_DIVISIONS])
     district = _abbr_to_state(F.nullif(F.regexp_extract(t, DISTRICT_RE, 1), F.lit("")))
-    senate = _abbr_to_state(F.upper(F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit(""))))
-    governor = _abbr_to_state(F.upper(F.nullif(F.regexp_extract(t, GOVERNOR_RE, 1), F.lit(""))))
+    low = F.lower(t)
+    # the two-letter rules scan to the end of each line from every two-letter
+    # word; skip them unless the keyword occurs at all
+    senate = _abbr_to_state(F.upper(F.when(F.instr(low, "senate") > 0, F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit("")))))
+    governor = _abbr_to_state(F.upper(F.when(F.instr(low, "governor") > 0, F.nullif(F.regexp_extract(t, GOVERNOR_RE, 1), F.lit("")))))
     return _first_non_null(
         _st(by_name, "state"), _st(district, "district"), _st(senate, "state"), _st(governor, "state")
     )

@@ -62,3 +62,45 @@ def literal_word(word: str) -> str:
     """Python ``rf'\\b{re.escape(word)}\\b'`` for a word that starts and ends
     with word characters."""
     return java_word_regex(rf"\b{re.escape(word)}\b")
+
+
+def trie_alternation(words) -> str:
+    """A regex matching exactly the given literal words, factored by common
+    prefixes, so a failing position is rejected after one or two characters
+    instead of trying every word in turn. Longer words are tried first at a
+    shared prefix, as an ordered alternation would."""
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node) -> str:
+        branches = []
+        end = "" in node
+        for ch in sorted(k for k in node if k):
+            branches.append(re.escape(ch).replace("\\ ", " ") + emit(node[ch]))
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        return f"(?:{body})?" if end else body
+
+    return emit(trie)
+
+
+def required_literal(pattern: str) -> str:
+    """The longest run of plain letters/spaces in a pattern: text can only
+    match when it contains this run (used as a cheap pre-check)."""
+    body = re.sub(r"\\[bsdw]", "\0", pattern)
+    runs = re.split(r"[^a-z ]|\0", body)
+    # a run followed by an optional quantifier is not required
+    required = []
+    for m in re.finditer(r"[a-z ]+", body):
+        nxt = body[m.end(): m.end() + 1]
+        run = m.group(0)
+        if nxt in ("?", "*"):
+            run = run[:-1]
+        required.append(run.strip())
+    del runs
+    return max(required, key=len) if required else ""

@@ -161,11 +161,16 @@ def tag_with_catalog(tagged: DataFrame, catalog: DataFrame) -> DataFrame:
     return tagged.join(c, tagged.jurisdiction == c._c_jur, "left").drop("_c_jur")
 
 
-def explode_catalog(catalog: DataFrame) -> DataFrame:
-    """K6 shape: one row per (jurisdiction, source)."""
-    return catalog.select("jurisdiction", "level", F.explode("sources").alias("s")).select(
+def explode_catalog(catalog: DataFrame, with_best: bool = False) -> DataFrame:
+    """K6 shape: one row per (jurisdiction, source); ``with_best`` adds the
+    jurisdiction's aggregate rating and note."""
+    extra = [F.col("feasibility").alias("jurisdiction_feasibility"),
+             F.col("feasibility_notes").alias("jurisdiction_feasibility_notes")] if with_best else []
+    rows = catalog.select("jurisdiction", "level", *extra, F.explode("sources").alias("s"))
+    return rows.select(
         "jurisdiction", "level", F.col("s.name").alias("source_name"), F.col("s.url").alias("url"),
         F.col("s.description").alias("description"), F.col("s.access").alias("access"),
         F.col("s.update_frequency").alias("update_frequency"), F.col("s.feasibility").alias("feasibility"),
         F.col("s.feasibility_notes").alias("feasibility_notes"),
+        *[F.col(c) for c in ("jurisdiction_feasibility", "jurisdiction_feasibility_notes") if with_best],
     )

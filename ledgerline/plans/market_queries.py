@@ -79,12 +79,7 @@ def q_jurisdiction_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (jurisdiction, source)."""
     cat = catalog.build_catalog(_tagged(spark, sf_dir), order_col="market_id")
-    rows = catalog.explode_catalog(cat)
-    best = cat.select(
-        F.col("jurisdiction").alias("_j"), F.col("feasibility").alias("jurisdiction_feasibility"),
-        F.col("feasibility_notes").alias("jurisdiction_feasibility_notes"),
-    )
-    return rows.join(best, rows.jurisdiction == best._j).drop("_j")
+    return catalog.explode_catalog(cat, with_best=True)
 
 
 def q_name_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
