@@ -153,3 +153,46 @@ QUERIES.update({
     "name_parts": q_name_parts,
     "cycle_union": q_cycle_union,
 })
+
+
+# --- sources, parsing, JSON maps, text normalisation ------------------------
+
+from ..functions import parsing as _parsing  # noqa: E402
+from ..functions import text as _text  # noqa: E402
+from ..sources import bulk as _bulk  # noqa: E402
+
+
+def q_column_aliases(spark, sf_dir):
+    """Bulk column names -> canonical names in one projection."""
+    return _bulk.standardize_schedule_a(standins.bulk_receipts(spark, sf_dir))
+
+
+def q_parse_numbers(spark, sf_dir):
+    """Number and integer text as the original's parsers read it."""
+    t = standins.number_texts(spark, sf_dir)
+    return t.select(
+        "event_id", "number_text", _parsing.parse_float(F.col("number_text")).alias("number"),
+        "int_text", _parsing.safe_int(F.col("int_text")).alias("int_value"),
+    )
+
+
+def q_committee_map(spark, sf_dir):
+    """A JSON object column -> (key, value) link rows."""
+    ev = standins.table(spark, sf_dir, "events").select("event_id", "props")
+    return _bulk.json_object_pairs(ev, "props", ["event_id"], key="key", value="value")
+
+
+def q_normalized_text(spark, sf_dir):
+    """C1/C2 over whole documents: NFKD + upper + whitespace collapse, then
+    punctuation to spaces."""
+    docs = standins.table(spark, sf_dir, "documents").select("doc_id", "text")
+    norm = docs.select("doc_id", _text.normalize_text(F.col("text")).alias("normalized"))
+    return norm.select("doc_id", "normalized", _text.strip_punctuation(F.col("normalized")).alias("stripped"))
+
+
+QUERIES.update({
+    "column_aliases": q_column_aliases,
+    "parse_numbers": q_parse_numbers,
+    "committee_map": q_committee_map,
+    "normalized_text": q_normalized_text,
+})

@@ -282,3 +282,86 @@ WITH {candidate_dim_ctes("SELECT * EXCLUDE (o_orderkey) FROM (" + _CANDIDATE_MAS
 SELECT cycle, office_full, COUNT(*) AS n_candidates, COUNT(DISTINCT cand_id) AS n_ids
 FROM udim GROUP BY cycle, office_full
 """
+
+# --- bulk names, number text, JSON maps, text normalisation -------------------
+
+SQL["column_aliases"] = """
+SELECT CAST(l.l_suppkey AS VARCHAR) AS committee_id,
+       CAST(l.l_partkey AS VARCHAR) AS contributor_name,
+       o.o_orderpriority AS contbr_nm,
+       strftime(l.l_shipdate, '%m%d%Y') AS contribution_receipt_date,
+       CAST(l.l_extendedprice AS VARCHAR) AS contribution_receipt_amount,
+       l.l_returnflag AS entity_type,
+       l.l_linestatus AS report_type,
+       CAST(year(l.l_shipdate) AS VARCHAR) AS report_year,
+       CAST(o.o_custkey AS VARCHAR) AS candidate_id,
+       CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
+       CASE WHEN l.l_returnflag = 'R' THEN 'X' END AS memo_code,
+       NULL::VARCHAR AS recipient_committee_type, NULL::VARCHAR AS recipient_committee_org_type,
+       NULL::VARCHAR AS recipient_committee_designation, NULL::VARCHAR AS candidate_name,
+       NULL::VARCHAR AS candidate_first_name, NULL::VARCHAR AS candidate_last_name,
+       NULL::VARCHAR AS candidate_middle_name, NULL::VARCHAR AS candidate_prefix, NULL::VARCHAR AS candidate_suffix,
+       NULL::VARCHAR AS candidate_office, NULL::VARCHAR AS candidate_office_state,
+       NULL::VARCHAR AS candidate_office_district, NULL::VARCHAR AS sub_id
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+
+def _pf(x: str) -> str:
+    from .market_oracle_sql import pf
+
+    return pf(x)
+
+
+def _safe_int(x: str) -> str:
+    from .market_oracle_sql import safe_int_sql
+
+    return safe_int_sql(x)
+
+
+SQL["parse_numbers"] = f"""
+WITH t AS (
+  SELECT event_id,
+    CASE event_id % 8 WHEN 0 THEN CAST(value AS VARCHAR) WHEN 1 THEN ' ' || CAST(value AS VARCHAR) || ' '
+      WHEN 2 THEN 'null' WHEN 3 THEN '' WHEN 4 THEN CAST(value AS VARCHAR) || 'abc'
+      WHEN 5 THEN replace(CAST(value AS VARCHAR), '.', '_') WHEN 6 THEN 'inf'
+      ELSE CAST(value AS VARCHAR) || 'd' END AS number_text,
+    CASE event_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN CAST(user_id AS VARCHAR) || '.0'
+      WHEN 2 THEN ' ' || CAST(user_id AS VARCHAR) ELSE 'x' END AS int_text
+  FROM events)
+SELECT event_id, number_text, {_pf('number_text')} AS number, int_text, {_safe_int('int_text')} AS int_value FROM t
+"""
+
+SQL["committee_map"] = """
+SELECT event_id, unnest(map_keys(m)) AS key, unnest(map_values(m)) AS value
+FROM (SELECT event_id, CAST(json(props) AS MAP(VARCHAR, VARCHAR)) AS m FROM events)
+"""
+
+
+def _nfkd_chain(x: str) -> str:
+    """NFKD for Latin text: every code point of U+00A0..U+024F whose NFKD
+    form differs is replaced by that form (table built from the rule)."""
+    import unicodedata
+
+    expr = x
+    for cp in range(0xA0, 0x250):
+        ch = chr(cp)
+        dec = unicodedata.normalize("NFKD", ch)
+        if dec != ch:
+            expr = f"replace({expr}, '{ch}', '{dec.replace(chr(39), chr(39) * 2)}')"
+    return expr
+
+
+def _normalized_text_sql() -> str:
+    from .market_oracle_sql import PY_SPACE
+
+    upper = f"upper(replace({_nfkd_chain('text')}, 'ß', 'SS'))"
+    norm = f"trim(regexp_replace({upper}, '{PY_SPACE}+', ' ', 'g'))"
+    cls = PY_SPACE[1:-1]
+    return f"""
+WITH n AS (SELECT doc_id, {norm} AS normalized FROM documents)
+SELECT doc_id, normalized, regexp_replace(normalized, '[^\\p{{L}}\\p{{N}}_{cls}]', ' ', 'g') AS stripped FROM n
+"""
+
+
+SQL["normalized_text"] = _normalized_text_sql()

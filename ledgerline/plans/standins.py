@@ -361,3 +361,49 @@ def link_markets_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("market_id"), names.alias("candidate_names"), office.alias("office"),
         start.alias("start_date"), end.alias("end_date"),
     )
+
+
+def bulk_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts with raw bulk-file column names (upper case, FEC short forms),
+    including two sources for one canonical name (NAME, CONTBR_NM)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_linestatus",
+        "l_shipdate",
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    return j.select(
+        F.col("l_suppkey").cast("string").alias("CMTE_ID"),
+        F.col("l_partkey").cast("string").alias("NAME"),
+        F.col("o_orderpriority").alias("CONTBR_NM"),
+        F.date_format("l_shipdate", "MMddyyyy").alias("TRANSACTION_DT"),
+        F.col("l_extendedprice").cast("string").alias("TRANSACTION_AMT"),
+        F.col("l_returnflag").alias("ENTITY_TP"),
+        F.col("l_linestatus").alias("RPT_TP"),
+        F.year("l_shipdate").cast("string").alias("Rpt_Yr"),
+        F.col("o_custkey").cast("string").alias("CAND_ID"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("TRAN_ID"),
+        F.when(F.col("l_returnflag") == "R", F.lit("X")).alias("MEMO_CD"),
+    )
+
+
+NUMBER_SPELLINGS = 8
+
+
+def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric text in the spellings the market API mixes (plain, padded,
+    'null', empty, junk suffix, digit separator, 'inf', Java type suffix) and
+    integer text (plain, '.0', padded, junk), chosen by event id."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    v = F.col("value").cast("string")
+    k = F.col("event_id") % NUMBER_SPELLINGS
+    txt = (
+        F.when(k == 0, v).when(k == 1, F.concat(F.lit(" "), v, F.lit(" "))).when(k == 2, F.lit("null"))
+        .when(k == 3, F.lit("")).when(k == 4, F.concat(v, F.lit("abc")))
+        .when(k == 5, F.regexp_replace(v, r"\.", "_")).when(k == 6, F.lit("inf"))
+        .otherwise(F.concat(v, F.lit("d")))
+    )
+    u = F.col("user_id").cast("string")
+    i = F.col("event_id") % 4
+    int_txt = F.when(i == 0, u).when(i == 1, F.concat(u, F.lit(".0"))).when(i == 2, F.concat(F.lit(" "), u)).otherwise(F.lit("x"))
+    return ev.select("event_id", txt.alias("number_text"), int_txt.alias("int_text"))
