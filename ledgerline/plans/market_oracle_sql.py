@@ -556,3 +556,35 @@ FROM mkt m LEFT JOIN kept k ON m.market_id = k.market_id
 
 
 SQL["market_links"] = _link_sql()
+
+# --- the whole market dataset job ---------------------------------------------------
+
+_GATE = (f"market_id IN (SELECT a_market_id FROM lac WHERE list_has_any(list_transform(list_filter("
+         f"analytics_event_tags, lambda t: t IS NOT NULL AND t <> ''), lambda t: lower(trim(t))), "
+         f"[{', '.join(q(t) for t in vocab.ELECTION_TAGS)}]))")
+
+SQL["market_dataset"] = f"""
+WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {NAMES},
+rc AS (
+  SELECT em.*, {_CLOSED} AS closed_ts FROM em WHERE {_GATE}),
+rc2 AS (
+  SELECT * REPLACE (
+    CASE WHEN coalesce(closed_time, '') = '' THEN strftime(closed_ts, '%Y-%m-%dT%H:%M:%S')
+         || CASE WHEN epoch_us(closed_ts) % 1000000 <> 0 THEN '.' || lpad(CAST(epoch_us(closed_ts) % 1000000 AS VARCHAR), 6, '0') ELSE '' END
+         || '+00:00' ELSE closed_time END AS closed_time)
+  FROM rc WHERE closed_ts >= TIMESTAMP '2024-01-01 00:00:00' - INTERVAL 730 DAYS),
+tg AS (SELECT *, {_J_NAME} AS jurisdiction, {_J_LEVEL} AS jurisdiction_level FROM rc2),
+{catalog_sql()},
+srcnames AS (SELECT jurisdiction, list(name ORDER BY pos) AS jurisdiction_sources FROM srcs GROUP BY jurisdiction)
+SELECT t.event_id, t.market_id, t.platform, t.event_title, t.market_question, t.jurisdiction, t.jurisdiction_level,
+       s.jurisdiction_sources, b.jurisdiction_feasibility, t.category, t.start_date, t.end_date, t.closed_time,
+       t.total_volume, t.volume_24h, t.volume_1w, t.volume_1m, t.volume_1y, t.liquidity, t.liquidity_amm,
+       t.liquidity_clob, t.open_interest, t.num_outcomes, t.outcomes, t.winning_outcome, t.resolution_source,
+       t.resolution_notes, t.clob_token_ids, t.analytics_market_volume, t.analytics_market_open_interest,
+       t.analytics_outcome_yes_price, t.analytics_outcome_no_price, t.analytics_event_slug, t.analytics_source,
+       t.analytics_event_tags, n.candidate_names, {office_case(_OTEXT.replace('analytics_event_tags', 't.analytics_event_tags').replace('event_title', 't.event_title').replace('market_question', 't.market_question').replace('category', 't.category').replace('resolution_notes', 't.resolution_notes'))} AS office
+FROM tg t
+LEFT JOIN srcnames s ON t.jurisdiction = s.jurisdiction
+LEFT JOIN best b ON t.jurisdiction = b.jurisdiction
+LEFT JOIN names n ON t.market_id = n.market_id
+"""

@@ -107,3 +107,17 @@ QUERIES = {
     "name_candidates": q_name_candidates,
     "market_links": q_market_links,
 }
+
+
+def q_market_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X7 end to end: gate, analytics merge, names, office, recency,
+    jurisdiction, catalog; the 37 output columns."""
+    from .pipelines import build_market_dataset
+
+    dataset, _ = build_market_dataset(
+        standins.market_events(spark, sf_dir), standins.analytics_entries(spark, sf_dir), AS_OF
+    )
+    return dataset
+
+
+QUERIES["market_dataset"] = q_market_dataset
