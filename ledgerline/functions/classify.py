@@ -10,6 +10,7 @@ of word boundaries, spaces and digits (see ``regex.py``).
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,8 +32,12 @@ def is_election_event(title, description, ticker, slug, category) -> Column:
     """any election word occurs as a substring of the lower-cased text
     of the non-empty fields, joined by spaces."""
     hay = F.lower(join_nonempty(title, description, ticker, slug, category))
-    words = F.array(*[F.lit(w) for w in vocab.ELECTION_KEYWORDS])
-    return F.coalesce(F.exists(words, lambda w: F.instr(hay, w) > 0), F.lit(False))
+    return F.coalesce(F.exists(_literal_array(vocab.ELECTION_KEYWORDS), lambda w: F.instr(hay, w) > 0), F.lit(False))
+
+
+@lru_cache(maxsize=None)
+def _literal_array(values: tuple) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def is_election_question(question) -> Column:
@@ -60,14 +65,17 @@ def is_election_by_tags(tags) -> Column:
     The original also checks a list of other-domain tags, but both of its
     branches return the same test, so that list changes nothing."""
     lowered = F.transform(F.filter(_col(tags), lambda t: t.isNotNull() & (t != "")), lambda t: F.lower(F.trim(t)))
-    return F.coalesce(F.arrays_overlap(lowered, F.array(*[F.lit(t) for t in vocab.ELECTION_TAGS])), F.lit(False))
+    return F.coalesce(F.arrays_overlap(lowered, _literal_array(vocab.ELECTION_TAGS)), F.lit(False))
 
 
-def infer_office(text) -> Column:
+def infer_office(text, lowered: bool = False) -> Column:
     """The first office (in priority order) with a matching pattern in
     the lower-cased text; a 'House' hit does not count when the text
-    mentions 'white house'. Empty text -> NULL."""
-    t = F.lower(_col(text))
+    mentions 'white house'. Empty text -> NULL.
+
+    Pass an already lower-cased *column* with ``lowered=True``: the text is
+    referenced by every pattern, and a column reference is not recomputed."""
+    t = _col(text) if lowered else F.lower(_col(text))
     expr = None
     for office, patterns in vocab.OFFICE_PATTERNS:
         cond = _prechecked(t, t, patterns)
@@ -80,11 +88,16 @@ def infer_office(text) -> Column:
 _STATE_BY_ABBR = {a: n for a, n in vocab.US_DIVISIONS}
 
 
-def _abbr_to_state(abbr: Column) -> Column:
+@lru_cache(maxsize=None)
+def _abbr_map() -> Column:
     pairs = []
     for a, n in vocab.US_DIVISIONS:
         pairs += [F.lit(a), F.lit(n)]
-    return F.create_map(*pairs)[abbr]
+    return F.create_map(*pairs)
+
+
+def _abbr_to_state(abbr: Column) -> Column:
+    return _abbr_map()[abbr]
 
 
 _W = WORD_CLASS
@@ -103,11 +116,18 @@ _STATE_NAMES_LOWER = [n.lower() for _, n in vocab.US_DIVISIONS]
 STATE_NAME_SCAN = "(?=" + _NW + "(" + trie_alternation(_STATE_NAMES_LOWER) + ")" + _EW + ")"
 
 
-def _first_in_list_order(hits: Column, names) -> Column:
-    """The hit that comes first in ``names`` (list order, not text order)."""
+@lru_cache(maxsize=None)
+def _state_index() -> tuple[Column, Column]:
+    names = [n for _, n in vocab.US_DIVISIONS]
     index = F.create_map(*sum(([F.lit(n.lower()), F.lit(i)] for i, n in enumerate(names)), []))
+    return index, F.array(*[F.lit(n) for n in names])
+
+
+def _first_state_in_list_order(hits: Column) -> Column:
+    """The hit that comes first in the division list (not in the text)."""
+    index, names = _state_index()
     best = F.array_min(F.transform(hits, lambda h: index[h]))
-    return F.element_at(F.array(*[F.lit(n) for n in names]), best + 1)
+    return F.element_at(names, best + 1)
 
 
 def _first_non_null(*candidates: Column) -> Column:
@@ -120,7 +140,7 @@ def _st(name: Column, level: str) -> Column:
     return F.struct(name.cast("string").alias("name"), F.lit(level).alias("level"))
 
 
-def match_us_state(text) -> Column:
+def match_us_state(text, low: Column | None = None) -> Column:
     """struct(name, level) of a US state reference, or NULL.
 
     (a) the first state name in list order found as a whole word (lower
@@ -128,10 +148,10 @@ def match_us_state(text) -> Column:
     (c) two letters before 'senate' on one line; (d) two letters before
     'governor' on one line. (c) and (d) ignore case."""
     t = _col(text)
-    hits = F.regexp_extract_all(F.lower(t), F.lit(STATE_NAME_SCAN), 1)
-    by_name = _first_in_list_order(hits, [n for _, n in vocab.US_DIVISIONS])
+    low = F.lower(t) if low is None else low
+    hits = F.regexp_extract_all(low, F.lit(STATE_NAME_SCAN), 1)
+    by_name = _first_state_in_list_order(hits)
     district = _abbr_to_state(F.nullif(F.regexp_extract(t, DISTRICT_RE, 1), F.lit("")))
-    low = F.lower(t)
     # the two-letter rules scan to the end of each line from every two-letter
     # word; skip them unless the keyword occurs at all
     senate = _abbr_to_state(F.upper(F.when(F.instr(low, "senate") > 0, F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit("")))))
@@ -141,16 +161,22 @@ def match_us_state(text) -> Column:
     )
 
 
+@lru_cache(maxsize=None)
+def _country_table() -> Column:
+    return F.array(*[
+        F.struct(F.lit(k).alias("kw"), F.lit(n).alias("name"), F.lit(lv).alias("level"))
+        for k, n, lv in vocab.COUNTRY_KEYWORDS
+    ])
+
+
 def country_keyword(low: Column) -> Column:
-    """The first country keyword (list order) occurring as a substring."""
-    expr = None
-    for keyword, name, level in vocab.COUNTRY_KEYWORDS:
-        hit = F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
-        expr = F.when(low.contains(keyword), hit) if expr is None else expr.when(low.contains(keyword), hit)
-    return expr.otherwise(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("level")))
+    """The first country keyword (list order) occurring as a substring;
+    ``low`` is referenced once, inside one array filter."""
+    hit = F.get(F.filter(_country_table(), lambda c: F.instr(low, c["kw"]) > 0), 0)
+    return F.struct(hit["name"].alias("name"), hit["level"].alias("level"))
 
 
-def infer_jurisdiction(text) -> Column:
+def infer_jurisdiction(text, low: Column | None = None) -> Column:
     """C20: struct(name, level) for a market's text blob.
 
     US state (C19); else the first country keyword (list order) occurring
@@ -158,14 +184,14 @@ def infer_jurisdiction(text) -> Column:
     house or congress -> United States; parliament -> European Union;
     else Unclassified."""
     t = _col(text)
-    low = F.lower(t)
+    low = F.lower(t) if low is None else low
     mayor = low.contains("mayor")
 
     def when_lit(cond, name, level):
         return F.struct(F.when(cond, F.lit(name)).alias("name"), F.lit(level).alias("level"))
 
     found = _first_non_null(
-        F.coalesce(match_us_state(t), _st(F.lit(None), "state")),
+        F.coalesce(match_us_state(t, low), _st(F.lit(None), "state")),
         country_keyword(low),
         when_lit(mayor & low.contains("london"), "United Kingdom - London", "city"),
         when_lit(mayor & low.contains("new york"), "United States - New York City", "city"),

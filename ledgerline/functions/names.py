@@ -10,6 +10,7 @@ as higher-order array expressions evaluated per row.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from typing import Callable
 
 from pyspark.sql import Column
@@ -44,13 +45,18 @@ def name_tokens(name: Column) -> Column:
     return F.regexp_extract_all(name, F.lit(vocab.NAME_TOKEN_PATTERN), 0)
 
 
+@lru_cache(maxsize=None)
+def _word_arrays() -> tuple[Column, Column]:
+    return (F.array(*[F.lit(t) for t in vocab.PERSON_SUFFIX_TOKENS]),
+            F.array(*[F.lit(t) for t in vocab.PERSON_EXCLUSION_TOKENS]))
+
+
 def is_plausible(tokens: Column) -> Column:
     """at least one token that is not a generation suffix, and none of
     those tokens an excluded word."""
-    lowered = F.transform(tokens, lambda t: F.lower(t))
-    meaningful = F.filter(lowered, lambda t: ~t.isin(*vocab.PERSON_SUFFIX_TOKENS))
-    excluded = F.exists(meaningful, lambda t: t.isin(*vocab.PERSON_EXCLUSION_TOKENS))
-    return (F.size(meaningful) > 0) & ~excluded
+    suffixes, excluded_words = _word_arrays()
+    meaningful = F.array_except(F.transform(tokens, lambda t: F.lower(t)), suffixes)
+    return (F.size(meaningful) > 0) & ~F.arrays_overlap(meaningful, excluded_words)
 
 
 def needs_title_variant(text: Column) -> Column:

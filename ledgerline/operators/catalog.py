@@ -10,6 +10,8 @@ the seed values, not per-row Python.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,7 @@ def _template(template, name: Column, url: Column | None = None) -> Column:
     return _source([fill(v) for v in template])
 
 
+@lru_cache(maxsize=None)
 def _library_map() -> Column:
     by_country: dict[str, list] = {}
     for row in vocab.COUNTRY_SOURCE_LIBRARY:
@@ -63,6 +66,7 @@ def _library_map() -> Column:
     return F.create_map(*pairs)
 
 
+@lru_cache(maxsize=None)
 def _sites_map() -> Column:
     pairs = []
     for name, url in vocab.STATE_OFFICIAL_SITES:
@@ -74,6 +78,11 @@ _LIBRARY_LEVEL = {row[0]: row[1] for row in vocab.COUNTRY_SOURCE_LIBRARY}
 _STATE_NAMES = sorted({n for _, n in vocab.US_DIVISIONS} | {n for n, _ in vocab.STATE_OFFICIAL_SITES})
 
 
+@lru_cache(maxsize=None)
+def _lib_level_map() -> Column:
+    return F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _LIBRARY_LEVEL.items()), []))
+
+
 def state_sources(state: Column) -> Column:
     """Official office site (High) or directory fallback (Medium),
     encyclopedia page (Medium), results feed (High)."""
@@ -98,7 +107,7 @@ def assessment(jurisdiction: Column, level: Column) -> Column:
     us_prefixed = jurisdiction.startswith("United States -")
     # the text after the first '-', trimmed
     us_rest = F.trim(F.regexp_extract(jurisdiction, r"(?s)^[^-]*-(.*)$", 1))
-    lib_level = F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _LIBRARY_LEVEL.items()), []))[jurisdiction]
+    lib_level = _lib_level_map()[jurisdiction]
 
     def st(lv, srcs):
         return F.struct(lv.alias("level"), srcs.cast(SOURCES_TYPE).alias("sources"))
@@ -148,6 +157,17 @@ def build_catalog(tagged: DataFrame, order_col: str = "market_id") -> DataFrame:
     )
 
 
+def with_sources(tagged: DataFrame) -> DataFrame:
+    """J10 without a join: each record's source names and aggregate rating,
+    derived from its jurisdiction (they do not depend on the level)."""
+    a = assessment(F.col("jurisdiction"), F.col("jurisdiction_level"))
+    return tagged.withColumn("_asrc", a["sources"]).select(
+        "*",
+        F.transform("_asrc", lambda s: s["name"]).alias("jurisdiction_sources"),
+        best_feasibility(F.col("_asrc"))["rating"].alias("jurisdiction_feasibility"),
+    ).drop("_asrc")
+
+
 def tag_with_catalog(tagged: DataFrame, catalog: DataFrame) -> DataFrame:
     """Each record gets its jurisdiction's source names and rating.
     The catalog is bounded by the fixed vocabularies, so it is broadcast."""

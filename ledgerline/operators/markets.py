@@ -147,26 +147,38 @@ def enrich_markets(
         m = markets.join(a, markets.market_id == a._a_market_id, "left").drop("_a_market_id")
         tags = F.coalesce(F.col("analytics_event_tags"), F.array().cast("array<string>"))
     else:
-        m = markets
-        for c in ("analytics_market_volume", "analytics_market_open_interest", "analytics_outcome_yes_price",
-                  "analytics_outcome_no_price"):
-            m = m.withColumn(c, F.lit(None).cast("double"))
-        for c in ("analytics_event_slug", "analytics_source", "_a_market_close_date", "_a_event_end_date",
-                  "_a_event_title", "_a_event_description"):
-            m = m.withColumn(c, F.lit(None).cast("string"))
-        m = m.withColumn("_a_present", F.lit(None).cast("boolean"))
+        absent = {c: F.lit(None).cast("double") for c in (
+            "analytics_market_volume", "analytics_market_open_interest", "analytics_outcome_yes_price",
+            "analytics_outcome_no_price")}
+        absent.update({c: F.lit(None).cast("string") for c in (
+            "analytics_event_slug", "analytics_source", "_a_market_close_date", "_a_event_end_date",
+            "_a_event_title", "_a_event_description")})
+        absent["_a_present"] = F.lit(None).cast("boolean")
+        m = markets.withColumns(absent)
         tags = F.array().cast("array<string>")
     texts = F.concat(tags, F.array(F.col("resolution_notes")))
-    return m.withColumn("analytics_event_tags", tags).withColumn(
-        "candidate_names", names.extract_candidate_names(texts, finder)
-    ).withColumn(
-        "office",
-        classify.infer_office(
-            office_text(
-                F.col("event_title"), F.col("market_question"), F.col("category"), F.col("resolution_notes"),
-                F.array_join(F.col("analytics_event_tags"), " "),
-            )
-        ),
+    m = m.withColumns({"analytics_event_tags": tags, "candidate_names": names.extract_candidate_names(texts, finder)})
+    return with_office(m)
+
+
+def with_office(df: DataFrame) -> DataFrame:
+    """C18 on a materialised lower-cased text column (referenced by every
+    office pattern; a column is not recomputed per reference)."""
+    text = office_text(
+        F.col("event_title"), F.col("market_question"), F.col("category"), F.col("resolution_notes"),
+        F.array_join(F.col("analytics_event_tags"), " "),
+    )
+    staged = df.select("*", F.lower(text).alias("_otext"))
+    return staged.select(*[F.col(c) for c in df.columns], classify.infer_office(F.col("_otext"), lowered=True).alias("office"))
+
+
+def with_jurisdiction(df: DataFrame) -> DataFrame:
+    """Jurisdiction name and level, from materialised text columns."""
+    cols = [F.col(c) for c in df.columns if c not in ("jurisdiction", "jurisdiction_level")]
+    staged = df.select(*cols, jurisdiction_text().alias("_jtext")).select("*", F.lower(F.col("_jtext")).alias("_jlow"))
+    j = classify.infer_jurisdiction(F.col("_jtext"), F.col("_jlow"))
+    return staged.select(*cols, j.alias("_j")).select(
+        *cols, F.col("_j.name").alias("jurisdiction"), F.col("_j.level").alias("jurisdiction_level")
     )
 
 
@@ -185,13 +197,10 @@ def recent_markets(markets: DataFrame, as_of, lookback_days: int = vocab.RECENT_
     An empty closed_time is filled with the ISO text of that time."""
     closed = closed_timestamp(markets)
     cutoff = F.lit(as_of).cast("timestamp") - F.make_interval(days=F.lit(lookback_days))
-    kept = markets.withColumn("_closed_ts", closed).filter(F.col("_closed_ts") >= cutoff)
-    return kept.withColumn(
-        "closed_time",
-        F.when(F.coalesce(F.col("closed_time"), F.lit("")) == "", parsing.iso_text(F.col("_closed_ts"))).otherwise(
-            F.col("closed_time")
-        ),
-    )
+    kept = markets.select("*", closed.alias("_closed_ts")).filter(F.col("_closed_ts") >= cutoff)
+    filled = F.when(F.coalesce(F.col("closed_time"), F.lit("")) == "", parsing.iso_text(F.col("_closed_ts"))).otherwise(
+        F.col("closed_time"))
+    return kept.select(*[filled.alias(c) if c == "closed_time" else F.col(c) for c in kept.columns])
 
 
 def jurisdiction_text() -> Column:

@@ -29,9 +29,7 @@ def _enriched(spark, sf_dir) -> DataFrame:
 
 
 def _tagged(spark, sf_dir) -> DataFrame:
-    e = _enriched(spark, sf_dir)
-    j = classify.infer_jurisdiction(markets.jurisdiction_text())
-    return e.withColumn("jurisdiction", j["name"]).withColumn("jurisdiction_level", j["level"])
+    return markets.with_jurisdiction(_enriched(spark, sf_dir))
 
 
 def q_market_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
