@@ -252,10 +252,8 @@ def _iso_spelling(day: Column, variant: Column) -> Column:
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested market events (EVENT_SCHEMA shape) built from conversations.
-
-    The per-event market list is assembled with ``collect_list`` grouped by
-    conversation; a conversation holds a handful of turns."""
+    """Nested market events (EVENT_SCHEMA shape) built from conversations:
+    an event per conversation, its markets the turns."""
     conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     cid, turn = F.col("conv_id"), F.col("turn")
     market = F.struct(
@@ -278,16 +276,19 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), (turn + 1).cast("string"), F.lit(" ")).alias("liquidity"),
         F.when(turn % 3 == 0, F.lit("0")).otherwise(turn.cast("string")).alias("liquidityAmm"),
     )
-    grouped = conv.groupBy("conv_id").agg(
+    # per-conversation event fields: partial aggregates, one row per event
+    per_event = conv.groupBy("conv_id").agg(
         F.min_by("text", "turn").alias("first_text"),
         F.max_by("text", "turn").alias("last_text"),
         F.min_by("role", "turn").alias("first_role"),
         F.count(F.lit(1)).alias("n_turns"),
-        F.collect_list(market).alias("markets"),
     )
+    # every turn lands as its own page entry of the event (same event id,
+    # one market each), so no group is ever collected into one row
+    pages = conv.select("conv_id", F.array(market).alias("markets")).join(per_event, "conv_id")
     day = F.date_add(F.lit("2021-01-01").cast("date"), (F.col("conv_id") * 7).cast("int"))
     cid = F.col("conv_id")
-    return grouped.select(
+    return pages.select(
         cid.cast("string").alias("id"),
         F.concat(_pick(MARKET_PHRASES, cid * 7), F.lit(" "), F.col("first_text")).alias("title"),
         F.col("last_text").alias("description"),
