@@ -28,11 +28,24 @@ def join_nonempty(*parts) -> Column:
     return F.concat_ws(" ", *[F.nullif(_col(p), F.lit("")) for p in parts])
 
 
+def election_event_text(title, description, ticker, slug, category) -> Column:
+    """Lower-cased text of the non-empty event fields, joined by spaces."""
+    return F.lower(join_nonempty(title, description, ticker, slug, category))
+
+
+def mentions_election_word(hay: Column) -> Column:
+    """F3 on a materialised lower-case text column: any election word occurs
+    as a substring."""
+    cond = None
+    for w in vocab.ELECTION_KEYWORDS:
+        cond = hay.contains(w) if cond is None else cond | hay.contains(w)
+    return F.coalesce(cond, F.lit(False))
+
+
 def is_election_event(title, description, ticker, slug, category) -> Column:
     """any election word occurs as a substring of the lower-cased text
     of the non-empty fields, joined by spaces."""
-    hay = F.lower(join_nonempty(title, description, ticker, slug, category))
-    return F.coalesce(F.exists(_literal_array(vocab.ELECTION_KEYWORDS), lambda w: F.instr(hay, w) > 0), F.lit(False))
+    return mentions_election_word(election_event_text(title, description, ticker, slug, category))
 
 
 @lru_cache(maxsize=None)
@@ -40,10 +53,12 @@ def _literal_array(values: tuple) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def is_election_question(question) -> Column:
-    """any of the question patterns matches (case-insensitive)."""
+def is_election_question(question, low: Column | None = None) -> Column:
+    """any of the question patterns matches (case-insensitive).
+    ``low``: the question lower-cased, when already a column."""
     q = _col(question)
-    return F.coalesce(_prechecked(F.lower(q), q, vocab.QUESTION_PATTERNS, "(?i)"), F.lit(False))
+    low = F.lower(q) if low is None else low
+    return F.coalesce(_prechecked(low, q, vocab.QUESTION_PATTERNS, "(?i)"), F.lit(False))
 
 
 def _prechecked(low: Column, text: Column, patterns, flags: str = "") -> Column:
@@ -54,7 +69,7 @@ def _prechecked(low: Column, text: Column, patterns, flags: str = "") -> Column:
         return text.rlike(flags + any_of(patterns))
     pre = None
     for lit in literals:
-        c = F.instr(low, lit) > 0
+        c = low.contains(lit)
         pre = c if pre is None else pre | c
     return F.when(pre, text.rlike(flags + any_of(patterns))).otherwise(F.lit(False))
 
@@ -117,29 +132,54 @@ STATE_NAME_SCAN = "(?=" + _NW + "(" + trie_alternation(_STATE_NAMES_LOWER) + ")"
 
 
 @lru_cache(maxsize=None)
-def _state_index() -> tuple[Column, Column]:
+def _state_lists() -> tuple[Column, Column]:
     names = [n for _, n in vocab.US_DIVISIONS]
-    index = F.create_map(*sum(([F.lit(n.lower()), F.lit(i)] for i, n in enumerate(names)), []))
-    return index, F.array(*[F.lit(n) for n in names])
+    lower_in_order = F.array(*[F.lit(n.lower()) for n in names])
+    proper = F.create_map(*sum(([F.lit(n.lower()), F.lit(n)] for n in names), []))
+    return lower_in_order, proper
 
 
 def _first_state_in_list_order(hits: Column) -> Column:
-    """The hit that comes first in the division list (not in the text)."""
-    index, names = _state_index()
-    best = F.array_min(F.transform(hits, lambda h: index[h]))
-    return F.element_at(names, best + 1)
-
+    """The hit that comes first in the division list (not in the text).
 
-def _first_non_null(*candidates: Column) -> Column:
-    """First struct whose ``name`` is not NULL; each candidate is written
-    once in the plan (no CASE duplication)."""
-    return F.get(F.filter(F.array(*candidates), lambda s: s["name"].isNotNull()), 0)
+    ``array_intersect`` keeps the order of its first argument, so no
+    per-element lambda is needed (lambdas are not compiled)."""
+    lower_in_order, proper = _state_lists()
+    return proper[F.get(F.array_intersect(lower_in_order, hits), 0)]
 
 
 def _st(name: Column, level: str) -> Column:
     return F.struct(name.cast("string").alias("name"), F.lit(level).alias("level"))
 
 
+def state_parts(text, low: Column | None = None) -> Column:
+    """The four C19 rules evaluated side by side:
+    struct(by_name, district, senate, governor), each a state name or NULL."""
+    t = _col(text)
+    low = F.lower(t) if low is None else low
+    hits = F.regexp_extract_all(low, F.lit(STATE_NAME_SCAN), 1)
+    # the two-letter rules scan to the end of each line from every two-letter
+    # word; skip them unless the keyword occurs at all
+    senate = F.when(low.contains("senate"), F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit("")))
+    governor = F.when(low.contains("governor"), F.nullif(F.regexp_extract(t, GOVERNOR_RE, 1), F.lit("")))
+    return F.struct(
+        _first_state_in_list_order(hits).alias("by_name"),
+        _abbr_to_state(F.nullif(F.regexp_extract(t, DISTRICT_RE, 1), F.lit(""))).alias("district"),
+        _abbr_to_state(F.upper(senate)).alias("senate"),
+        _abbr_to_state(F.upper(governor)).alias("governor"),
+    )
+
+
+def state_from_parts(p: Column) -> Column:
+    """C19 priority over ``state_parts``: name, district, senate, governor."""
+    return (
+        F.when(p["by_name"].isNotNull(), _st(p["by_name"], "state"))
+        .when(p["district"].isNotNull(), _st(p["district"], "district"))
+        .when(p["senate"].isNotNull(), _st(p["senate"], "state"))
+        .when(p["governor"].isNotNull(), _st(p["governor"], "state"))
+    )
+
+
 def match_us_state(text, low: Column | None = None) -> Column:
     """struct(name, level) of a US state reference, or NULL.
 
@@ -147,33 +187,55 @@ def match_us_state(text, low: Column | None = None) -> Column:
     case); (b) the first district code, if its letters are a known state;
     (c) two letters before 'senate' on one line; (d) two letters before
     'governor' on one line. (c) and (d) ignore case."""
+    return state_from_parts(state_parts(text, low))
+
+
+def country_keyword(low: Column) -> Column:
+    """struct(name, level) of the first country keyword (list order) found
+    as a substring of ``low`` (a materialised lower-case column), or NULLs."""
+    expr = None
+    for keyword, name, level in vocab.COUNTRY_KEYWORDS:
+        hit = F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
+        cond = low.contains(keyword)
+        expr = F.when(cond, hit) if expr is None else expr.when(cond, hit)
+    return expr.otherwise(F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("level")))
+
+
+def jurisdiction_parts(text, low: Column | None = None) -> Column:
+    """All C20 candidates side by side (each computed once): the C19 parts,
+    the first country keyword and the fallback tests."""
     t = _col(text)
     low = F.lower(t) if low is None else low
-    hits = F.regexp_extract_all(low, F.lit(STATE_NAME_SCAN), 1)
-    by_name = _first_state_in_list_order(hits)
-    district = _abbr_to_state(F.nullif(F.regexp_extract(t, DISTRICT_RE, 1), F.lit("")))
-    # the two-letter rules scan to the end of each line from every two-letter
-    # word; skip them unless the keyword occurs at all
-    senate = _abbr_to_state(F.upper(F.when(F.instr(low, "senate") > 0, F.nullif(F.regexp_extract(t, SENATE_RE, 1), F.lit("")))))
-    governor = _abbr_to_state(F.upper(F.when(F.instr(low, "governor") > 0, F.nullif(F.regexp_extract(t, GOVERNOR_RE, 1), F.lit("")))))
-    return _first_non_null(
-        _st(by_name, "state"), _st(district, "district"), _st(senate, "state"), _st(governor, "state")
+    mayor = low.contains("mayor")
+    return F.struct(
+        (t.isNull() | (t == "")).alias("empty"),
+        state_parts(t, low).alias("state"),
+        country_keyword(low).alias("country"),
+        (mayor & (low.contains("london"))).alias("london"),
+        (mayor & (low.contains("new york"))).alias("nyc"),
+        ((low.contains("senate")) | (low.contains("house")) | (low.contains("congress"))).alias("us"),
+        (low.contains("parliament")).alias("eu"),
     )
 
 
-@lru_cache(maxsize=None)
-def _country_table() -> Column:
-    return F.array(*[
-        F.struct(F.lit(k).alias("kw"), F.lit(n).alias("name"), F.lit(lv).alias("level"))
-        for k, n, lv in vocab.COUNTRY_KEYWORDS
-    ])
+def jurisdiction_from_parts(p: Column) -> Column:
+    """C20 priority over ``jurisdiction_parts``."""
 
+    def lit_st(name, level):
+        return F.struct(F.lit(name).alias("name"), F.lit(level).alias("level"))
 
-def country_keyword(low: Column) -> Column:
-    """The first country keyword (list order) occurring as a substring;
-    ``low`` is referenced once, inside one array filter."""
-    hit = F.get(F.filter(_country_table(), lambda c: F.instr(low, c["kw"]) > 0), 0)
-    return F.struct(hit["name"].alias("name"), hit["level"].alias("level"))
+    unclassified = lit_st(*vocab.UNCLASSIFIED)
+    state = state_from_parts(p["state"])
+    return (
+        F.when(p["empty"], unclassified)
+        .when(state.isNotNull(), state)
+        .when(p["country"]["name"].isNotNull(), p["country"])
+        .when(p["london"], lit_st("United Kingdom - London", "city"))
+        .when(p["nyc"], lit_st("United States - New York City", "city"))
+        .when(p["us"], lit_st("United States", "national"))
+        .when(p["eu"], lit_st("European Union", "supra-national"))
+        .otherwise(unclassified)
+    )
 
 
 def infer_jurisdiction(text, low: Column | None = None) -> Column:
@@ -182,24 +244,9 @@ def infer_jurisdiction(text, low: Column | None = None) -> Column:
     US state (C19); else the first country keyword (list order) occurring
     as a substring; else London / New York mayoral races; else senate,
     house or congress -> United States; parliament -> European Union;
-    else Unclassified."""
-    t = _col(text)
-    low = F.lower(t) if low is None else low
-    mayor = low.contains("mayor")
-
-    def when_lit(cond, name, level):
-        return F.struct(F.when(cond, F.lit(name)).alias("name"), F.lit(level).alias("level"))
-
-    found = _first_non_null(
-        F.coalesce(match_us_state(t, low), _st(F.lit(None), "state")),
-        country_keyword(low),
-        when_lit(mayor & low.contains("london"), "United Kingdom - London", "city"),
-        when_lit(mayor & low.contains("new york"), "United States - New York City", "city"),
-        when_lit(low.contains("senate") | low.contains("house") | low.contains("congress"), "United States", "national"),
-        when_lit(low.contains("parliament"), "European Union", "supra-national"),
-    )
-    unclassified = F.struct(F.lit(vocab.UNCLASSIFIED[0]).alias("name"), F.lit(vocab.UNCLASSIFIED[1]).alias("level"))
-    return F.when(t.isNull() | (t == ""), unclassified).otherwise(F.coalesce(found, unclassified))
+    else Unclassified. (Jobs stage ``jurisdiction_parts`` into a column
+    first; see ``operators.markets.with_jurisdiction``.)"""
+    return jurisdiction_from_parts(jurisdiction_parts(text, low))
 
 
 __all__ = [

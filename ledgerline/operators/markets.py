@@ -121,11 +121,15 @@ def gate_markets(markets: DataFrame, analytics: DataFrame | None = None) -> Data
     election tag (a left-semi join). Without: the event text must mention
     an election word and the question must read as an electoral outcome."""
     if analytics is None:
-        keep = classify.is_election_event(
+        hay = classify.election_event_text(
             F.col("event_title"), F.col("_event_description"), F.col("_event_ticker"), F.col("_event_slug"),
             F.col("category"),
-        ) & classify.is_election_question(F.col("market_question"))
-        return markets.filter(keep)
+        )
+        # both texts are referenced by many tests: materialise them once
+        staged = markets.select("*", hay.alias("_hay"), F.lower(F.col("market_question")).alias("_qlow"))
+        keep = classify.mentions_election_word(F.col("_hay")) & classify.is_election_question(
+            F.col("market_question"), F.col("_qlow"))
+        return staged.filter(keep).drop("_hay", "_qlow")
     qualifying = analytics.filter(classify.is_election_by_tags(parsing.normalize_tags(F.col("event_tags")))).select(
         F.col("market_id").alias("_q_market_id")
     )
@@ -176,10 +180,9 @@ def with_jurisdiction(df: DataFrame) -> DataFrame:
     """Jurisdiction name and level, from materialised text columns."""
     cols = [F.col(c) for c in df.columns if c not in ("jurisdiction", "jurisdiction_level")]
     staged = df.select(*cols, jurisdiction_text().alias("_jtext")).select("*", F.lower(F.col("_jtext")).alias("_jlow"))
-    j = classify.infer_jurisdiction(F.col("_jtext"), F.col("_jlow"))
-    return staged.select(*cols, j.alias("_j")).select(
-        *cols, F.col("_j.name").alias("jurisdiction"), F.col("_j.level").alias("jurisdiction_level")
-    )
+    parts = staged.select(*cols, classify.jurisdiction_parts(F.col("_jtext"), F.col("_jlow")).alias("_jp"))
+    j = parts.select(*cols, classify.jurisdiction_from_parts(F.col("_jp")).alias("_j"))
+    return j.select(*cols, F.col("_j.name").alias("jurisdiction"), F.col("_j.level").alias("jurisdiction_level"))
 
 
 def closed_timestamp(df: DataFrame) -> Column:
