@@ -588,3 +588,22 @@ LEFT JOIN srcnames s ON t.jurisdiction = s.jurisdiction
 LEFT JOIN best b ON t.jurisdiction = b.jurisdiction
 LEFT JOIN names n ON t.market_id = n.market_id
 """
+
+SQL["winning_outcome"] = f"""
+WITH t AS (
+  SELECT event_id,
+    CASE event_type WHEN 'click' THEN '["Yes","No"]' WHEN 'view' THEN '[''Up'',''Down'']'
+         WHEN 'error' THEN '["A","B","C"]' WHEN 'signup' THEN '[]' ELSE 'oops' END AS outcomes_text,
+    '["' || CAST(floor(value) / 100 AS VARCHAR) || '","' || CAST((100 - floor(value)) / 100 AS VARCHAR) || '"]' AS prices_text
+  FROM events),
+t2 AS (SELECT *, {raw_list("outcomes_text")} AS o_list,
+              list_transform({raw_list("prices_text")}, lambda p: {pf("p")}) AS p_list FROM t)
+SELECT event_id, outcomes_text, prices_text, {plist("outcomes_text")} AS outcomes,
+       len({plist("outcomes_text")}) AS num_outcomes,
+       CASE WHEN o_list IS NULL OR p_list IS NULL OR len(o_list) = 0 OR len(o_list) <> len(p_list)
+                 OR len(list_filter(p_list, lambda x: x IS NULL)) > 0
+                 OR len(list_filter(o_list, lambda x: x IS NULL)) > 0 THEN NULL
+            ELSE o_list[list_filter(range(1, len(o_list) + 1), lambda i: p_list[i] >= 0.8 AND NOT isnan(p_list[i]))[1]]
+       END AS winning_outcome
+FROM t2
+"""

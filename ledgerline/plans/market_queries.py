@@ -119,3 +119,31 @@ def q_market_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["market_dataset"] = q_market_dataset
+
+
+def q_winning_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome lists and the winner from settlement prices
+    derived from event values (outcome text by event type)."""
+    from ..functions import parsing
+
+    ev = standins.table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    outcomes = (
+        F.when(F.col("event_type") == "click", F.lit('["Yes","No"]'))
+        .when(F.col("event_type") == "view", F.lit("['Up','Down']"))
+        .when(F.col("event_type") == "error", F.lit('["A","B","C"]'))
+        .when(F.col("event_type") == "signup", F.lit("[]"))
+        .otherwise(F.lit("oops"))
+    )
+    p = F.floor("value")
+    prices = F.concat(
+        F.lit('["'), (p / 100).cast("string"), F.lit('","'), ((F.lit(100) - p) / 100).cast("string"), F.lit('"]')
+    )
+    t = ev.select("event_id", outcomes.alias("outcomes_text"), prices.alias("prices_text"))
+    lst = parsing.parse_string_list(F.col("outcomes_text"))
+    return t.select(
+        "event_id", "outcomes_text", "prices_text", lst.alias("outcomes"), F.size(lst).alias("num_outcomes"),
+        parsing.infer_winner(F.col("outcomes_text"), F.col("prices_text")).alias("winning_outcome"),
+    )
+
+
+QUERIES["winning_outcome"] = q_winning_outcome
