@@ -103,7 +103,10 @@ def parse_iso(x: str) -> str:
     c2 = f"(CASE WHEN contains({c1}, ' ') AND NOT contains({c1}, 'T') THEN replace({c1}, ' ', 'T') ELSE {c1} END)"
     c3 = f"regexp_replace({c2}, '(\\+\\d{{2}})$', '\\1:00')"
     ok = f"regexp_full_match({c3}, '\\d{{4}}-\\d{{2}}-\\d{{2}}(T\\d{{2}}(:\\d{{2}}(:\\d{{2}}(\\.\\d{{1,6}})?)?)?([+-]\\d{{2}}:\\d{{2}})?)?')"
-    return f"(CASE WHEN {ok} THEN CAST(TRY_CAST({c3} AS TIMESTAMPTZ) AS TIMESTAMP) END)"
+    # text without an offset is UTC, whatever the DuckDB session zone is
+    c4 = (f"(CASE WHEN regexp_matches({c3}, '[+-]\\d{{2}}:\\d{{2}}$') THEN {c3} "
+          f"WHEN length({c3}) = 10 THEN {c3} || 'T00:00:00+00:00' ELSE {c3} || '+00:00' END)")
+    return f"(CASE WHEN {ok} THEN timezone('UTC', TRY_CAST({c4} AS TIMESTAMPTZ)) END)"
 
 
 def normalize_tags(x: str) -> str:

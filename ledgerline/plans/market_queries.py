@@ -16,6 +16,19 @@ from . import standins
 AS_OF = "2024-01-01 00:00:00"  # recency reference time (a job parameter)
 
 
+def _utc(fn):
+    """Market times are read and written in UTC (Q21), whatever the caller's
+    session default is."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _flat_markets(spark, sf_dir) -> DataFrame:
     return markets.flatten_markets(standins.market_events(spark, sf_dir))
 
@@ -61,7 +74,8 @@ def q_election_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_closed_time_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best closed time, two-year window before AS_OF, fill."""
     r = markets.recent_markets(_enriched(spark, sf_dir), AS_OF)
-    return r.select("market_id", "closed_time", F.col("_closed_ts").alias("closed_ts"))
+    # a zone-free timestamp, so clients read the same wall-clock UTC value
+    return r.select("market_id", "closed_time", F.col("_closed_ts").cast("timestamp_ntz").alias("closed_ts"))
 
 
 def q_office_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +108,7 @@ def q_market_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "market_flatten": q_market_flatten,
+    "market_flatten": q_market_flatten,  # noqa: E501 (wrapped below)
     "analytics_latest": q_analytics_latest,
     "tag_gate": q_tag_gate,
     "election_text_filter": q_election_text_filter,
@@ -147,3 +161,6 @@ def q_winning_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["winning_outcome"] = q_winning_outcome
+
+
+QUERIES = {name: _utc(fn) for name, fn in QUERIES.items()}

@@ -53,3 +53,22 @@ def test_dedup_is_independent_of_partitioning(spark):
     one = dims.build_candidate_dim(master.repartition(1)).collect()
     many = dims.build_candidate_dim(master.repartition(7, "o_orderkey")).collect()
     assert sorted(one) == sorted(many)
+
+
+def test_paging_and_search_are_bounded_top_k(spark):
+    page = driver_queries.q_history_page(spark, SF_SMALL)
+    assert "TakeOrderedAndProject(limit=40, offset=20" in _plan(page)
+    search = driver_queries.q_candidate_search(spark, SF_SMALL)
+    assert "TakeOrderedAndProject(limit=50" in _plan(search)
+
+
+def test_market_queries_pin_utc(spark):
+    from ledgerline.plans import market_queries
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = market_queries.QUERIES["closed_time_recent"](spark, SF_SMALL).collect()
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert all(r.closed_time.endswith("+00:00") or "T" in r.closed_time or " " in r.closed_time for r in rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
