@@ -19,11 +19,15 @@ DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
 MONEY = "decimal(38,2)"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (no job is run).
+# Parquet/ORC scans are estimated at their (compressed) file size; decoded
+# rows are several times larger, so estimates are scaled by this factor
+# before they are compared with a broadcast limit.
+DECODE_EXPANSION = 10
+
 
-    Without CBO the estimate never shrinks below the scanned bytes for
-    filters, so it is an upper bound for broadcast decisions."""
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (no job is run),
+    from the plan statistics the planner itself uses for join selection."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
         return int(str(stats.sizeInBytes()))
@@ -32,16 +36,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only for a side whose estimated size is within the limit.
+    """Broadcast hint only for a side whose scaled size estimate is within
+    the limit.
 
-    A side that is larger, or whose size is unknown, is left to the planner
+    The estimate is multiplied by ``DECODE_EXPANSION`` (columnar files expand
+    when decoded), so the hint is given only with a conservative bound. A
+    larger side, or one whose size is unknown, is left to the planner
     (sort-merge join; AQE re-plans with runtime statistics and splits skewed
     partitions)."""
     limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
+    if size is not None and size * DECODE_EXPANSION <= limit:
         return F.broadcast(df)
-    LOGGER.info("not broadcasting side of %s bytes (limit %s)", size, limit)
+    LOGGER.info("not broadcasting side of ~%s bytes (limit %s)", size, limit)
     return df
 
 

@@ -72,3 +72,13 @@ def test_market_queries_pin_utc(spark):
         assert all(r.closed_time.endswith("+00:00") or "T" in r.closed_time or " " in r.closed_time for r in rows)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_broadcast_only_within_checked_size(spark):
+    from ledgerline.operators.common import broadcast_if_small
+
+    dim = standins.table(spark, SF_SMALL, "supplier")
+    hinted = broadcast_if_small(dim)
+    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
+    unhinted = broadcast_if_small(dim, limit_bytes=1024)
+    assert "ResolvedHint" not in unhinted._jdf.queryExecution().analyzed().toString()
