@@ -143,14 +143,25 @@ def best_feasibility(sources: Column) -> Column:
     ).otherwise(F.struct(best["rating"].alias("rating"), best["note"].alias("note")))
 
 
+@lru_cache(maxsize=None)
+def _assessment_of(jurisdiction_col: str, level_col: str) -> Column:
+    # expressions over fixed column names are built once per process
+    return assessment(F.col(jurisdiction_col), F.col(level_col))
+
+
+@lru_cache(maxsize=None)
+def _best_of(sources_col: str) -> Column:
+    return best_feasibility(F.col(sources_col))
+
+
 def build_catalog(tagged: DataFrame, order_col: str = "market_id") -> DataFrame:
     """One catalog entry per jurisdiction; the level of the first
     record (by ``order_col``) fixes a state's entry level (Q26).
 
     Columns: jurisdiction, level, sources, feasibility, feasibility_notes."""
     first = tagged.groupBy("jurisdiction").agg(F.min_by("jurisdiction_level", F.col(order_col)).alias("_lvl"))
-    a = first.select("jurisdiction", assessment(F.col("jurisdiction"), F.col("_lvl")).alias("_a"))
-    best = best_feasibility(F.col("_a.sources"))
+    a = first.select("jurisdiction", _assessment_of("jurisdiction", "_lvl").alias("_a"))
+    best = _best_of("_a.sources")
     return a.select(
         "jurisdiction", F.col("_a.level").alias("level"), F.col("_a.sources").alias("sources"),
         best["rating"].alias("feasibility"), best["note"].alias("feasibility_notes"),
@@ -160,12 +171,13 @@ def build_catalog(tagged: DataFrame, order_col: str = "market_id") -> DataFrame:
 def with_sources(tagged: DataFrame) -> DataFrame:
     """J10 without a join: each record's source names and aggregate rating,
     derived from its jurisdiction (they do not depend on the level)."""
-    a = assessment(F.col("jurisdiction"), F.col("jurisdiction_level"))
-    return tagged.withColumn("_asrc", a["sources"]).select(
-        "*",
+    a = _assessment_of("jurisdiction", "jurisdiction_level")
+    staged = tagged.select("*", a["sources"].alias("_asrc"))
+    return staged.select(
+        *[F.col(c) for c in tagged.columns],
         F.transform("_asrc", lambda s: s["name"]).alias("jurisdiction_sources"),
-        best_feasibility(F.col("_asrc"))["rating"].alias("jurisdiction_feasibility"),
-    ).drop("_asrc")
+        _best_of("_asrc")["rating"].alias("jurisdiction_feasibility"),
+    )
 
 
 def tag_with_catalog(tagged: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ enrichment and a left-semi join for the gate. Neither side is collected.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +47,17 @@ def flatten_markets(events: DataFrame) -> DataFrame:
     closed time, AMM liquidity (0 also falls back) and notes (description).
     A NULL market list gives no rows (Q23)."""
     m = events.select(F.col("*"), F.explode("markets").alias("m")).drop("markets")
+    return m.select(*_flatten_columns())
+
+
+@lru_cache(maxsize=None)
+def _flatten_columns() -> tuple:
+    # Column expressions over fixed input names: built once per process
     amm_text = F.when(_falsy_number_text(F.col("m.liquidityAmm")), F.col("liquidityAmm")).otherwise(
         F.col("m.liquidityAmm")
     )
     outcomes_text = F.coalesce(F.col("m.outcomes"), F.lit("[]"))
-    return m.select(
+    return (
         F.col("id").alias("event_id"),
         F.col("m.id").alias("market_id"),
         F.lit(vocab.PLATFORM).alias("platform"),
@@ -97,7 +105,12 @@ def latest_analytics(entries: DataFrame) -> DataFrame:
 
 def analytics_columns(analytics: DataFrame) -> DataFrame:
     """Analytics fields as they are merged into a market record."""
-    return analytics.select(
+    return analytics.select(*_analytics_select())
+
+
+@lru_cache(maxsize=None)
+def _analytics_select() -> tuple:
+    return (
         F.col("market_id").alias("_a_market_id"),
         parsing.parse_float(F.col("market_volume")).alias("analytics_market_volume"),
         parsing.parse_float(F.col("market_open_interest")).alias("analytics_market_open_interest"),
@@ -160,32 +173,56 @@ def enrich_markets(
         absent["_a_present"] = F.lit(None).cast("boolean")
         m = markets.withColumns(absent)
         tags = F.array().cast("array<string>")
-    texts = F.concat(tags, F.array(F.col("resolution_notes")))
-    m = m.withColumns({"analytics_event_tags": tags, "candidate_names": names.extract_candidate_names(texts, finder)})
+    m = m.withColumns({"analytics_event_tags": tags, "candidate_names": _names_column(analytics is not None, finder)})
     return with_office(m)
 
 
+@lru_cache(maxsize=None)
+def _names_column(with_analytics: bool, finder) -> Column:
+    tags = (F.coalesce(F.col("analytics_event_tags"), F.array().cast("array<string>")) if with_analytics
+            else F.array().cast("array<string>"))
+    return names.extract_candidate_names(F.concat(tags, F.array(F.col("resolution_notes"))), finder)
+
+
 def with_office(df: DataFrame) -> DataFrame:
     """C18 on a materialised lower-cased text column (referenced by every
     office pattern; a column is not recomputed per reference)."""
+    text_col, office_col = _office_columns()
+    staged = df.select("*", text_col)
+    return staged.select(*[F.col(c) for c in df.columns], office_col)
+
+
+@lru_cache(maxsize=None)
+def _office_columns() -> tuple[Column, Column]:
     text = office_text(
         F.col("event_title"), F.col("market_question"), F.col("category"), F.col("resolution_notes"),
         F.array_join(F.col("analytics_event_tags"), " "),
     )
-    staged = df.select("*", F.lower(text).alias("_otext"))
-    return staged.select(*[F.col(c) for c in df.columns], classify.infer_office(F.col("_otext"), lowered=True).alias("office"))
+    return F.lower(text).alias("_otext"), classify.infer_office(F.col("_otext"), lowered=True).alias("office")
 
 
 def with_jurisdiction(df: DataFrame) -> DataFrame:
     """Jurisdiction name and level, from materialised text columns."""
     cols = [F.col(c) for c in df.columns if c not in ("jurisdiction", "jurisdiction_level")]
-    staged = df.select(*cols, jurisdiction_text().alias("_jtext")).select("*", F.lower(F.col("_jtext")).alias("_jlow"))
-    parts = staged.select(*cols, classify.jurisdiction_parts(F.col("_jtext"), F.col("_jlow")).alias("_jp"))
-    j = parts.select(*cols, classify.jurisdiction_from_parts(F.col("_jp")).alias("_j"))
+    text, low, parts_col, from_parts = _jurisdiction_columns()
+    staged = df.select(*cols, text).select("*", low)
+    parts = staged.select(*cols, parts_col)
+    j = parts.select(*cols, from_parts)
     return j.select(*cols, F.col("_j.name").alias("jurisdiction"), F.col("_j.level").alias("jurisdiction_level"))
 
 
-def closed_timestamp(df: DataFrame) -> Column:
+@lru_cache(maxsize=None)
+def _jurisdiction_columns() -> tuple:
+    return (
+        jurisdiction_text().alias("_jtext"),
+        F.lower(F.col("_jtext")).alias("_jlow"),
+        classify.jurisdiction_parts(F.col("_jtext"), F.col("_jlow")).alias("_jp"),
+        classify.jurisdiction_from_parts(F.col("_jp")).alias("_j"),
+    )
+
+
+@lru_cache(maxsize=None)
+def closed_timestamp() -> Column:
     """C14: closed, end, start, then (with an analytics entry) its market
     close date and event end date."""
     return parsing.first_timestamp(
@@ -198,7 +235,7 @@ def recent_markets(markets: DataFrame, as_of, lookback_days: int = vocab.RECENT_
     """markets whose best closed time is within the look-back window
     before ``as_of`` (a timestamp or ISO text; a job parameter, Q22).
     An empty closed_time is filled with the ISO text of that time."""
-    closed = closed_timestamp(markets)
+    closed = closed_timestamp()
     cutoff = F.lit(as_of).cast("timestamp") - F.make_interval(days=F.lit(lookback_days))
     kept = markets.select("*", closed.alias("_closed_ts")).filter(F.col("_closed_ts") >= cutoff)
     filled = F.when(F.coalesce(F.col("closed_time"), F.lit("")) == "", parsing.iso_text(F.col("_closed_ts"))).otherwise(
