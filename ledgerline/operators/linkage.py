@@ -72,8 +72,12 @@ def ilike_join(patterns: DataFrame, candidates: DataFrame, broadcast_limit: int
     ``search_text`` column. Patterns without any literal character match
     every candidate and are not accepted here."""
     cand_grams = candidates.select("*", F.explode(candidate_grams(F.col("search_text"))).alias("_gram"))
-    freq = cand_grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
     pg = patterns.select("pattern", F.explode(pattern_grams(F.col("pattern"))).alias("_gram"))
+    # only grams that occur in some pattern need a frequency: candidate grams
+    # are filtered against that (bounded) set before anything is shuffled
+    needed = broadcast_if_small(pg.select("_gram").distinct(), broadcast_limit)
+    relevant = cand_grams.select("_gram").join(needed, "_gram", "left_semi")
+    freq = relevant.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
     # rarest gram per pattern (absent grams have frequency 0: no candidate)
     rated = pg.join(broadcast_if_small(freq, broadcast_limit), "_gram", "left").select(
         "pattern", "_gram", F.coalesce(F.col("_freq"), F.lit(0)).alias("_freq")
