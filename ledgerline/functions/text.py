@@ -163,3 +163,40 @@ __all__ = [
     "WORD_CLASS",
     "NON_WORD_CLASS",
 ]
+
+
+def add_name_parts(df, norm_col: str = "normalized_name", names=("first_name", "middle_name", "last_name",
+                                                                 "prefix", "suffix")):
+    """C3 as staged projections over a DataFrame: the intermediate token
+    arrays become columns, so each is computed once and the generated code
+    stays small (the single-expression form repeats them in every branch).
+    Adds the five name-part columns."""
+    from pyspark.sql import DataFrame  # noqa: F401 (type of df)
+
+    n = F.col(norm_col)
+    keep = [F.col(c) for c in df.columns]
+    s = df.select(*keep, F.transform(F.split(n, ","), lambda p: F.trim(p)).alias("_np_parts"))
+    s = s.select("*", _tokens(F.get(F.col("_np_parts"), 0)).alias("_np_toks"),
+                 _tokens(F.get(F.col("_np_parts"), 1)).alias("_np_rest"))
+    rest = F.col("_np_rest")
+    s = s.select("*", ((F.size(rest) > 0) & F.get(rest, 0).isin(*vocab.NAME_PREFIXES)).alias("_np_pre"))
+    s = s.select("*", F.when(F.col("_np_pre"), F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0))))
+                 .otherwise(rest).alias("_np_rest2"))
+    rest2 = F.col("_np_rest2")
+    n2 = F.size(rest2)
+    s = s.select("*", ((n2 > 0) & F.get(rest2, n2 - 1).isin(*vocab.NAME_SUFFIXES)).alias("_np_suf"))
+    s = s.select("*", F.when(F.col("_np_suf"), F.slice(rest2, 1, F.greatest(n2 - 1, F.lit(0))))
+                 .otherwise(rest2).alias("_np_rest3"))
+    parts, toks, rest3 = F.col("_np_parts"), F.col("_np_toks"), F.col("_np_rest3")
+    one = F.size(parts) == 1
+    nt, n3 = F.size(toks), F.size(rest3)
+    valid = n.isNotNull()
+    first = F.when(one, F.get(toks, 0)).otherwise(F.get(rest2, 0))
+    middle = F.when(one, F.when(nt > 2, F.array_join(F.slice(toks, 2, F.greatest(nt - 2, F.lit(1))), " "))).otherwise(
+        F.when(n3 > 1, F.array_join(F.slice(rest3, 2, F.greatest(n3 - 1, F.lit(1))), " ")))
+    last = F.when(one, F.when(nt > 1, F.get(toks, nt - 1))).otherwise(
+        F.when(F.get(parts, 0) != F.lit(""), F.get(parts, 0)))
+    prefix = F.when(~one & F.col("_np_pre"), F.get(rest, 0))
+    suffix = F.when(~one & F.col("_np_suf"), F.get(rest2, n2 - 1))
+    out = [F.when(valid, e).alias(a) for e, a in zip((first, middle, last, prefix, suffix), names)]
+    return s.select(*keep, *out)

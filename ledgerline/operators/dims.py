@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
-from ..functions.text import name_parts_from_normalized, normalize_text
+from ..functions.text import add_name_parts, normalize_text
 from .common import broadcast_if_small, dedup_by_key
 
 
@@ -35,15 +35,10 @@ def committee_role(designation: Column) -> Column:
 def with_name_columns(candidate_master: DataFrame, name_col: str = "CAND_NAME") -> DataFrame:
     """S4 enrichment: normalized name (C1) once, then name parts (C3) from it."""
     norm = candidate_master.withColumn("normalized_name", normalize_text(F.col(name_col)))
-    parts = name_parts_from_normalized(F.col("normalized_name"))
-    return norm.withColumn("_p", parts).select(
+    named = add_name_parts(norm, "normalized_name")
+    return named.select(
         *[c for c in candidate_master.columns],
-        F.col("_p.first").alias("first_name"),
-        F.col("_p.middle").alias("middle_name"),
-        F.col("_p.last").alias("last_name"),
-        F.col("_p.prefix").alias("prefix"),
-        F.col("_p.suffix").alias("suffix"),
-        F.col("normalized_name"),
+        "first_name", "middle_name", "last_name", "prefix", "suffix", "normalized_name",
     )
 
 
@@ -73,11 +68,7 @@ def build_candidate_dim(candidate_master: DataFrame) -> DataFrame:
     )
     kept = dedup_by_key(projected, ["cand_id", "cycle"])
     if not has_names:
-        kept = kept.withColumn("normalized_name", normalize_text(F.col("display_name")))
-        parts = name_parts_from_normalized(F.col("normalized_name"))
-        kept = kept.withColumn("_p", parts).select(
-            "*", *[F.col(f"_p.{f}").alias(c) for f, c in zip(("first", "middle", "last", "prefix", "suffix"), name_cols)]
-        ).drop("_p")
+        kept = add_name_parts(kept.withColumn("normalized_name", normalize_text(F.col("display_name"))))
     ordered = [
         "cand_id", "cycle", "display_name", *name_cols, "party", "office", "state", "district",
         "candidate_election_year", "incumbent_challenger_status", "status", "normalized_name",
