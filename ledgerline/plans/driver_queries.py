@@ -196,3 +196,13 @@ QUERIES.update({
     "committee_map": q_committee_map,
     "normalized_text": q_normalized_text,
 })
+
+
+def q_lookup_json(spark, sf_dir):
+    """K9: search results as JSON objects with sorted keys (one per row)."""
+    from ..sinks.writers import to_json_lines
+
+    return to_json_lines(q_candidate_search(spark, sf_dir))
+
+
+QUERIES["lookup_json"] = q_lookup_json

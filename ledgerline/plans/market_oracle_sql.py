@@ -610,3 +610,13 @@ SELECT event_id, outcomes_text, prices_text, {plist("outcomes_text")} AS outcome
        END AS winning_outcome
 FROM t2
 """
+
+SQL["catalog_json"] = f"""
+WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {TAGGED}, {catalog_sql()}
+SELECT s.jurisdiction,
+       to_json({{'level': min(s.level),
+                'sources': list({{'name': s.name, 'url': s.url, 'description': s.description, 'access': s.access,
+                                 'update_frequency': s.update_frequency, 'feasibility': s.feasibility,
+                                 'feasibility_notes': s.feasibility_notes}} ORDER BY s.pos)}}) AS entry
+FROM srcs s GROUP BY s.jurisdiction
+"""

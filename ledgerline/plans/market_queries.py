@@ -164,3 +164,12 @@ QUERIES["winning_outcome"] = q_winning_outcome
 
 
 QUERIES = {name: _utc(fn) for name, fn in QUERIES.items()}
+
+
+def q_catalog_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: the source catalogue as one JSON object per jurisdiction."""
+    cat = catalog.build_catalog(_tagged(spark, sf_dir), order_col="market_id")
+    return cat.select("jurisdiction", F.to_json(F.struct("level", "sources")).alias("entry"))
+
+
+QUERIES["catalog_json"] = _utc(q_catalog_json)

@@ -365,3 +365,17 @@ SELECT doc_id, normalized, regexp_replace(normalized, '[^\\p{{L}}\\p{{N}}_{cls}]
 
 
 SQL["normalized_text"] = _normalized_text_sql()
+
+SQL["lookup_json"] = f"""
+WITH {candidate_dim_ctes(_PART_MASTER, "pdim", "pp")},
+hits AS (
+  SELECT cand_id, cycle, display_name, normalized_name, party, office, office_full, state, district,
+         candidate_election_year
+  FROM pdim WHERE search_text ILIKE '%small%ring%'
+  ORDER BY cycle DESC NULLS FIRST, display_name ASC NULLS LAST, cand_id ASC NULLS LAST
+  LIMIT 50)
+SELECT to_json({{'cand_id': cand_id, 'candidate_election_year': candidate_election_year, 'cycle': cycle,
+                'display_name': display_name, 'district': district, 'normalized_name': normalized_name,
+                'office': office, 'office_full': office_full, 'party': party, 'state': state}}) AS json
+FROM hits
+"""
