@@ -53,11 +53,13 @@ def _candidate_committees(spark, sf_dir):
 
 
 def _flat(spark, sf_dir):
+    # dimensions are published first, as in the receipts job
+    pub = standins.published
     return receipts_op.build_schedule_a_flat(
         standins.raw_receipts(spark, sf_dir),
-        _candidate_committees(spark, sf_dir),
-        _candidate_dim(spark, sf_dir),
-        _committee_dim(spark, sf_dir),
+        pub(spark, _candidate_committees(spark, sf_dir), "candidate_committees"),
+        pub(spark, _candidate_dim(spark, sf_dir), "candidate_dim"),
+        pub(spark, _committee_dim(spark, sf_dir), "committee_dim"),
     )
 
 

@@ -408,3 +408,17 @@ def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id") % 4
     int_txt = F.when(i == 0, u).when(i == 1, F.concat(u, F.lit(".0"))).when(i == 2, F.concat(F.lit(" "), u)).otherwise(F.lit("x"))
     return ev.select("event_id", txt.alias("number_text"), int_txt.alias("int_text"))
+
+
+def published(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared checkpoint folder and read it back,
+    as the receipts job publishes its dimensions before joining them: the
+    read-back table has real file statistics (so a small dimension can be
+    broadcast) and no lineage to recompute."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
