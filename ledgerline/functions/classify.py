@@ -9,14 +9,13 @@ of word boundaries, spaces and digits (see ``regex.py``).
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
-from .regex import SPACE_CLASS, WORD_CLASS, any_of, literal_word, required_literal, trie_alternation
+from .regex import SPACE_CLASS, WORD_CLASS, any_of, required_literal, trie_alternation
 
 
 def _col(c) -> Column:

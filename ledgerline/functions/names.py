@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
-from .regex import NON_WORD_CLASS, SPACE_CLASS, WORD_CLASS
+from .regex import NON_WORD_CLASS, SPACE_CLASS
 from .text import first_spelling
 
 SpanFinder = Callable[[Column], Column]

@@ -93,7 +93,6 @@ def required_literal(pattern: str) -> str:
     """The longest run of plain letters/spaces in a pattern: text can only
     match when it contains this run (used as a cheap pre-check)."""
     body = re.sub(r"\\[bsdw]", "\0", pattern)
-    runs = re.split(r"[^a-z ]|\0", body)
     # a run followed by an optional quantifier is not required
     required = []
     for m in re.finditer(r"[a-z ]+", body):
@@ -102,5 +101,4 @@ def required_literal(pattern: str) -> str:
         if nxt in ("?", "*"):
             run = run[:-1]
         required.append(run.strip())
-    del runs
     return max(required, key=len) if required else ""

@@ -171,8 +171,6 @@ def add_name_parts(df, norm_col: str = "normalized_name", names=("first_name", "
     arrays become columns, so each is computed once and the generated code
     stays small (the single-expression form repeats them in every branch).
     Adds the five name-part columns."""
-    from pyspark.sql import DataFrame  # noqa: F401 (type of df)
-
     n = F.col(norm_col)
     keep = [F.col(c) for c in df.columns]
     s = df.select(*keep, F.transform(F.split(n, ","), lambda p: F.trim(p)).alias("_np_parts"))

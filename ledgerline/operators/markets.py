@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify, names, parsing, vocab
-from ..functions.text import py_strip
 
 # output column order of a market record
 DATASET_COLUMNS = (

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import classify
 from ..operators import catalog, dims, linkage, markets
 from . import standins
 
