@@ -99,7 +99,6 @@ def infer_office(text, lowered: bool = False) -> Column:
     return F.when((t.isNotNull()) & (t != ""), expr)
 
 
-_STATE_BY_ABBR = {a: n for a, n in vocab.US_DIVISIONS}
 
 
 @lru_cache(maxsize=None)
