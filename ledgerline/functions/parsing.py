@@ -54,23 +54,63 @@ def infer_winner(outcomes_text, prices_text) -> Column:
     return F.when(valid, F.get(hits, 0)["o"])
 
 
-_ISO_SHAPE = r"^(\d{4}-\d{2}-\d{2}(T\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?([+-]\d{2}:\d{2})?)?)$"
+# ISO 8601 as Python's datetime.fromisoformat reads it: extended or basic
+# date, any one separator character, hours with optional minutes, seconds
+# and a fraction ('.' or ','), an optional +-HH[:MM[:SS[.f]]] offset.
+_ISO_GRAMMAR = (
+    r"^(\d{4})(-?)(\d{2})\2(\d{2})"
+    r"(?:.(\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,9}))?)?)?)?"
+    r"(?:([+-])(\d{2})(?::?(\d{2})(?::?(\d{2})(?:\.\d{1,6})?)?)?)?$"
+)
+
+
+_WEEK_DATE = r"^(\d{4})(-?)W(\d{2})(?:\2([1-7]))?(.*)$"
+
+
+def _week_date_to_calendar(v: Column) -> Column:
+    """ISO week dates (YYYY-Www[-D], basic YYYYWww[D]) -> YYYY-MM-DD: the
+    Monday of week 1 is the Monday on or before 4 January."""
+    y = F.regexp_extract(v, _WEEK_DATE, 1).try_cast("int")
+    w = F.regexp_extract(v, _WEEK_DATE, 3).try_cast("int")
+    d = F.coalesce(F.nullif(F.regexp_extract(v, _WEEK_DATE, 4), F.lit("")).try_cast("int"), F.lit(1))
+    jan4 = F.make_date(y, F.lit(1), F.lit(4))
+    day = F.date_add(F.date_sub(jan4, F.weekday(jan4)), (w - 1) * 7 + (d - 1))
+    is_week = v.rlike(_WEEK_DATE) & (w >= 1) & (w <= 53)
+    return F.when(is_week, F.concat(F.date_format(day, "yyyy-MM-dd"), F.regexp_extract(v, _WEEK_DATE, 5))).otherwise(v)
+
+
+def _iso_group(v: Column, i: int) -> Column:
+    return F.nullif(F.regexp_extract(v, _ISO_GRAMMAR, i), F.lit(""))
 
 
 def parse_iso_datetime(value) -> Column:
     """ISO-like text -> UTC timestamp; anything else NULL.
 
-    Trimmed; 'Z' means +00:00; spaces separate date and time; '+HH' is read
-    as '+HH:00'. Text without an offset is taken as UTC (Q21). Only text
-    of the full ISO shape qualifies. Each step refers to the previous one
-    once, so the expression stays linear in size."""
+    Trimmed; 'Z' means +00:00; a space separates date and time when there is
+    no 'T'; '+HH' is read as '+HH:00'; then the ISO grammar Python accepts.
+    The parts are reassembled with an explicit offset (text without one is
+    UTC, Q21), so the result does not depend on the session time zone."""
     v = F.regexp_replace(py_strip(_col(value)), "Z$", "+00:00")
-    # text holding both 'T' and a space is never valid; replacing the
-    # spaces unconditionally gives it a second 'T', which the shape rejects
-    v = F.regexp_replace(v, " ", "T")
+    v = F.when(v.contains(" ") & ~v.contains("T"), F.regexp_replace(v, " ", "T")).otherwise(v)
     v = F.regexp_replace(v, r"(\+\d{2})$", "$1:00")
-    shaped = F.nullif(F.regexp_extract(v, _ISO_SHAPE, 1), F.lit(""))
-    return F.try_to_timestamp(shaped)
+    v = _week_date_to_calendar(v)
+    # every group is read from the same column expression; the staged column
+    # helpers keep ``value`` a column, so this is one scan per group
+    y, mo, d = _iso_group(v, 1), _iso_group(v, 3), _iso_group(v, 4)
+    h, mi, sec, frac = _iso_group(v, 5), _iso_group(v, 7), _iso_group(v, 8), _iso_group(v, 9)
+    sign, oh, om, osec = _iso_group(v, 10), _iso_group(v, 11), _iso_group(v, 12), _iso_group(v, 13)
+    fraction = F.when(frac.isNotNull(), F.concat(F.lit("."), F.substring(frac, 1, 6))).otherwise(F.lit(""))
+    offset = F.when(sign.isNotNull(), F.concat(sign, oh, F.lit(":"), F.coalesce(om, F.lit("00")))).otherwise(
+        F.lit("+00:00"))
+    canonical = F.concat(
+        y, F.lit("-"), mo, F.lit("-"), d, F.lit("T"), F.coalesce(h, F.lit("00")), F.lit(":"),
+        F.coalesce(mi, F.lit("00")), F.lit(":"), F.coalesce(sec, F.lit("00")), fraction, offset,
+    )
+    ts = F.try_to_timestamp(canonical)
+    # an offset with seconds moves the instant by those seconds as well
+    shift = F.when(sign.isNotNull() & osec.isNotNull(),
+                   F.when(sign == "-", -1).otherwise(1) * osec.try_cast("int"))
+    return F.when(shift.isNull(), ts).otherwise(ts - F.make_interval(secs=shift))
 
 
 def first_timestamp(*values) -> Column:

@@ -74,10 +74,10 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def money(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast(MONEY)
+    return c.try_cast(MONEY)
 
 
 def money_sum(col: Column) -> Column:
     """Sum of currency amounts: exact in decimal, so the result does not
     depend on partitioning or row order; returned as double."""
-    return F.sum(col.cast(MONEY)).cast("double")
+    return F.sum(col.try_cast(MONEY)).cast("double")

@@ -48,7 +48,7 @@ def receipts_stream(
         .csv(schedule_a_dir)
     )
     pattern = "|".join(str(c) for c in cycles)
-    cycle = F.regexp_extract(F.col("_metadata.file_name"), rf"^itcont_({pattern})", 1).cast("int")
+    cycle = F.regexp_extract(F.col("_metadata.file_name"), rf"^itcont_({pattern})", 1).try_cast("int")
     standardized = bulk.standardize_schedule_a(raw, cycle)
     return build_schedule_a_flat(standardized, candidate_committees, candidate_dim, committee_dim)
 
