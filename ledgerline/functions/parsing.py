@@ -83,19 +83,13 @@ def _iso_group(v: Column, i: int) -> Column:
     return F.nullif(F.regexp_extract(v, _ISO_GRAMMAR, i), F.lit(""))
 
 
-def parse_iso_datetime(value) -> Column:
-    """ISO-like text -> UTC timestamp; anything else NULL.
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable,
+    so a body that reads it many times does not copy its expression."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    Trimmed; 'Z' means +00:00; a space separates date and time when there is
-    no 'T'; '+HH' is read as '+HH:00'; then the ISO grammar Python accepts.
-    The parts are reassembled with an explicit offset (text without one is
-    UTC, Q21), so the result does not depend on the session time zone."""
-    v = F.regexp_replace(py_strip(_col(value)), "Z$", "+00:00")
-    v = F.when(v.contains(" ") & ~v.contains("T"), F.regexp_replace(v, " ", "T")).otherwise(v)
-    v = F.regexp_replace(v, r"(\+\d{2})$", "$1:00")
-    v = _week_date_to_calendar(v)
-    # every group is read from the same column expression; the staged column
-    # helpers keep ``value`` a column, so this is one scan per group
+
+def _assemble_iso(v: Column) -> Column:
     y, mo, d = _iso_group(v, 1), _iso_group(v, 3), _iso_group(v, 4)
     h, mi, sec, frac = _iso_group(v, 5), _iso_group(v, 7), _iso_group(v, 8), _iso_group(v, 9)
     sign, oh, om, osec = _iso_group(v, 10), _iso_group(v, 11), _iso_group(v, 12), _iso_group(v, 13)
@@ -113,6 +107,22 @@ def parse_iso_datetime(value) -> Column:
     return F.when(shift.isNull(), ts).otherwise(ts - F.make_interval(secs=shift))
 
 
+def parse_iso_datetime(value) -> Column:
+    """ISO-like text -> UTC timestamp; anything else NULL.
+
+    Trimmed; 'Z' means +00:00; a space separates date and time; '+HH' is
+    read as '+HH:00'; then the ISO grammar Python accepts (extended or basic
+    date, week dates, any separator, fractions, offsets with seconds). The
+    parts are reassembled with an explicit offset (text without one is UTC,
+    Q21), so the result does not depend on the session time zone.
+
+    (A space is replaced even when the text also holds a 'T': such text is
+    invalid either way.)"""
+    v = F.regexp_replace(F.regexp_replace(py_strip(_col(value)), "Z$", "+00:00"), " ", "T")
+    v = F.regexp_replace(v, r"(\+\d{2})$", "$1:00")
+    return _let(v, lambda x: _let(_week_date_to_calendar(x), _assemble_iso))
+
+
 def first_timestamp(*values) -> Column:
     """C14: the first parsable of several timestamp texts."""
     return F.coalesce(*[parse_iso_datetime(v) for v in values])
