@@ -65,7 +65,13 @@ def py_split_words(col: Column) -> Column:
 
 def _tokens(part: Column) -> Column:
     # parts come from C1 output: only single spaces remain, ends already trimmed
-    return F.filter(F.split(part, " "), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(part, " "), "")
+
+
+def _comma_parts(norm: Column) -> Column:
+    """``[p.strip() for p in norm.split(",")]`` on C1 output (single spaces,
+    no outer spaces): a comma takes at most one space on each side."""
+    return F.split(norm, " ?, ?")
 
 
 def name_parts_from_normalized(norm: Column) -> Column:
@@ -77,7 +83,7 @@ def name_parts_from_normalized(norm: Column) -> Column:
     mark the suffix, the tokens between them the middle name. Further comma
     parts are ignored.
     """
-    parts = F.transform(F.split(norm, ","), lambda p: F.trim(p))
+    parts = _comma_parts(norm)
     one_part = F.size(parts) == 1
     toks = _tokens(F.get(parts, 0))
     n = F.size(toks)
@@ -173,7 +179,7 @@ def add_name_parts(df, norm_col: str = "normalized_name", names=("first_name", "
     Adds the five name-part columns."""
     n = F.col(norm_col)
     keep = [F.col(c) for c in df.columns]
-    s = df.select(*keep, F.transform(F.split(n, ","), lambda p: F.trim(p)).alias("_np_parts"))
+    s = df.select(*keep, _comma_parts(n).alias("_np_parts"))
     s = s.select("*", _tokens(F.get(F.col("_np_parts"), 0)).alias("_np_toks"),
                  _tokens(F.get(F.col("_np_parts"), 1)).alias("_np_rest"))
     rest = F.col("_np_rest")
