@@ -30,7 +30,8 @@ def parse_string_list(value) -> Column:
     """C11: list text (JSON or Python quotes) -> array<string>; anything
     else, or a list holding a null, -> []."""
     arr = F.from_json(_col(value), "array<string>")
-    has_null = F.exists(arr, lambda x: x.isNull())
+    # a list holding a null is not a Python literal list of strings
+    has_null = F.size(F.array_compact(arr)) != F.size(arr)
     return F.when(arr.isNull() | has_null, F.array().cast("array<string>")).otherwise(arr)
 
 
@@ -48,8 +49,8 @@ def infer_winner(outcomes_text, prices_text) -> Column:
         & prices.isNotNull()
         & (F.size(outcomes) > 0)
         & (F.size(outcomes) == F.size(prices))
-        & ~F.exists(prices, lambda p: p.isNull())
-        & ~F.exists(outcomes, lambda o: o.isNull())
+        & (F.size(F.array_compact(prices)) == F.size(prices))
+        & (F.size(F.array_compact(outcomes)) == F.size(outcomes))
     )
     return F.when(valid, F.get(hits, 0)["o"])
 
