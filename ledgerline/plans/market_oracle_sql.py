@@ -366,14 +366,15 @@ SQL = {}
 
 SQL["market_flatten"] = f"""
 WITH {FLAT_MARKETS}
-SELECT * EXCLUDE (_event_description, _event_ticker, _event_slug) FROM fm
+SELECT * EXCLUDE (_event_description, _event_ticker, _event_slug, outcomes, clob_token_ids),
+       to_json(outcomes) AS outcomes, to_json(clob_token_ids) AS clob_token_ids FROM fm
 """
 
 SQL["analytics_latest"] = f"""
 WITH {ANALYTICS}
 SELECT a_market_id AS market_id, analytics_market_volume, analytics_market_open_interest,
        analytics_outcome_yes_price, analytics_outcome_no_price, analytics_event_slug, analytics_source,
-       analytics_event_tags, a_market_close_date AS market_close_date
+       to_json(analytics_event_tags) AS analytics_event_tags, a_market_close_date AS market_close_date
 FROM lac
 """
 
@@ -489,7 +490,7 @@ names AS (
 
 SQL["name_candidates"] = f"""
 WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {NAMES}
-SELECT market_id, candidate_names FROM names
+SELECT market_id, to_json(candidate_names) AS candidate_names FROM names
 """
 
 
@@ -580,12 +581,13 @@ tg AS (SELECT *, {_J_NAME} AS jurisdiction, {_J_LEVEL} AS jurisdiction_level FRO
 {catalog_sql()},
 srcnames AS (SELECT jurisdiction, list(name ORDER BY pos) AS jurisdiction_sources FROM srcs GROUP BY jurisdiction)
 SELECT t.event_id, t.market_id, t.platform, t.event_title, t.market_question, t.jurisdiction, t.jurisdiction_level,
-       s.jurisdiction_sources, b.jurisdiction_feasibility, t.category, t.start_date, t.end_date, t.closed_time,
+       to_json(s.jurisdiction_sources) AS jurisdiction_sources, b.jurisdiction_feasibility, t.category, t.start_date, t.end_date, t.closed_time,
        t.total_volume, t.volume_24h, t.volume_1w, t.volume_1m, t.volume_1y, t.liquidity, t.liquidity_amm,
-       t.liquidity_clob, t.open_interest, t.num_outcomes, t.outcomes, t.winning_outcome, t.resolution_source,
-       t.resolution_notes, t.clob_token_ids, t.analytics_market_volume, t.analytics_market_open_interest,
+       t.liquidity_clob, t.open_interest, t.num_outcomes, to_json(t.outcomes) AS outcomes, t.winning_outcome,
+       t.resolution_source, t.resolution_notes, to_json(t.clob_token_ids) AS clob_token_ids,
+       t.analytics_market_volume, t.analytics_market_open_interest,
        t.analytics_outcome_yes_price, t.analytics_outcome_no_price, t.analytics_event_slug, t.analytics_source,
-       t.analytics_event_tags, n.candidate_names, {office_case(_OTEXT.replace('analytics_event_tags', 't.analytics_event_tags').replace('event_title', 't.event_title').replace('market_question', 't.market_question').replace('category', 't.category').replace('resolution_notes', 't.resolution_notes'))} AS office
+       to_json(t.analytics_event_tags) AS analytics_event_tags, to_json(n.candidate_names) AS candidate_names, {office_case(_OTEXT.replace('analytics_event_tags', 't.analytics_event_tags').replace('event_title', 't.event_title').replace('market_question', 't.market_question').replace('category', 't.category').replace('resolution_notes', 't.resolution_notes'))} AS office
 FROM tg t
 LEFT JOIN srcnames s ON t.jurisdiction = s.jurisdiction
 LEFT JOIN best b ON t.jurisdiction = b.jurisdiction
@@ -601,7 +603,7 @@ WITH t AS (
   FROM events),
 t2 AS (SELECT *, {raw_list("outcomes_text")} AS o_list,
               list_transform({raw_list("prices_text")}, lambda p: {pf("p")}) AS p_list FROM t)
-SELECT event_id, outcomes_text, prices_text, {plist("outcomes_text")} AS outcomes,
+SELECT event_id, outcomes_text, prices_text, to_json({plist("outcomes_text")}) AS outcomes,
        len({plist("outcomes_text")}) AS num_outcomes,
        CASE WHEN o_list IS NULL OR p_list IS NULL OR len(o_list) = 0 OR len(o_list) <> len(p_list)
                  OR len(list_filter(p_list, lambda x: x IS NULL)) > 0

@@ -28,6 +28,15 @@ def _utc(fn):
     return run
 
 
+def _json_arrays(df: DataFrame) -> DataFrame:
+    """Driver-query presentation: list columns as JSON text (the engine-neutral
+    form the JSON sink writes), so result checks compare plain strings."""
+    return df.select(*[
+        F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def _flat_markets(spark, sf_dir) -> DataFrame:
     return markets.flatten_markets(standins.market_events(spark, sf_dir))
 
@@ -47,13 +56,13 @@ def _tagged(spark, sf_dir) -> DataFrame:
 def q_market_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per market with fallbacks and parsed values."""
     fm = _flat_markets(spark, sf_dir)
-    return fm.drop(*[c for c in fm.columns if c.startswith("_")])
+    return _json_arrays(fm.drop(*[c for c in fm.columns if c.startswith("_")]))
 
 
 def q_analytics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest analytics entry per market, parsed."""
     a = markets.analytics_columns(_analytics(spark, sf_dir))
-    return a.select(
+    return _json_arrays(a).select(
         F.col("_a_market_id").alias("market_id"), "analytics_market_volume", "analytics_market_open_interest",
         "analytics_outcome_yes_price", "analytics_outcome_no_price", "analytics_event_slug", "analytics_source",
         "analytics_event_tags", F.col("_a_market_close_date").alias("market_close_date"),
@@ -95,7 +104,7 @@ def q_source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_name_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate names from tags and notes."""
-    return _enriched(spark, sf_dir).select("market_id", "candidate_names")
+    return _json_arrays(_enriched(spark, sf_dir).select("market_id", "candidate_names"))
 
 
 def q_market_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +137,7 @@ def q_market_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     dataset, _ = build_market_dataset(
         standins.market_events(spark, sf_dir), standins.analytics_entries(spark, sf_dir), AS_OF
     )
-    return dataset
+    return _json_arrays(dataset)
 
 
 QUERIES["market_dataset"] = q_market_dataset
@@ -153,10 +162,10 @@ def q_winning_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     t = ev.select("event_id", outcomes.alias("outcomes_text"), prices.alias("prices_text"))
     lst = parsing.parse_string_list(F.col("outcomes_text"))
-    return t.select(
+    return _json_arrays(t.select(
         "event_id", "outcomes_text", "prices_text", lst.alias("outcomes"), F.size(lst).alias("num_outcomes"),
         parsing.infer_winner(F.col("outcomes_text"), F.col("prices_text")).alias("winning_outcome"),
-    )
+    ))
 
 
 QUERIES["winning_outcome"] = q_winning_outcome
