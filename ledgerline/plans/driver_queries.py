@@ -44,22 +44,26 @@ def _candidate_dim(spark, sf_dir):
     return dims.build_candidate_dim(standins.candidate_master(spark, sf_dir))
 
 
-def _committee_dim(spark, sf_dir):
-    return dims.build_committee_dim(standins.committee_master(spark, sf_dir))
+def _committee_dim(spark, sf_dir, totals=None):
+    return dims.build_committee_dim(standins.committee_master(spark, sf_dir, totals))
 
 
-def _candidate_committees(spark, sf_dir):
-    return dims.build_candidate_committees(standins.candidate_links(spark, sf_dir), _committee_dim(spark, sf_dir))
+def _candidate_committees(spark, sf_dir, totals=None, committee_dim=None):
+    cdim = committee_dim if committee_dim is not None else _committee_dim(spark, sf_dir, totals)
+    return dims.build_candidate_committees(standins.candidate_links(spark, sf_dir, totals), cdim)
 
 
 def _flat(spark, sf_dir):
-    # dimensions are published first, as in the receipts job
+    # dimensions are published first, as in the receipts job; the receipts
+    # aggregate both link and committee stand-ins derive from is published once
     pub = standins.published
+    totals = pub(spark, standins.committee_candidate_totals(spark, sf_dir), "committee_candidate_totals")
+    committee_dim = pub(spark, _committee_dim(spark, sf_dir, totals), "committee_dim")
     return receipts_op.build_schedule_a_flat(
         standins.raw_receipts(spark, sf_dir),
-        pub(spark, _candidate_committees(spark, sf_dir), "candidate_committees"),
+        pub(spark, _candidate_committees(spark, sf_dir, totals, committee_dim), "candidate_committees"),
         pub(spark, _candidate_dim(spark, sf_dir), "candidate_dim"),
-        pub(spark, _committee_dim(spark, sf_dir), "committee_dim"),
+        committee_dim,
     )
 
 

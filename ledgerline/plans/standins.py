@@ -126,7 +126,16 @@ def candidate_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def candidate_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def committee_candidate_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts per (committee, cycle, candidate): the one aggregation both
+    the link and the committee stand-ins derive from."""
+    r = receipts(spark, sf_dir)
+    return r.groupBy("committee_id", "two_year_transaction_period", "candidate_id").agg(
+        F.sum(F.col("contribution_receipt_amount").cast("decimal(38,2)")).alias("amt")
+    )
+
+
+def candidate_links(spark: SparkSession, sf_dir: str, totals: DataFrame | None = None) -> DataFrame:
     """Linkage stand-in: each (committee, cycle) is linked to its two largest
     customers by receipts; the largest is the principal (designation P), the
     second a joint-fundraising link (J). Ties go to the smaller customer key.
@@ -135,10 +144,8 @@ def candidate_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     data while each receipt fans out to at most two links."""
     from pyspark.sql import Window
 
-    r = receipts(spark, sf_dir)
-    totals = r.groupBy("committee_id", "two_year_transaction_period", "candidate_id").agg(
-        F.sum(F.col("contribution_receipt_amount").cast("decimal(38,2)")).alias("amt")
-    )
+    if totals is None:
+        totals = committee_candidate_totals(spark, sf_dir)
     w = Window.partitionBy("committee_id", "two_year_transaction_period").orderBy(
         F.col("amt").desc(), F.col("candidate_id").asc()
     )
@@ -152,9 +159,10 @@ def candidate_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def committee_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+def committee_master(spark: SparkSession, sf_dir: str, totals: DataFrame | None = None) -> DataFrame:
     """Committee master stand-in: a supplier in each cycle it has receipts."""
-    r = receipts(spark, sf_dir).select("committee_id", "two_year_transaction_period").distinct()
+    base = totals if totals is not None else receipts(spark, sf_dir)
+    r = base.select("committee_id", "two_year_transaction_period").distinct()
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     j = r.join(sup, r.committee_id == sup.s_suppkey)
     typ = F.when(F.col("s_nationkey") % 3 == 0, F.lit("N")).when(F.col("s_nationkey") % 3 == 1, F.lit("Q"))
