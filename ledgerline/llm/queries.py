@@ -62,8 +62,8 @@ WITH words AS (
 ), measures AS (
   SELECT doc_id, source, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
     length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-    len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-      - len(list_distinct(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines
+    len([x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')])
+      - len(list_distinct([x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')])) AS n_dup_lines
   FROM words
 ), windows AS (
   SELECT doc_id, s, array_to_string(w[s:s + 7], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 6, 1))) AS s FROM words)
