@@ -145,7 +145,7 @@ class Lattice:
         self.first = np.cumsum(size + 1) - size - 1
         self.last = self.first + size
         n = int(size.sum()) + len(size)
-        depth = np.arange(n) - np.repeat(self.first, size + 1)
+        depth = np.arange(n, dtype=np.int32) - np.repeat(self.first.astype(np.int32), size + 1)
         self.text = np.zeros(n, np.uint8)
         inside = np.ones(n, bool)
         inside[self.last] = False
@@ -154,12 +154,12 @@ class Lattice:
         self.sign_ends = opens | ~inside
         self.best, self.second = np.full(n, -np.inf), np.full(n, -np.inf)
         self.best[self.first] = 0.0
-        self.via, self.piece = np.full(n, -1), np.full(n, -1)
+        self.via, self.piece = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
         long = size > LONG_CHUNK
         origin = np.flatnonzero(opens & inside & ~np.repeat(long, size + 1))
         by_depth = np.argsort(depth[origin], kind="stable")
         bounds = np.searchsorted(depth[origin][by_depth], np.arange(LONG_CHUNK + 1))
-        stop = np.repeat(self.last, size + 1)
+        stop = np.repeat(self.last.astype(np.int32), size + 1)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
             if lo < hi:
                 self._push(origin[by_depth[lo:hi]], stop)
@@ -361,7 +361,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         encoder = Encoder(vocabulary, n)
         kind = pa.list_(pa.list_(pa.struct([("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])))
         for batch in batches:
-            for s in tokens.slices(batch.column(1), slice_bytes=8 << 20):
+            for s in tokens.slices(batch.column(1), slice_bytes=2 << 20):
                 out = list(encoder.encode(s))
                 changes = [[[{"chunk": c, "ids": x} for c, x in one] for one in o[2]] for o in out]
                 yield pa.record_batch([batch.column(0).slice(s.row, s.n_texts), id_lists([o[0] for o in out]),
@@ -394,7 +394,7 @@ def segmentation_digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
         for batch in batches:
-            for s in tokens.slices(batch.column(1), slice_bytes=8 << 20):
+            for s in tokens.slices(batch.column(1), slice_bytes=2 << 20):
                 size, best, scores, sha, back = [], [], [], [], []
                 for i, (ids, top, _) in enumerate(encoder.encode(s)):
                     size.append(len(ids))

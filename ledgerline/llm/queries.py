@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_rules, pieces, quality_model, simhash, substring
+from . import decontaminate, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
+from .store import new_folder, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -26,6 +27,20 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_quality(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ngram_trie.train(docs, remainder("doc_id", 5) != 1)
+    held_out = F.coalesce(remainder("id", 5) == 1, F.lit(False))
+    return ngram_trie.score(docs, model).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def op3_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, model = language_mix.learn(docs, remainder("doc_id", 5) != 0)
+    held_out = F.coalesce(remainder("id", 5) == 0, F.lit(False))
+    return language_mix.predict(docs, langs, model).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score", "mixture")
+
+
 def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.segmentation_digest(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(PIECE_MODEL))
 
@@ -34,6 +49,28 @@ def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, paths = warc_zip.write_packages(table(spark, sf_dir, "pages"), least_bytes=0)
+    paths = written(paths, "package-paths")
+    records = warc_zip.read_packages(paths.repartition(max(1, paths.count())), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_token_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches over all documents: all inserted, every tenth deleted,
+    every seventh revised to another tokenizer version; the second batch comes
+    twice."""
+    ledger = token_ledger.Ledger(spark, new_folder(spark, "token-ledger"))
+    docs = table(spark, sf_dir, "documents")
+    change = lambda op, seq, rows, tokenizer: rows.select(F.lit(op).alias("op"), F.lit(seq).alias("seq"), "doc_id", "text", "source", "lang", F.lit(tokenizer).alias("tokenizer"))
+    deleted = change("delete", 2, docs.where("doc_id % 10 = 3"), "words-1")
+    ledger.commit("batch-1", change("insert", 1, docs, "words-1"))
+    ledger.commit("batch-2", deleted)
+    ledger.commit("batch-3", change("revise", 3, docs.where("doc_id % 7 = 0"), "signs-2"))
+    ledger.commit("batch-2", deleted)
+    return ledger.totals()
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     weights = quality_model.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
@@ -51,7 +88,8 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_host_quality, op4_nbest_pieces, op5_contamination, op8_quality_model, op9_substring_dedup, op10_simhash_components)
+    f.__name__: f for f in (op1_host_quality, op2_ngram_trie, op3_language_mix, op4_nbest_pieces, op5_contamination,
+                             op6_warc_zip, op7_token_ledger, op8_quality_model, op9_substring_dedup, op10_simhash_components)
 }
 
 SQL: dict[str, str] = {}
@@ -139,3 +177,29 @@ WITH docs AS (
 )
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)
 """
+
+SQL["op7_token_ledger"] = r"""
+WITH held AS (
+  SELECT source, lang, CASE WHEN doc_id % 7 = 0 THEN 'signs-2' ELSE 'words-1' END AS tokenizer, coalesce(text, '') AS text
+  FROM documents WHERE doc_id IS NOT NULL AND (doc_id % 10 <> 3 OR doc_id % 7 = 0)
+)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(CASE WHEN tokenizer = 'words-1' THEN len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))
+  ELSE len(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]')) END) AS BIGINT) AS n_tokens
+FROM held GROUP BY source, lang, tokenizer
+"""
+
+SQL["op6_warc_zip"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages
+), first AS (
+  SELECT sha, min(page_id) AS first FROM p GROUP BY sha
+), bits AS (
+  SELECT sha, first, array_to_string([lpad(bin(strpos('0123456789abcdef', substr(sha, i, 1)) - 1), 4, '0') FOR i IN range(1, 41)], '') AS b FROM first
+), digests AS (
+  SELECT sha, first, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(b, 5 * g + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * g + 2, 1) AS INT)
+    + 4 * CAST(substr(b, 5 * g + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * g + 4, 1) AS INT) + CAST(substr(b, 5 * g + 5, 1) AS INT), 1) FOR g IN range(0, 32)], '') AS digest FROM bits
+)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN digests USING (sha)
+"""
