@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from . import vocab
 from .regex import SPACE_CLASS, WORD_CLASS, any_of, required_literal, trie_alternation
+from .text import py_strip
 
 
 def _col(c) -> Column:
@@ -78,7 +79,7 @@ def is_election_by_tags(tags) -> Column:
 
     The original also checks a list of other-domain tags, but both of its
     branches return the same test, so that list changes nothing."""
-    lowered = F.transform(F.filter(_col(tags), lambda t: t.isNotNull() & (t != "")), lambda t: F.lower(F.trim(t)))
+    lowered = F.transform(F.filter(_col(tags), lambda t: t.isNotNull() & (t != "")), lambda t: F.lower(py_strip(t)))
     return F.coalesce(F.arrays_overlap(lowered, _literal_array(vocab.ELECTION_TAGS)), F.lit(False))
 
 

@@ -8,28 +8,43 @@ from pyspark.sql import functions as F
 from . import vocab
 from .text import py_strip
 
-_NUMBER_WITH_TYPE_SUFFIX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?[dDfF]\s*$"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DIGITS = r"\d+(?:_\d+)*"
+# a number as Python's float() reads it, without the outer white space
+_NUMBER = rf"^[+-]?(?:inf|infinity|nan|(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)$"
+
+
 def parse_float(value) -> Column:
-    """NULL / '' / 'null' / unparsable -> NULL; 'inf', 'nan', '1_000' and
-    surrounding spaces accepted, like Python float()."""
-    v = _col(value)
-    # underscores between digits are digit separators
-    cleaned = F.regexp_replace(v, r"(?<=\d)_(?=\d)", "")
-    # Java-style type suffixes ('1.0d') are not numbers here
-    rejected = v.isNull() | v.isin("", "null") | cleaned.rlike(_NUMBER_WITH_TYPE_SUFFIX)
-    return F.when(rejected, F.lit(None).cast("double")).otherwise(cleaned.try_cast("double"))
+    """NULL / '' / 'null' / unparsable -> NULL; 'inf', '+nan', '1_000'
+    and surrounding spaces accepted, like Python float(). The whole text is
+    held against the number grammar before it is cast."""
+    text = F.lower(py_strip(_col(value)))
+    plain = F.regexp_replace(F.regexp_replace(text, "_", ""), r"^[+-](?=nan)", "")
+    return F.when(text.rlike(_NUMBER), plain.try_cast("double"))
+
+
+_QUOTED = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
+_ITEM = rf"(?:{_QUOTED}|[+-]?(?:\d[\d_]*\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)"
+# the whole text of a list of quoted texts and numbers; nothing before or
+# after it, and no bare words
+_LIST = rf"^\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?\s*)?\]\s*$"
+
+
+def _list_items(text: Column) -> Column:
+    """array<string> of a list text, NULL where the text is no such list."""
+    closed = F.regexp_replace(text, r",\s*\]\s*$", "]")
+    return F.when(text.rlike(_LIST), F.from_json(closed, "array<string>"))
 
 
 def parse_string_list(value) -> Column:
     """C11: list text (JSON or Python quotes) -> array<string>; anything
     else, or a list holding a null, -> []."""
-    arr = F.from_json(_col(value), "array<string>")
+    arr = _list_items(_col(value))
     # a list holding a null is not a Python literal list of strings
     has_null = F.size(F.array_compact(arr)) != F.size(arr)
     return F.when(arr.isNull() | has_null, F.array().cast("array<string>")).otherwise(arr)
@@ -40,8 +55,8 @@ def infer_winner(outcomes_text, prices_text) -> Column:
 
     NULL when either list is unparsable or empty, the lengths differ, any
     price is not a number, or no price reaches the threshold."""
-    outcomes = F.from_json(_col(outcomes_text), "array<string>")
-    prices = F.transform(F.from_json(_col(prices_text), "array<string>"), lambda p: parse_float(p))
+    outcomes = _list_items(_col(outcomes_text))
+    prices = F.transform(_list_items(_col(prices_text)), lambda p: parse_float(p))
     pairs = F.zip_with(outcomes, prices, lambda o, p: F.struct(o.alias("o"), p.alias("p")))
     hits = F.filter(pairs, lambda x: (x["p"] >= F.lit(vocab.WINNER_PRICE_THRESHOLD)) & ~F.isnan(x["p"]))
     valid = (
@@ -132,16 +147,31 @@ def first_timestamp(*values) -> Column:
 def iso_text(ts) -> Column:
     """Python ``datetime.isoformat()`` of a UTC timestamp: seconds, then
     microseconds only when non-zero, then '+00:00'."""
-    t = _col(ts)
-    micros = F.unix_micros(t) % 1000000
-    base = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    total = F.unix_micros(_col(ts))
+    second = F.floor(total / F.lit(1000000)).cast("long")
+    micros = F.pmod(total, F.lit(1000000))
+    of_day = F.pmod(second, F.lit(86400))
+    day = F.date_from_unix_date(((second - of_day) / 86400).cast("int"))
+    two = lambda x: F.lpad(x.cast("int").cast("string"), 2, "0")
+    clock = F.concat_ws(":", two(F.floor(of_day / 3600)), two(F.floor(of_day / 60) % 60), two(of_day % 60))
     frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit(""))
-    return F.concat(base, frac, F.lit("+00:00"))
+    return F.concat(day.cast("string"), F.lit("T"), clock, frac, F.lit("+00:00"))
+
+
+_DATE_FORMS = ("yyyy/M/d", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "M/d/yyyy", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm",
+               "MMM d yyyy", "MMM d yyyy H:mm:ss", "MMM d yyyy H:mm", "d MMM yyyy", "d MMM yyyy H:mm:ss", "MMM yyyy")
 
 
 def lenient_timestamp(value) -> Column:
-    """Lenient parse of a market start/end value; unparsable -> NULL."""
-    return F.try_to_timestamp(py_strip(_col(value).cast("string")))
+    """Lenient parse of a market start/end value; unparsable -> NULL.
+
+    ISO texts as in C13 (so compact dates too), then dates with slashes and
+    with month names, day or month first as written; text without an offset is
+    UTC, whatever the session's zone is."""
+    v = py_strip(_col(value).cast("string"))
+    spaced = F.regexp_replace(F.initcap(F.regexp_replace(v, r"[,\s]+", " ")), r"(?<=^| )(Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]+(?= |$)", "$1")
+    dates = [F.try_to_timestamp(F.concat(spaced, F.lit(" +00:00")), F.lit(f"{form} XXX")) for form in _DATE_FORMS]
+    return F.coalesce(parse_iso_datetime(v), *dates)
 
 
 def safe_int(value) -> Column:

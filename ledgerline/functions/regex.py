@@ -58,12 +58,6 @@ def any_of(patterns) -> str:
     return "(?d)" + "|".join(f"(?:{java_word_regex(p)[4:]})" for p in patterns)
 
 
-def literal_word(word: str) -> str:
-    """Python ``rf'\\b{re.escape(word)}\\b'`` for a word that starts and ends
-    with word characters."""
-    return java_word_regex(rf"\b{re.escape(word)}\b")
-
-
 def trie_alternation(words) -> str:
     """A regex matching exactly the given literal words, factored by common
     prefixes, so a failing position is rejected after one or two characters

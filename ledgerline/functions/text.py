@@ -74,48 +74,6 @@ def _comma_parts(norm: Column) -> Column:
     return F.split(norm, " ?, ?")
 
 
-def name_parts_from_normalized(norm: Column) -> Column:
-    """C3 on C1 output: struct(first, middle, last, prefix, suffix).
-
-    No comma: first token, last token (2+ tokens), middle tokens (3+).
-    With a comma: last = text before it; of the second part, a leading title
-    is the prefix, the next token is the first name, a trailing generation
-    mark the suffix, the tokens between them the middle name. Further comma
-    parts are ignored.
-    """
-    parts = _comma_parts(norm)
-    one_part = F.size(parts) == 1
-    toks = _tokens(F.get(parts, 0))
-    n = F.size(toks)
-
-    rest = _tokens(F.get(parts, 1))
-    has_prefix = (F.size(rest) > 0) & F.get(rest, 0).isin(*vocab.NAME_PREFIXES)
-    rest2 = F.when(has_prefix, F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0)))).otherwise(rest)
-    n2 = F.size(rest2)
-    first_c = F.get(rest2, 0)
-    has_suffix = (n2 > 0) & F.get(rest2, n2 - 1).isin(*vocab.NAME_SUFFIXES)
-    rest3 = F.when(has_suffix, F.slice(rest2, 1, F.greatest(n2 - 1, F.lit(0)))).otherwise(rest2)
-    n3 = F.size(rest3)
-    middle_c = F.when(n3 > 1, F.array_join(F.slice(rest3, 2, F.greatest(n3 - 1, F.lit(1))), " "))
-    last_c = F.when(F.get(parts, 0) != F.lit(""), F.get(parts, 0))
-
-    first = F.when(one_part, F.get(toks, 0)).otherwise(first_c)
-    middle = F.when(
-        one_part, F.when(n > 2, F.array_join(F.slice(toks, 2, F.greatest(n - 2, F.lit(1))), " "))
-    ).otherwise(middle_c)
-    last = F.when(one_part, F.when(n > 1, F.get(toks, n - 1))).otherwise(last_c)
-    prefix = F.when(~one_part & has_prefix, F.get(rest, 0))
-    suffix = F.when(~one_part & has_suffix, F.get(rest2, n2 - 1))
-    valid = norm.isNotNull()
-    return F.struct(
-        F.when(valid, first).alias("first"),
-        F.when(valid, middle).alias("middle"),
-        F.when(valid, last).alias("last"),
-        F.when(valid, prefix).alias("prefix"),
-        F.when(valid, suffix).alias("suffix"),
-    )
-
-
 def normalize_query(col: Column | str) -> Column:
     """C4: commas -> spaces, words joined by '%' and wrapped in '%'; no words -> '%'.
 
@@ -162,7 +120,6 @@ __all__ = [
     "strip_punctuation",
     "py_strip",
     "py_split_words",
-    "name_parts_from_normalized",
     "normalize_query",
     "first_spelling",
     "extract_queries",

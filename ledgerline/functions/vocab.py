@@ -164,7 +164,6 @@ ELECTION_TAGS = (
     "mayor", "minister",
 )
 # tags of other domains; listed for completeness, they do not change the rule
-NON_ELECTION_TAGS = ("sports", "crypto", "finance", "stocks", "nfl", "nba", "tennis", "mlb", "nhl")
 
 WINNER_PRICE_THRESHOLD = 0.8
 RECENT_WINDOW_DAYS = 365 * 2
@@ -566,3 +565,29 @@ NAME_EDGE_CHARACTERS = ".,;:\"'()[]{}"
 
 OFFICE_FILTER_CODES = (("president", "p"), ("senate", "s"), ("house", "h"))
 EMPTY_NAME_MARKERS = ("nan", "none", "null")
+
+
+# Usual places of the Schedule A files and their header.
+SCHEDULE_A_FOLDERS = ("schedule_a", "scheduleA")
+SCHEDULE_A_HEADER_FILES = ("indiv_header.csv", "schedule_a_header.csv")
+
+# Bulk column -> table column of the dimension tables.
+CANDIDATE_COLUMNS = (
+    ("CAND_ID", "cand_id"), ("cycle", "cycle"), ("CAND_NAME", "display_name"),
+    ("CAND_PTY_AFFILIATION", "party"), ("CAND_OFFICE", "office"), ("CAND_OFFICE_ST", "state"),
+    ("CAND_OFFICE_DISTRICT", "district"), ("CAND_ELECTION_YR", "candidate_election_year"),
+    ("CAND_ICI", "incumbent_challenger_status"), ("CAND_STATUS", "status"),
+    ("CAND_PCC", "principal_campaign_committee"),
+)
+COMMITTEE_COLUMNS = (
+    ("CMTE_ID", "cmte_id"), ("cycle", "cycle"), ("CMTE_NM", "name"), ("TRES_NM", "treasurer"),
+    ("CMTE_ST1", "street_1"), ("CMTE_ST2", "street_2"), ("CMTE_CITY", "city"), ("CMTE_ST", "state"),
+    ("CMTE_ZIP", "zip"), ("CMTE_DSGN", "designation"), ("CMTE_TP", "committee_type"),
+    ("CMTE_PTY_AFFILIATION", "party_affiliation"), ("CMTE_FILING_FREQ", "filing_frequency"),
+    ("ORG_TP", "org_type"), ("CONNECTED_ORG_NM", "connected_org"), ("CAND_ID", "principal_candidate_id"),
+)
+LINKAGE_COLUMNS = (
+    ("CAND_ID", "cand_id"), ("CMTE_ID", "cmte_id"), ("cycle", "cycle"),
+    ("CMTE_TP", "committee_type_code"), ("CMTE_DSGN", "designation_code"),
+)
+NAME_PART_COLUMNS = ("first_name", "middle_name", "last_name", "prefix", "suffix")

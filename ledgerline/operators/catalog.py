@@ -159,7 +159,10 @@ def build_catalog(tagged: DataFrame, order_col: str = "market_id") -> DataFrame:
     record (by ``order_col``) fixes a state's entry level (Q26).
 
     Columns: jurisdiction, level, sources, feasibility, feasibility_notes."""
-    first = tagged.groupBy("jurisdiction").agg(F.min_by("jurisdiction_level", F.col(order_col)).alias("_lvl"))
+    # a total order: numeric ids as numbers, before others, then the level itself
+    number = F.col(order_col).cast("string").try_cast("decimal(38,0)")
+    order = F.struct(number.isNull(), number, F.col(order_col), F.col("jurisdiction_level"))
+    first = tagged.groupBy("jurisdiction").agg(F.min_by("jurisdiction_level", order).alias("_lvl"))
     a = first.select("jurisdiction", _assessment_of("jurisdiction", "_lvl").alias("_a"))
     best = _best_of("_a.sources")
     return a.select(
@@ -180,19 +183,6 @@ def with_sources(tagged: DataFrame) -> DataFrame:
     )
 
 
-def tag_with_catalog(tagged: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Each record gets its jurisdiction's source names and rating.
-    The catalog is bounded by the fixed vocabularies, so it is broadcast."""
-    c = F.broadcast(
-        catalog.select(
-            F.col("jurisdiction").alias("_c_jur"),
-            F.transform("sources", lambda s: s["name"]).alias("jurisdiction_sources"),
-            F.col("feasibility").alias("jurisdiction_feasibility"),
-        )
-    )
-    return tagged.join(c, tagged.jurisdiction == c._c_jur, "left").drop("_c_jur")
-
-
 def explode_catalog(catalog: DataFrame, with_best: bool = False) -> DataFrame:
     """K6 shape: one row per (jurisdiction, source); ``with_best`` adds the
     jurisdiction's aggregate rating and note."""

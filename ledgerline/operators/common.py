@@ -1,5 +1,5 @@
 """Shared DataFrame building blocks: size-checked broadcast, deterministic
-dedup, union by name, exact money sums."""
+dedup, union by name, exact sums."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import logging
 from functools import reduce
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +17,6 @@ LOGGER = logging.getLogger("ledgerline")
 # AQE can still turn that join into a broadcast once runtime sizes are known.
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
 
-MONEY = "decimal(38,2)"
-
-
 # Parquet/ORC scans are estimated at their (compressed) file size; decoded
 # rows are several times larger, so estimates are scaled by this factor
 # before they are compared with a broadcast limit.
@@ -72,12 +70,23 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def money(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast(MONEY)
+# finite amounts with up to twelve decimals are summed exactly
+AMOUNT = "decimal(38,12)"
+
+
+def exact_sum(amount: Column) -> Column:
+    """Sum of double amounts as a double. Amounts that a decimal with twelve
+    places holds unchanged are summed exactly, so the result does not depend
+    on partitioning; what it can't hold (smaller fractions, NaN, infinities)
+    is summed as doubles and shows in the result. All NULL gives NULL."""
+    d = amount.cast("double")
+    held = d.try_cast(AMOUNT)
+    exact = F.coalesce(held.cast("double") == d, F.lit(False))
+    whole = F.sum(F.when(exact, held)).cast("double")
+    rest = F.sum(F.when(~exact, d))
+    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
 
 
-def money_sum(col: Column) -> Column:
-    """Sum of currency amounts: exact in decimal, so the result does not
-    depend on partitioning or row order; returned as double."""
-    return F.sum(col.try_cast(MONEY)).cast("double")
+def is_missing_path(error: Exception) -> bool:
+    """True only for 'no such path'; any other failure to read is an error."""
+    return isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.parsing import lenient_timestamp, safe_int
-from ..functions.text import extract_queries, normalize_query
+from ..functions.text import extract_queries, normalize_query, py_strip
 from .common import broadcast_if_small
 
 KEY = ("_k_names", "_k_office", "_k_start_year", "_k_end_year")
@@ -103,8 +103,8 @@ def candidate_matches(keys: DataFrame, candidate_dim: DataFrame, broadcast_limit
         "cand_id", "search_text",
         safe_int(F.col("cycle")).alias("_cycle"),
         F.coalesce(F.nullif(safe_int(F.col("candidate_election_year")), F.lit(0)), safe_int(F.col("cycle"))).alias("_eyear"),
-        F.lower(F.trim(F.col("office_full"))).alias("_ofull"),
-        F.lower(F.trim(F.col("office"))).alias("_ocode"),
+        F.lower(py_strip(F.col("office_full"))).alias("_ofull"),
+        F.lower(py_strip(F.col("office"))).alias("_ocode"),
         F.coalesce(F.nullif(F.col("normalized_name"), F.lit("")), F.col("display_name")).alias("matched_candidate_name"),
     ).filter(F.col("cand_id").isNotNull() & (F.col("cand_id").cast("string") != ""))  # F13
     hits = ilike_join(patterns, cands, broadcast_limit)

@@ -235,7 +235,10 @@ def recent_markets(markets: DataFrame, as_of, lookback_days: int = vocab.RECENT_
     before ``as_of`` (a timestamp or ISO text; a job parameter, Q22).
     An empty closed_time is filled with the ISO text of that time."""
     closed = closed_timestamp()
-    cutoff = F.lit(as_of).cast("timestamp") - F.make_interval(days=F.lit(lookback_days))
+    # text or a datetime without a zone is UTC; the window is counted in whole
+    # days of 24 hours, so neither depends on the session's zone
+    moment = parsing.parse_iso_datetime(F.lit(as_of if isinstance(as_of, str) else as_of.isoformat()))
+    cutoff = moment - F.make_dt_interval(days=F.lit(lookback_days))
     kept = markets.select("*", closed.alias("_closed_ts")).filter(F.col("_closed_ts") >= cutoff)
     filled = F.when(F.coalesce(F.col("closed_time"), F.lit("")) == "", parsing.iso_text(F.col("_closed_ts"))).otherwise(
         F.col("closed_time"))

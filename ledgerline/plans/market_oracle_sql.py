@@ -319,7 +319,7 @@ def catalog_sql() -> str:
 lib(jurisdiction, level, name, url, description, access, update_frequency, feasibility, feasibility_notes, pos) AS (
   VALUES {lib_values}),
 sites(state, url) AS (VALUES {sites}),
-firstlvl AS (SELECT jurisdiction, arg_min(jurisdiction_level, market_id) AS lvl FROM tg GROUP BY jurisdiction),
+firstlvl AS (SELECT jurisdiction, arg_min(jurisdiction_level, (TRY_CAST(market_id AS HUGEINT) IS NULL, coalesce(TRY_CAST(market_id AS HUGEINT), 0), market_id, jurisdiction_level)) AS lvl FROM tg GROUP BY jurisdiction),
 kinds AS (
   SELECT jurisdiction, lvl,
     CASE WHEN jurisdiction IN (SELECT jurisdiction FROM lib) THEN 'lib'

@@ -172,16 +172,12 @@ cmdim AS (
     FROM cmaster) WHERE rn = 1)"""
 
 _LINKS_CTES = f"""
-ltot AS (SELECT committee_id, two_year_transaction_period, candidate_id,
-                SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS amt
-         FROM ({_RECEIPTS}) GROUP BY ALL),
+lcm AS (SELECT DISTINCT committee_id, two_year_transaction_period FROM ({_RECEIPTS})),
 links AS (
-  SELECT candidate_id AS cand_id, committee_id AS cmte_id, two_year_transaction_period AS cycle,
-         CASE WHEN rk = 1 THEN 'H' END AS committee_type_code,
-         CASE WHEN rk = 1 THEN 'P' ELSE 'J' END AS designation_code
-  FROM (SELECT *, row_number() OVER (PARTITION BY committee_id, two_year_transaction_period
-                                     ORDER BY amt DESC, candidate_id ASC) AS rk FROM ltot)
-  WHERE rk <= 2),
+  SELECT CAST(committee_id AS BIGINT) AS cand_id, committee_id AS cmte_id, two_year_transaction_period AS cycle,
+         'H' AS committee_type_code, 'P' AS designation_code FROM lcm
+  UNION ALL
+  SELECT CAST(committee_id * 2 + 1 AS BIGINT), committee_id, two_year_transaction_period, NULL, 'J' FROM lcm),
 roles AS (
   SELECT *, CASE WHEN designation_code IN ('P','A') THEN 'principal'
                  WHEN designation_code IN ('J') THEN 'joint_fundraising'

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.writers import published  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -136,27 +138,17 @@ def committee_candidate_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_links(spark: SparkSession, sf_dir: str, totals: DataFrame | None = None) -> DataFrame:
-    """Linkage stand-in: each (committee, cycle) is linked to its two largest
-    customers by receipts; the largest is the principal (designation P), the
-    second a joint-fundraising link (J). Ties go to the smaller customer key.
-
-    Derived by aggregation and a bounded per-key top-2, so it grows with the
-    data while each receipt fans out to at most two links."""
-    from pyspark.sql import Window
-
-    if totals is None:
-        totals = committee_candidate_totals(spark, sf_dir)
-    w = Window.partitionBy("committee_id", "two_year_transaction_period").orderBy(
-        F.col("amt").desc(), F.col("candidate_id").asc()
-    )
-    ranked = totals.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= 2)
-    return ranked.select(
-        F.col("candidate_id").alias("CAND_ID"),
-        F.col("committee_id").alias("CMTE_ID"),
-        F.col("two_year_transaction_period").alias("cycle"),
-        F.when(F.col("rk") == 1, F.lit("H")).otherwise(F.lit(None)).alias("CMTE_TP"),
-        F.when(F.col("rk") == 1, F.lit("P")).otherwise(F.lit("J")).alias("CMTE_DSGN"),
-    )
+    """Linkage stand-in: a committee is linked, in each cycle it has receipts
+    in, to two fixed customers: the one with its own key is the principal
+    (designation P), the one with twice its key plus one a joint-fundraising
+    link (J). Two links per committee and cycle by construction; none is cut."""
+    base = totals if totals is not None else receipts(spark, sf_dir)
+    committees = base.select(F.col("committee_id").alias("CMTE_ID"), F.col("two_year_transaction_period").alias("cycle")).distinct()
+    link = lambda key, kind, role: F.struct(
+        key.cast("long").alias("CAND_ID"), F.lit(kind).alias("CMTE_TP"), F.lit(role).alias("CMTE_DSGN"))
+    both = F.array(link(F.col("CMTE_ID"), "H", "P"), link(F.col("CMTE_ID") * 2 + 1, None, "J"))
+    rows = committees.select("CMTE_ID", "cycle", F.explode(both).alias("link"))
+    return rows.select("link.CAND_ID", "CMTE_ID", "cycle", "link.CMTE_TP", "link.CMTE_DSGN")
 
 
 def committee_master(spark: SparkSession, sf_dir: str, totals: DataFrame | None = None) -> DataFrame:
@@ -418,15 +410,3 @@ def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", txt.alias("number_text"), int_txt.alias("int_text"))
 
 
-def published(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table to the shared checkpoint folder and read it back,
-    as the receipts job publishes its dimensions before joining them: the
-    read-back table has real file statistics (so a small dimension can be
-    broadcast) and no lineage to recompute."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

@@ -7,7 +7,6 @@ tests and the benchmark.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -77,10 +76,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
-
-
-def env_cores(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

@@ -9,13 +9,22 @@ half-written table.
 from __future__ import annotations
 
 import logging
+import uuid
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import is_missing_path
+from ..session import ensure_checkpoint_dir
+
 LOGGER = logging.getLogger("ledgerline.sinks")
 
+# Quotes within a cell are doubled and its white space is kept, so that a
+# reader with the same options gets every cell back.
+CSV_CELLS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 WAREHOUSE_TABLES = (
     "candidate_dim",
     "committee_dim",
@@ -41,6 +50,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, dyn
     writer.parquet(path)
 
 
+def published(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table to the shared checkpoint folder and read it back:
+    the read-back table has real file statistics (so a small one can be
+    broadcast) and no lineage to recompute. The folder goes with the session."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").parquet(path)
+    fs.deleteOnExit(hadoop_path)
+    return spark.read.parquet(path)
+
+
 def write_jdbc(df: DataFrame, table: str, url: str, options: dict | None = None) -> None:
     """K2: overwrite a database table; ``options`` (user, password, driver,
     batchsize, numPartitions, ...) are passed through and win."""
@@ -63,7 +84,9 @@ def load_tables(
         path = f"{warehouse_root.rstrip('/')}/{table}"
         try:
             df = spark.read.parquet(path)
-        except Exception:  # path missing
+        except AnalysisException as error:
+            if not is_missing_path(error):
+                raise
             LOGGER.warning("skipping %s; parquet path %s not found", table, path)
             continue
         write_jdbc(df, table, url, options)
@@ -83,7 +106,7 @@ def python_list_text(arr: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(arr, item), ", "), F.lit("]"))
 
 
-def _require_rows(df: DataFrame, what: str) -> None:
+def require_rows(df: DataFrame, what: str) -> None:
     """F16: refuse to write an empty export."""
     if df.isEmpty():
         raise RuntimeError(f"No {what} available for export.")
@@ -106,12 +129,16 @@ def market_csv_frame(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_market_dataset(df: DataFrame, path_prefix: str) -> None:
+def write_market_dataset(df: DataFrame, path_prefix: str) -> int:
     """K4/K5: ``{prefix}.csv`` (one folder of CSV parts, header) and
-    ``{prefix}.json`` (JSON Lines, real lists, NULLs kept)."""
-    _require_rows(df, "market records")
-    market_csv_frame(df).write.mode("overwrite").option("header", "true").csv(f"{path_prefix}.csv")
+    ``{prefix}.json`` (JSON Lines, real lists, NULLs kept). Returns the rows
+    written (A13), counted by the CSV write itself."""
+    require_rows(df, "market records")
+    rows = Observation("market_rows")
+    counted = market_csv_frame(df).observe(rows, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").options(**CSV_CELLS).csv(f"{path_prefix}.csv")
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path_prefix}.json")
+    return rows.get["rows"]
 
 
 def write_catalog(catalog: DataFrame, path_prefix: str) -> None:
@@ -119,13 +146,13 @@ def write_catalog(catalog: DataFrame, path_prefix: str) -> None:
     jurisdiction."""
     from ..operators.catalog import explode_catalog
 
-    explode_catalog(catalog).write.mode("overwrite").option("header", "true").csv(f"{path_prefix}.csv")
+    explode_catalog(catalog).write.mode("overwrite").options(**CSV_CELLS).csv(f"{path_prefix}.csv")
     catalog.select("jurisdiction", "level", "sources").write.mode("overwrite").json(f"{path_prefix}.json")
 
 
 def write_matched_csv(df: DataFrame, path: str) -> None:
     """K8: the linked market rows."""
-    market_csv_frame(df).write.mode("overwrite").option("header", "true").csv(path)
+    market_csv_frame(df).write.mode("overwrite").options(**CSV_CELLS).csv(path)
 
 
 def to_json_lines(df: DataFrame, sort_keys: Iterable[str] | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.writers import CSV_CELLS
+
 _S = T.StringType()
 
 MARKET_FIELDS = (
@@ -54,7 +56,7 @@ def read_analytics(spark: SparkSession, path: str) -> DataFrame:
 
 def read_market_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The market dataset written as CSV (quoted, may span lines)."""
-    reader = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+    reader = spark.read.options(**CSV_CELLS).option("multiLine", "true")
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -34,10 +34,10 @@ C3_ROWS = [
 
 
 def test_name_parts(spark):
-    got = _one(spark, [(r[0],) for r in C3_ROWS], "n string",
-               text.name_parts_from_normalized(text.normalize_text(F.col("n"))))
-    for (name, want), row in zip(C3_ROWS, got):
-        assert tuple(row) == want, name
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(C3_ROWS)], "i int, n string")
+    named = text.add_name_parts(df.withColumn("normalized_name", text.normalize_text(F.col("n"))))
+    got = {r.i: (r.first_name, r.middle_name, r.last_name, r.prefix, r.suffix) for r in named.collect()}
+    assert got == {i: want for i, (_, want) in enumerate(C3_ROWS)}
 
 
 def test_normalize_text(spark):
