@@ -34,6 +34,8 @@ from .store import shard_count
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
+SEED_BYTES = 2 << 20  # text that a map task combines at a time
+SHARD_BYTES = 16 << 20  # input per reducer, whose anchors it holds at once
 SPANS = "id long, rid long, spans binary"
 
 
@@ -77,7 +79,7 @@ def _seeds(window: int, anchor: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rids = _ids(batch.column(0)), batch.column(1).to_numpy()
-            for s in tokens.slices(batch.column(2)):
+            for s in tokens.slices(batch.column(2), slice_bytes=SEED_BYTES):
                 at = slice(s.row, s.row + s.n_texts)
                 yield from _slice_rows(s, ids[at], rids[at])
 
@@ -160,23 +162,22 @@ def _extend(window: int):
     """Reduce side, one shard: extend anchors that occur again, keep repeats."""
 
     def run(table: pa.Table) -> pa.Table:
-        kinds, blobs = table.column("kind").to_numpy(), table.column("blob").combine_chunks()
-        if isinstance(blobs, pa.ChunkedArray):
-            blobs = pa.concat_arrays(blobs.chunks)
+        # the blocks stay where Arrow has them; only arrays over them are made
+        kinds = table.column("kind").to_numpy()
+        blobs = [v.as_buffer() for chunk in table.column("blob").chunks for v in chunk]
         out_id, out_rid, out = [], [], []
         for i in np.flatnonzero(kinds == 1):
-            raw = blobs[int(i)].as_py()
+            raw = blobs[i].to_pybytes()
             out_id.append(np.frombuffer(raw, np.int64, 1))
             out_rid.append(np.frombuffer(raw, np.int64, 1, 8))
             out.append(raw[16:])
-        seeds = [int(i) for i in np.flatnonzero(kinds == 0)]
-        hashes = np.concatenate([_unpack(blobs[i].as_buffer())[2] for i in seeds] or [np.zeros(0, U)])
-        order = np.sort(hashes)
+        seeds = np.flatnonzero(kinds == 0)
+        order = np.sort(np.concatenate([_unpack(blobs[i])[2] for i in seeds] or [np.zeros(0, U)]))
         again = np.unique(order[1:][order[1:] == order[:-1]])
-        del hashes, order
-        cols = [[] for _ in range(5)]
+        del order
+        cols = [[] for _ in range(4)]
         for i in seeds if len(again) else []:
-            ids, rids, h, start, local, offset, count, wins = _unpack(blobs[i].as_buffer())
+            ids, rids, h, start, local, offset, count, wins = _unpack(blobs[i])
             hit = again[np.minimum(np.searchsorted(again, h), len(again) - 1)] == h
             if not hit.any():
                 continue
@@ -220,7 +221,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier; ``rid`` is the hash of id and text. A document may have several
     rows, whose spans may overlap."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
-    seeds = rows.mapInArrow(_seeds(window, anchor, shard_count(docs)), "shard int, kind int, blob binary")
+    seeds = rows.mapInArrow(_seeds(window, anchor, shard_count(docs, SHARD_BYTES)), "shard int, kind int, blob binary")
     return seeds.groupBy("shard").applyInArrow(_extend(window), SPANS)
 
 

@@ -36,8 +36,8 @@ def brute(rows, window):
 def test_digest_matches_brute_force(spark, monkeypatch):
     rows = llm_cases.documents() + [(i + 1000 if i is not None else None, *rest) for i, *rest in llm_cases.odd_documents()]
     df = llm_cases.clashing(spark.createDataFrame(rows, llm_cases.DOCS).repartition(6))
-    for slice_bytes in (4 << 20, 2000):
-        monkeypatch.setattr(substring.tokens, "SLICE_BYTES", slice_bytes)
+    for slice_bytes in (2 << 20, 2000):
+        monkeypatch.setattr(substring, "SEED_BYTES", slice_bytes)
         got = sorted([tuple(r) for r in substring.substring_digest(df).collect()], key=str)
         assert got == brute(rows, 20)
     assert sum(r[2] for r in got) > 100
