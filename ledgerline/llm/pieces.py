@@ -361,7 +361,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
         encoder = Encoder(vocabulary, n)
         kind = pa.list_(pa.list_(pa.struct([("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])))
         for batch in batches:
-            for s in tokens.slices(batch.column(1), slice_bytes=2 << 20):
+            for s in tokens.slices(batch.column(1), slice_bytes=1 << 20):
                 out = list(encoder.encode(s))
                 changes = [[[{"chunk": c, "ids": x} for c, x in one] for one in o[2]] for o in out]
                 yield pa.record_batch([batch.column(0).slice(s.row, s.n_texts), id_lists([o[0] for o in out]),
@@ -394,7 +394,7 @@ def segmentation_digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
         for batch in batches:
-            for s in tokens.slices(batch.column(1), slice_bytes=2 << 20):
+            for s in tokens.slices(batch.column(1), slice_bytes=1 << 20):
                 size, best, scores, sha, back = [], [], [], [], []
                 for i, (ids, top, _) in enumerate(encoder.encode(s)):
                     size.append(len(ids))

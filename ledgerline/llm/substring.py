@@ -34,7 +34,7 @@ from .store import shard_count
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
-SEED_BYTES = 2 << 20  # text that a map task combines at a time
+SEED_BYTES = 1 << 20  # text that a map task combines at a time
 SHARD_BYTES = 16 << 20  # input per reducer, whose anchors it holds at once
 SPANS = "id long, rid long, spans binary"
 

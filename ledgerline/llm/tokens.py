@@ -1,6 +1,6 @@
 """Words of whole texts as flat numpy arrays, for use inside Arrow tasks.
 
-A batch of texts is taken in slices of a few megabytes (one text is never
+A batch of texts is taken in slices of a megabyte (one text is never
 split), so a task's memory does not grow with the batch. Within a slice the
 words of all texts lie one after the other; ``first[i]:first[i + 1]`` are the
 words of text ``i``.
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 U = np.uint64
 _rng = np.random.default_rng(20240501)
