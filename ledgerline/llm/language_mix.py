@@ -83,7 +83,7 @@ def learn(docs: DataFrame, may_teach: Column, lang_col: str = "lang", text_col:
             full = np.flatnonzero(total)
             yield pa.record_batch([pa.array([lang] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(total[full])], names=["lang", "bucket", "n"])
 
-    counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(tokens.tidy(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     by_lang = counts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("counts"))  # at most 2**bits entries
     found = by_lang.limit(max_languages + 1).collect()
     if len(found) > max_languages:
@@ -171,4 +171,4 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, id_col: str =
 
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), has_letter(text).alias("lettered"))
-    return rows.mapInArrow(run, "id long, lang_pred string, score double, mixture map<string,double>")
+    return rows.mapInArrow(tokens.tidy(run), "id long, lang_pred string, score double, mixture map<string,double>")

@@ -368,7 +368,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
                                        pa.array([o[1] for o in out], pa.list_(pa.float64())), pa.array(changes, kind)], names=["doc_id", "ids", "scores", "alternatives"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id long, ids array<int>, scores array<double>, alternatives {CHANGES}")
+    return rows.mapInArrow(tokens.tidy(run), f"doc_id long, ids array<int>, scores array<double>, alternatives {CHANGES}")
 
 
 def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
@@ -406,4 +406,4 @@ def segmentation_digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "
                                        pa.array(sha, pa.string()), pa.array(back, pa.bool_())], names=["doc_id", "n_pieces", "score", "nbest_scores", "ids_sha256", "round_trip"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_pieces long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean")
+    return rows.mapInArrow(tokens.tidy(run), "doc_id long, n_pieces long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean")

@@ -119,7 +119,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "
         kept = np.flatnonzero(w)
         yield pa.record_batch([pa.array(kept, pa.int32()), pa.array(w[kept])], names=["bucket", "weight"])
 
-    fitted = rows.repartition(1).sortWithinPartitions("_order", "_id", "_text", "_label").select("_text", "_label").mapInArrow(fit, "bucket int, weight double")
+    fitted = rows.repartition(1).sortWithinPartitions("_order", "_id", "_text", "_label").select("_text", "_label").mapInArrow(tokens.tidy(fit), "bucket int, weight double")
     out = np.zeros(size + 1, np.float32)
     for bucket, weight in fitted.collect():
         out[bucket] = weight
@@ -137,12 +137,14 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
                 doc, bucket = features(s, bits)
                 total = np.bincount(doc, weights[bucket], s.n_texts) / np.maximum(s.counts, 1)
                 out[s.row:s.row + s.n_texts] = 1 / (1 + np.exp(-np.clip(total + weights[-1], -35, 35)))
-            yield pa.record_batch([batch.column(0), pa.array(out), *batch.columns[2:]], names=names)
+            yield pa.record_batch([batch.column(0), pa.array(out), *[batch.column(k) for k in place]], names=names)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(passing)])
+    others = [c for c in passing if c != text_col]  # the text itself travels once
+    place = [1 if c == text_col else 2 + others.index(c) for c in passing]
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(others)])
     schema = "id long, score double" + "".join(f", c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(passing))
     names = ["id", "score", *[f"c{i}" for i in range(len(passing))]]
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tokens.tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

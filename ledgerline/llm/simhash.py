@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))], names=["id", "rid", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), row_hash(id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, rid long, fp long")
+    return rows.mapInArrow(tokens.tidy(run), "id long, rid long, fp long")
 
 
 def row_hash(id_col: str, text_col: str) -> Column:
@@ -241,7 +241,7 @@ def fingerprint_edges(nodes: DataFrame, max_bits: int = 2) -> DataFrame:
     keys = [F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("bits")) for i, m in enumerate(block_masks(max_bits))]
     dealt = nodes.select("fp", gray_rank(F.col("fp")).alias("rank"), F.explode(F.array(*keys)).alias("key"))
     dealt = dealt.select("key.mask", "key.bits", "fp", "rank").repartition(F.col("mask"), F.col("bits"))
-    return dealt.sortWithinPartitions("mask", "bits", "rank").mapInArrow(_group_edges(max_bits), "a long, b long")
+    return dealt.sortWithinPartitions("mask", "bits", "rank").mapInArrow(tokens.tidy(_group_edges(max_bits)), "a long, b long")
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

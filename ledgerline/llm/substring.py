@@ -221,7 +221,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earlier; ``rid`` is the hash of id and text. A document may have several
     rows, whose spans may overlap."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
-    seeds = rows.mapInArrow(_seeds(window, anchor, shard_count(docs, SHARD_BYTES)), "shard int, kind int, blob binary")
+    seeds = rows.mapInArrow(tokens.tidy(_seeds(window, anchor, shard_count(docs, SHARD_BYTES))), "shard int, kind int, blob binary")
     return seeds.groupBy("shard").applyInArrow(_extend(window), SPANS)
 
 
@@ -264,7 +264,7 @@ def substring_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.record_batch([batch.column(0), pa.array(cat(n_words)), pa.array(cat(n_gone)), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     joined = with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [F.col(id_col).cast("long").alias("_key")])
-    return joined.select("_key", "_text", "_spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.select("_key", "_text", "_spans").mapInArrow(tokens.tidy(run), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, anchor: int = 10) -> DataFrame:
@@ -273,6 +273,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     without repeats is returned byte for byte."""
 
     names = list(docs.columns)
+    others = [c for c in names if c != text_col]  # the text itself travels once
 
     def run(batches):
         for batch in batches:
@@ -291,8 +292,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             raw = pa.array(texts, pa.binary()).cast(pa.string())
             was_null = batch.column(0).is_null()
             new = pc.if_else(was_null, pa.scalar(None, pa.string()), raw)
-            yield pa.record_batch([new if c == text_col else batch.column(2 + i) for i, c in enumerate(names)], names=names)
+            yield pa.record_batch([new if c == text_col else batch.column(2 + others.index(c)) for c in names], names=names)
 
-    joined = with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [F.col(c).alias(f"_c{i}") for i, c in enumerate(names)])
-    ordered = joined.select("_text", "_spans", *[f"_c{i}" for i in range(len(names))])
-    return ordered.mapInArrow(run, docs.schema)
+    joined = with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    ordered = joined.select("_text", "_spans", *[f"_c{i}" for i in range(len(others))])
+    return ordered.mapInArrow(tokens.tidy(run), docs.schema)
