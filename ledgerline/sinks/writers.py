@@ -50,15 +50,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, dyn
     writer.parquet(path)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder; goes with the session."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
 def published(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write a derived table to the shared checkpoint folder and read it back:
     the read-back table has real file statistics (so a small one can be
     broadcast) and no lineage to recompute. The folder goes with the session."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published/{name}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path = shared_folder(spark, name)
     df.write.mode("overwrite").parquet(path)
-    fs.deleteOnExit(hadoop_path)
     return spark.read.parquet(path)
 
 
