@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import markets
+from ..operators import dims, markets
 from ..sinks.writers import shared_folder, write_market_dataset, write_matched_csv
+from ..sources.bulk import load_master, load_schedule_a_raw
 from ..sources.markets import read_events, read_market_csv
 from . import standins
 from .market_oracle_sql import SQL as MARKET_SQL
 from .market_queries import _json_arrays, _utc
+from .oracle_sql import SQL as RECEIPT_SQL
 
 _CELLS = ("market_id", "question", "resolution_notes", "outcomes", "candidate_names", "jurisdiction_sources")
 _CELL_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in _CELLS])
@@ -31,6 +33,48 @@ def q_events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json_arrays(flat.drop(*[c for c in flat.columns if c.startswith("_")]))
 
 
+def _land(rows: DataFrame, folder: str, name: str, header: str) -> list[int]:
+    """``rows`` (column ``cycle`` and the file's columns) as pipe-delimited
+    bulk files ``{name}_{cycle}_{n}.txt`` (``{name}_{cycle}.txt`` for a single
+    file per cycle) below ``folder``, with their header file; returns the
+    cycles. Only file names pass through the driver."""
+    spark, columns = rows.sparkSession, [c for c in rows.columns if c != "cycle"]
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    landing = shared_folder(spark, "landing") + "/parts"
+    rows.select(line.alias("value"), "cycle").write.partitionBy("cycle").text(landing)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(landing).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    parts: dict[str, list] = {}
+    for status in fs.globStatus(path(f"{landing}/cycle=*/part-*")):
+        parts.setdefault(status.getPath().getParent().getName().removeprefix("cycle="), []).append(status.getPath())
+    for cycle, files in parts.items():
+        for n, file in enumerate(files):
+            fs.rename(file, path(f"{folder}/{name}_{cycle}{f'_{n}' if len(files) > 1 else ''}.txt"))
+    spark.range(1).select(F.lit(",".join(columns)).alias("value")).coalesce(1).write.text(f"{folder}/{header}")
+    return sorted(map(int, parts))
+
+
+def q_bulk_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate master files by cycle, read with their header
+    file and made into the candidate dimension."""
+    root = shared_folder(spark, "bulk")
+    master = standins.candidate_master(spark, sf_dir).drop("o_orderkey")
+    cycles = _land(master.repartition("cycle"), f"{root}/candidate_master", "candidate_master", "candidate_master_header_file.csv")
+    raw = load_master(spark, root, "candidate_master", cycles)
+    return dims.build_candidate_dim(raw.withColumn("CAND_ID", F.col("CAND_ID").cast(master.schema["CAND_ID"].dataType)))
+
+
+def q_schedule_a_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule A files by cycle, several to a cycle, read in
+    one scan with their header file; the cycle comes from the file name."""
+    folder = shared_folder(spark, "schedule-a") + "/files"
+    rows = standins.bulk_receipts(spark, sf_dir)
+    year = F.col("Rpt_Yr").cast("int")
+    cycles = _land(rows.withColumn("cycle", year + year % 2), folder, "itcont", "indiv_header.csv")
+    return load_schedule_a_raw(spark, folder, cycles, header_path=f"{folder}/indiv_header.csv")
+
+
 def _market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows whose cells hold quotes, commas, line breaks, backslashes,
     outer spaces and lists, from every turn of every conversation."""
@@ -86,6 +130,8 @@ def q_matched_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "events_roundtrip": _utc(q_events_roundtrip),
+    "bulk_roundtrip": q_bulk_roundtrip,
+    "schedule_a_scan": q_schedule_a_scan,
     "market_csv_roundtrip": q_market_csv_roundtrip,
     "market_json_roundtrip": q_market_json_roundtrip,
     "matched_csv_roundtrip": q_matched_csv_roundtrip,
@@ -93,6 +139,11 @@ QUERIES = {
 
 SQL = {
     "events_roundtrip": MARKET_SQL["market_flatten"],
+    "bulk_roundtrip": RECEIPT_SQL["dim_dedup"],
+    "schedule_a_scan": f"""
+SELECT *, CAST(CAST(report_year AS INTEGER) + CAST(report_year AS INTEGER) % 2 AS INTEGER) AS two_year_transaction_period
+FROM ({RECEIPT_SQL["column_aliases"]})
+""",
     "market_csv_roundtrip": _CSV_CELLS_SQL,
     "market_json_roundtrip": f"""
 SELECT {_TEXT_CELLS_SQL}, 'Yes, now~it''s~' || coalesce(role, '-') AS outcomes FROM conversations
