@@ -38,9 +38,12 @@ ANALYTICS_ENTRY_SCHEMA = T.StructType([T.StructField(f, _S) for f in ANALYTICS_F
 ANALYTICS_PAGE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(ANALYTICS_ENTRY_SCHEMA))])
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Event pages as JSON Lines (one event per line) or JSON arrays."""
-    return spark.read.schema(EVENT_SCHEMA).option("multiLine", "false").json(path)
+def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Event pages as JSON Lines, each line an event or an array of
+    events; with ``multi_line`` each file is one (indented) event or array.
+    Text that is no JSON, or an indented page read by lines, raises."""
+    reader = spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST")
+    return reader.option("multiLine", multi_line).json(path)
 
 
 def read_analytics(spark: SparkSession, path: str) -> DataFrame:

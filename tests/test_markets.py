@@ -4,6 +4,8 @@ import glob
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline.plans import pipelines
@@ -103,3 +105,20 @@ def test_streaming_ingest(spark, workdir):
     ids = sorted(r.market_id for r in spark.read.parquet(out).collect())
     assert ids == ["11", "12"]  # 41 has no analytics entry, so the tag gate drops it
     assert len(glob.glob(f"{workdir}/ckpt/commits/*")) == 2
+
+
+def test_indented_event_pages_are_read_or_refused(spark, workdir):
+    pages = os.path.join(workdir, "pages")
+    os.makedirs(pages)
+    with open(os.path.join(pages, "page.json"), "w") as out:
+        json.dump(EVENTS, out, indent=2)
+    ids = [r.id for r in market_sources.read_events(spark, pages, multi_line=True).collect()]
+    assert ids == ["1", "2", "3"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        market_sources.read_events(spark, pages).collect()
+
+    lines = os.path.join(workdir, "lines")
+    os.makedirs(lines)
+    with open(os.path.join(lines, "page.json"), "w") as out:
+        out.write(json.dumps(EVENTS) + "\n" + json.dumps(EVENTS[1]) + "\n")
+    assert sorted(r.id for r in market_sources.read_events(spark, lines).collect()) == ["1", "2", "2", "3"]
