@@ -167,14 +167,20 @@ def sequence(arrays: dict[str, np.ndarray], prefix: str) -> EliasFano:
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codes of one byte, table of bin means), over equally full bins."""
+    """(codes of one byte, table of bin means), over equally full bins; a value
+    that would fill more than one bin has one of its own."""
     if not len(x):
         return np.zeros(0, np.uint8), np.zeros(256, np.float32)
-    ordered = np.sort(x)
-    edges = np.unique(ordered[(np.arange(1, 256) * len(x)) // 256])
-    code = np.searchsorted(edges, x, "right")
-    n = np.bincount(code, minlength=256)
-    return code.astype(np.uint8), (np.bincount(code, x, minlength=256) / np.maximum(n, 1)).astype(np.float32)
+    values, back, count = np.unique(x, return_inverse=True, return_counts=True)
+    if len(values) <= 256:
+        code = np.arange(len(values))
+    else:
+        full = count.astype(float)
+        for _ in range(20):
+            full = np.minimum(full, full.sum() / 256)
+        code = np.minimum(((np.cumsum(full) - full / 2) * (256 / full.sum())).astype(int), 255)
+    n, total = np.bincount(code, count, minlength=256), np.bincount(code, count * values, minlength=256)
+    return code[back].astype(np.uint8), (total / np.maximum(n, 1)).astype(np.float32)
 
 
 def ranges(group: np.ndarray, x: np.ndarray, groups: int) -> tuple[dict, dict]:

@@ -28,8 +28,9 @@ def op1_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole counts: n-grams seen once are kept."""
     docs = table(spark, sf_dir, "documents")
-    model = ngram_trie.train(docs, remainder("doc_id", 5) != 1)
+    model = ngram_trie.train(docs, remainder("doc_id", 5) != 1, min_count=1)
     held_out = F.coalesce(remainder("id", 5) == 1, F.lit(False))
     return ngram_trie.score(docs, model).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
