@@ -46,7 +46,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_pieces, ids, scores, alternatives): the best segmentation of
     each text, the scores of the four best, and where these differ."""
-    out = pieces.encode(docs, pieces.Vocabulary.load(PIECE_MODEL), n=4)
+    out = pieces.encode(docs, pieces.fitted(docs, PIECE_MODEL), n=4)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "scores", "alternatives")
 
 

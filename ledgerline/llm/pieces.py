@@ -13,6 +13,12 @@ order of score. Only a text's ``n - 1`` chunks with the least loss from best
 to second best can take part in its ``n`` best segmentations; these are
 searched, and a best-first walk over their choices combines them.
 
+Scores add up along a segmentation, so they must be log-probabilities. The
+scores in the file of a byte-pair model are merge ranks; ``fitted`` puts
+log-probabilities in their place, from the model's own encoding of the
+documents. The best segmentation is that of the unigram model, which on some
+words is not what the byte-pair merges give.
+
 Defined results: null and empty texts have no pieces and score 0. Signs
 without a piece become byte pieces, or the unknown piece if the vocabulary
 has none, at the least score less 10. Of equally good segmentations the one
@@ -26,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,8 @@ from . import tokens
 
 SPACE = 0x20
 UNKNOWN_LOSS = 10.0
+SCORE_STEP = 2.0 ** -20  # fitted scores are multiples of it: sums are exact in any order
+HELD_BYTES = 4 << 20  # of distinct chunks that a task counts before it encodes them
 
 
 @dataclass
@@ -54,6 +62,8 @@ class Vocabulary:
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
+        """The pieces with the scores in the file, which are merge ranks if
+        the model is a byte-pair one (see ``fitted``)."""
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -272,6 +282,24 @@ class Lattice:
         return out
 
 
+def chunks(s: tokens.Slice, cut: bool):
+    """(bytes, starts, ends, bounds of each text, a place of each distinct
+    chunk, which of these each chunk is) of a slice."""
+    filled = np.diff(s.offsets) > 0
+    data = np.insert(s.data, s.offsets[:-1][filled], SPACE)
+    offsets = s.offsets + np.r_[0, np.cumsum(filled)]
+    opens = np.zeros(len(data) + 1, bool)
+    if cut:
+        opens[1:-1] = (data[1:] == SPACE) & (data[:-1] != SPACE)
+    opens[offsets[:-1][filled]] = True
+    starts = np.flatnonzero(opens[:-1])
+    ends = np.r_[starts[1:], len(data)] if len(starts) else starts
+    bounds = np.searchsorted(starts, offsets)
+    hashes = tokens.word_hashes(tokens.Slice(0, data, offsets, starts, ends, bounds))
+    _, where, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    return data, starts, ends, bounds, where, kind
+
+
 class Encoder:
     """Encodes the texts of a slice."""
 
@@ -297,18 +325,7 @@ class Encoder:
         """(ids of the best segmentation, scores of the n best, differences)
         of each text. A difference is what an alternative has in place of the
         best: a list of (chunk number, ids)."""
-        filled = np.diff(s.offsets) > 0
-        data = np.insert(s.data, s.offsets[:-1][filled], SPACE)
-        offsets = s.offsets + np.r_[0, np.cumsum(filled)]
-        opens = np.zeros(len(data) + 1, bool)
-        if self.cut:
-            opens[1:-1] = (data[1:] == SPACE) & (data[:-1] != SPACE)
-        opens[offsets[:-1][filled]] = True
-        starts = np.flatnonzero(opens[:-1])
-        ends = np.r_[starts[1:], len(data)] if len(starts) else starts
-        bounds = np.searchsorted(starts, offsets)
-        hashes = tokens.word_hashes(tokens.Slice(0, data, offsets, starts, ends, bounds))
-        _, where, kind = np.unique(hashes, return_index=True, return_inverse=True)
+        data, starts, ends, bounds, where, kind = chunks(s, self.cut)
         net = Lattice(data, starts[where], ends[where], self.vocabulary)
         steps, cuts = net.best_paths()
         flat, per_step = self.ids(net.text, net.via[steps], steps, net.piece[steps])
@@ -349,6 +366,54 @@ class Encoder:
         return scores, changes
 
 
+def own_counts(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """(piece, n): how often each piece stands in the model's own encoding of
+    the documents' whole texts. Null and empty texts have none."""
+    import sentencepiece
+
+    proto, cut = sentencepiece.SentencePieceProcessor(model_file=path).serialized_model_proto(), Vocabulary.load(path).cuts_at_spaces()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        space, total, held, size = model.piece_to_id("▁"), np.zeros(model.get_piece_size(), np.int64), {}, 0
+
+        def settle() -> None:
+            # the model puts the first space itself, but not into an empty text
+            ids = [x or [space] for x in model.encode([c[1:].decode() for c in held], num_threads=1)]
+            times = np.repeat(np.fromiter(held.values(), np.int64, len(held)), [len(x) for x in ids])
+            np.add.at(total, np.array([i for x in ids for i in x], np.int64), times)
+            held.clear()
+
+        for batch in batches:
+            for s in tokens.slices(batch.column(0), slice_bytes=1 << 20):
+                data, starts, ends, _, where, kind = chunks(s, cut)
+                raw = data.tobytes()
+                for begin, end, n in zip(starts[where].tolist(), ends[where].tolist(), np.bincount(kind).tolist()):
+                    chunk = raw[begin:end]
+                    size += 0 if chunk in held else len(chunk)
+                    held[chunk] = held.get(chunk, 0) + n
+                if size > HELD_BYTES:
+                    settle()
+                    size = 0
+        if held:
+            settle()
+        piece = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(piece, pa.int32()), pa.array(total[piece], pa.int64())], names=["piece", "n"])
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(tokens.tidy(run), "piece int, n long")
+    return rows.groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def fitted(docs: DataFrame, path: str, text_col: str = "text") -> Vocabulary:
+    """The model's pieces with the log-probabilities of the unigram model that
+    is likeliest for the model's own encoding of the documents; each usable
+    piece counts once more."""
+    vocabulary, count = Vocabulary.load(path), {r.piece: r.n for r in own_counts(docs, path, text_col).collect()}  # one row per piece
+    n = np.array([count.get(i, 0) for i in range(len(vocabulary.pieces))], float) + vocabulary.usable
+    scores = np.log(np.maximum(n, 1) / max(n.sum(), 1))
+    return replace(vocabulary, scores=np.round(scores / SCORE_STEP) * SCORE_STEP)
+
+
 CHANGES = "array<array<struct<chunk:int,ids:array<int>>>>"
 
 

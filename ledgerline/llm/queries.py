@@ -43,7 +43,8 @@ def op3_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.segmentation_digest(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(PIECE_MODEL))
+    docs = table(spark, sf_dir, "documents")
+    return pieces.segmentation_digest(docs, pieces.fitted(docs, PIECE_MODEL))
 
 
 def op5_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
