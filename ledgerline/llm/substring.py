@@ -6,12 +6,16 @@ place, so repeats of ``window`` words or more meet at an anchor. An anchor's
 row carries its extensions both ways: a hash of every window that chose it.
 Rows are dealt out by anchor; only anchors that occur more than once are
 extended. There each window's occurrences are compared with the first of
-them, in the order of (document, position); every later one is a repeat, and
-neighbouring repeats merge into maximal spans. No pairs are made.
+them, in the order of (document, position), and every later one is a repeat.
+No match is grown word by word: a repeat longer than a window is the union of
+its windows, which is made per document after all reducers, so that spans are
+maximal. No pairs are made.
 
 A map task combines its own windows first: of equal windows only the first
 goes to the reducers, so a passage in a third of all documents costs a few
-rows per map task. Hashes are 64 bits for an anchor plus 48 for the window.
+rows per map task. Windows are compared by 64 bits, never word by word: there
+by their own hash, in a reducer by one made of the anchor's 64 bits, 48 of the
+window and the anchor's place in it.
 
 Defined results: null or empty text has no words and no spans. Rows are
 identified by id and text; repeated rows have equal ids, so none of them is
@@ -217,12 +221,26 @@ def _extend(window: int):
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, anchor: int = 10) -> DataFrame:
-    """(id, rid, spans): word spans [start, end) of windows that also start
-    earlier; ``rid`` is the hash of id and text. A document may have several
-    rows, whose spans may overlap."""
+    """(id, rid, spans): maximal word spans [start, end) of windows that also
+    start earlier, one row per document with any; ``rid`` is the hash of id and
+    text."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
     seeds = rows.mapInArrow(tokens.tidy(_seeds(window, anchor, shard_count(docs, SHARD_BYTES))), "shard int, kind int, blob binary")
-    return seeds.groupBy("shard").applyInArrow(_extend(window), SPANS)
+    found = seeds.groupBy("shard").applyInArrow(_extend(window), SPANS)
+    return found.groupBy("id", "rid").agg(F.collect_list("spans").alias("parts")).mapInArrow(_unite, SPANS)
+
+
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of one document from several reducers as maximal ones."""
+    for batch in batches:
+        out = []
+        for parts in batch.column(2):
+            lo, hi = np.frombuffer(b"".join(parts.as_py()), np.int32).reshape(-1, 2).T
+            order = np.argsort(lo, kind="stable")
+            lo, hi = lo[order], np.maximum.accumulate(hi[order])
+            head = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]])
+            out.append(np.stack([lo[head], hi[np.r_[head[1:] - 1, len(lo) - 1]]], 1).tobytes())
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "rid", "spans"])
 
 
 def _covered(s: tokens.Slice, lists: list) -> np.ndarray:
@@ -238,7 +256,7 @@ def _covered(s: tokens.Slice, lists: list) -> np.ndarray:
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, others: list[str]) -> DataFrame:
     """Documents joined with their spans: _id, _rid, _text, _spans, others."""
-    by_doc = spans.groupBy(F.col("id").alias("_sid"), F.col("rid").alias("_srid")).agg(F.collect_list("spans").alias("_spans"))
+    by_doc = spans.select(F.col("id").alias("_sid"), F.col("rid").alias("_srid"), F.array("spans").alias("_spans"))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("_rid"),
                        F.col(text_col).alias("_text"), *others)
     return rows.join(by_doc, (F.col("_id") == F.col("_sid")) & (F.col("_rid") == F.col("_srid")), "left").drop("_sid", "_srid")
