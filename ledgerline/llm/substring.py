@@ -13,7 +13,11 @@ maximal. No pairs are made.
 
 A map task combines its own windows first: of equal windows only the first
 goes to the reducers, so a passage in a third of all documents costs a few
-rows per map task. Windows are compared by 64 bits, never word by word: there
+rows per map task. A phrase shorter than a window can be the anchor of very
+many different windows; a pass over the texts before finds the anchors of
+``HOT_WINDOWS`` windows and more, and their windows are dealt out one by one,
+by their own hash: equal ones meet all the same, and no task gets the anchor
+whole. Windows are compared by 64 bits, never word by word: there
 by their own hash, in a reducer by one made of the anchor's 64 bits, 48 of the
 window and the anchor's place in it.
 
@@ -40,6 +44,8 @@ U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
 SEED_BYTES = 1 << 20  # text that a map task combines at a time
 SHARD_BYTES = 16 << 20  # input per reducer, whose anchors it holds at once
+HOT_WINDOWS = 1 << 16  # windows of one anchor that a reducer may get
+HOT_IN_SLICE = 32  # windows in one slice from which an anchor is counted
 SPANS = "id long, rid long, spans binary"
 
 
@@ -76,9 +82,38 @@ def _span_rows(id_: np.ndarray, rid: np.ndarray, doc: np.ndarray, begin: np.ndar
     return id_[doc[heads]], rid[doc[heads]], [packed[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def _seeds(window: int, anchor: int, shards: int):
+def _chosen(s, window: int, anchor: int):
+    """(windows within one text, place of each window's anchor, its hash) of a
+    slice; None without any."""
+    h = tokens.word_hashes(s)
+    n = len(h) - window + 1
+    if n <= 0:
+        return None
+    whole = np.flatnonzero(tokens.room(s)[:n] >= window)
+    if not len(whole):
+        return None
+    return h, whole, *_choose(tokens.gram_hashes(h, anchor), n, window - anchor + 1)
+
+
+def hot_anchors(texts: DataFrame, window: int, anchor: int, least: int) -> np.ndarray:
+    """Sorted hashes of the anchors of ``least`` windows and more, so few that
+    they travel with the tasks. Slices with fewer than HOT_IN_SLICE windows of
+    an anchor are not counted for it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in tokens.slices(batch.column(0), slice_bytes=SEED_BYTES):
+                if (found := _chosen(s, window, anchor)) is not None:
+                    hashes, n = np.unique(found[3][found[1]], return_counts=True)
+                    often = n >= HOT_IN_SLICE
+                    yield pa.record_batch([pa.array(hashes[often].view(np.int64)), pa.array(n[often])], names=["anchor", "n"])
+
+    counts = texts.mapInArrow(tokens.tidy(run), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r.anchor for r in counts.where(F.col("n") >= least).select("anchor").collect()], np.int64).view(U))
+
+
+def _seeds(window: int, anchor: int, shards: int, hot: np.ndarray):
     """Map side: (shard, kind, blob) with kind 0 anchors and 1 spans found here."""
-    width = window - anchor + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,14 +123,10 @@ def _seeds(window: int, anchor: int, shards: int):
                 yield from _slice_rows(s, ids[at], rids[at])
 
     def _slice_rows(s, ids, rids):
-        h = tokens.word_hashes(s)
-        n = len(h) - window + 1
-        if n <= 0:
-            return
-        whole = np.flatnonzero(tokens.room(s)[:n] >= window)
-        if not len(whole):
+        if (found := _chosen(s, window, anchor)) is None:
             return
-        pos, seed = _choose(tokens.gram_hashes(h, anchor), n, width)
+        h, whole, pos, seed = found
+        n = len(pos)
         full = tokens.gram_hashes(h, window)
         doc = s.text_of_word()
         # this slice's own repeats: of equal windows only the first goes on
@@ -121,13 +152,15 @@ def _seeds(window: int, anchor: int, shards: int):
                 whole = whole[~dropped[whole]]
                 if not len(whole):
                     return
-        # one row for a run of windows that chose the same anchor occurrence
+        # one row for a run of windows that chose the same anchor occurrence,
+        # and for each window of a hot anchor
         p = pos[whole]
-        head = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (whole[1:] != whole[:-1] + 1)])
+        alone = np.isin(seed[whole], hot)
+        head = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (whole[1:] != whole[:-1] + 1)] | alone)
         count = np.diff(np.r_[head, len(whole)])
         w0 = whole[head]
         hashes, d = seed[w0], doc[w0]
-        shard = (tokens.mix(hashes) % U(shards)).astype(np.int64)
+        shard = (tokens.mix(np.where(alone[head], full[w0], hashes)) % U(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cut = np.searchsorted(shard[order], np.arange(shards + 1))
         windows = np.ascontiguousarray(full[whole].view(np.uint8).reshape(-1, 8)[:, :6])
@@ -220,12 +253,18 @@ def _extend(window: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, anchor: int = 10) -> DataFrame:
+def dealt(docs: DataFrame, id_col: str, text_col: str, window: int, anchor: int, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    """(shard, kind, blob): what the map side sends to the reducers."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
+    hot = hot_anchors(rows.select("text"), window, anchor, hot_windows)
+    return rows.mapInArrow(tokens.tidy(_seeds(window, anchor, shard_count(docs, SHARD_BYTES), hot)), "shard int, kind int, blob binary")
+
+
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, anchor: int = 10, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(id, rid, spans): maximal word spans [start, end) of windows that also
     start earlier, one row per document with any; ``rid`` is the hash of id and
     text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text"))
-    seeds = rows.mapInArrow(tokens.tidy(_seeds(window, anchor, shard_count(docs, SHARD_BYTES))), "shard int, kind int, blob binary")
+    seeds = dealt(docs, id_col, text_col, window, anchor, hot_windows)
     found = seeds.groupBy("shard").applyInArrow(_extend(window), SPANS)
     return found.groupBy("id", "rid").agg(F.collect_list("spans").alias("parts")).mapInArrow(_unite, SPANS)
 

@@ -39,3 +39,26 @@ def test_a_long_repeat_is_one_span(spark):
     rows = [(i, " ".join([f"a{i}x{k}" for k in range(i)] + long_[10 * i:] + [f"b{i}x{k}" for k in range(30)])) for i in range(8)]
     df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], llm_cases.DOCS).repartition(8)
     assert spans_of(substring.repeated_spans(df)) == repeats(rows, 20)
+
+
+def test_a_hot_anchor_spreads_over_tasks(spark):
+    rng = random.Random(4)
+    phrase = [f"hot{k}" for k in range(14)]
+    rows = []
+    for i in range(400):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        rows.append((i, " ".join(w[:20] + phrase + w[20:]) if i % 10 else " ".join(rows[-3][1].split()[5:45]) if i else "few"))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], llm_cases.DOCS).repartition(8)
+    want = repeats(rows, 20)
+    assert want
+    for least in (100, 10**9):
+        assert spans_of(substring.repeated_spans(df, hot_windows=least)) == want
+        windows = {}
+        for r in substring.dealt(df, "doc_id", "text", 20, 10, least).where("kind = 0").collect():
+            _, _, h, _, _, _, count, _ = substring._unpack(bytes(r.blob))
+            for a, n in zip(h.tolist(), count.tolist()):
+                at = windows.setdefault(a, {})
+                at[r.shard] = at.get(r.shard, 0) + n
+        top = max(windows.values(), key=lambda x: sum(x.values()))
+        assert sum(top.values()) > 300
+        assert (max(top.values()) < 0.3 * sum(top.values())) == (least == 100)
