@@ -12,6 +12,7 @@ from . import decontaminate, host_rules, language_mix, ngram_trie, pieces, quali
 from .store import new_folder, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +63,22 @@ def op7_token_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over all documents: all inserted, every tenth deleted,
     every seventh revised to another tokenizer version; the second batch comes
     twice."""
-    ledger = token_ledger.Ledger(spark, new_folder(spark, "token-ledger"))
+    return _ledger_totals(spark, sf_dir, "words-1", token_ledger.COUNTERS)
+
+
+def op7_token_ledger_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batches, inserted with a byte-pair vocabulary's counts."""
+    from public_tokenizers import PATTERN
+
+    return _ledger_totals(spark, sf_dir, "byte-bpe-50k", {**token_ledger.COUNTERS, "byte-bpe-50k": token_ledger.count_bpe(BPE_RANKS, PATTERN)})
+
+
+def _ledger_totals(spark: SparkSession, sf_dir: str, first: str, counters) -> DataFrame:
+    ledger = token_ledger.Ledger(spark, new_folder(spark, "token-ledger"), counters)
     docs = table(spark, sf_dir, "documents")
     change = lambda op, seq, rows, tokenizer: rows.select(F.lit(op).alias("op"), F.lit(seq).alias("seq"), "doc_id", "text", "source", "lang", F.lit(tokenizer).alias("tokenizer"))
-    deleted = change("delete", 2, docs.where("doc_id % 10 = 3"), "words-1")
-    ledger.commit("batch-1", change("insert", 1, docs, "words-1"))
+    deleted = change("delete", 2, docs.where("doc_id % 10 = 3"), first)
+    ledger.commit("batch-1", change("insert", 1, docs, first))
     ledger.commit("batch-2", deleted)
     ledger.commit("batch-3", change("revise", 3, docs.where("doc_id % 7 = 0"), "signs-2"))
     ledger.commit("batch-2", deleted)
@@ -91,7 +103,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_host_quality, op2_ngram_trie, op3_language_mix, op4_nbest_pieces, op5_contamination,
-                             op6_warc_zip, op7_token_ledger, op8_quality_model, op9_substring_dedup, op10_simhash_components)
+                             op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components)
 }
 
 SQL: dict[str, str] = {}
