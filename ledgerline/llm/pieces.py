@@ -415,6 +415,11 @@ def fitted(docs: DataFrame, path: str, text_col: str = "text") -> Vocabulary:
 
 
 CHANGES = "array<array<struct<chunk:int,ids:array<int>>>>"
+CHANGE_LISTS = pa.list_(pa.list_(pa.struct([("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+
+
+def change_lists(changes: list) -> list:
+    return [[{"chunk": c, "ids": x} for c, x in one] for one in changes]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", n: int = 4) -> DataFrame:
@@ -424,13 +429,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
-        kind = pa.list_(pa.list_(pa.struct([("chunk", pa.int32()), ("ids", pa.list_(pa.int32()))])))
         for batch in batches:
             for s in tokens.slices(batch.column(1), slice_bytes=1 << 20):
                 out = list(encoder.encode(s))
-                changes = [[[{"chunk": c, "ids": x} for c, x in one] for one in o[2]] for o in out]
+                changes = [change_lists(o[2]) for o in out]
                 yield pa.record_batch([batch.column(0).slice(s.row, s.n_texts), id_lists([o[0] for o in out]),
-                                       pa.array([o[1] for o in out], pa.list_(pa.float64())), pa.array(changes, kind)], names=["doc_id", "ids", "scores", "alternatives"])
+                                       pa.array([o[1] for o in out], pa.list_(pa.float64())), pa.array(changes, CHANGE_LISTS)], names=["doc_id", "ids", "scores", "alternatives"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(tokens.tidy(run), f"doc_id long, ids array<int>, scores array<double>, alternatives {CHANGES}")
@@ -453,22 +457,25 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", tex
 
 
 def segmentation_digest(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", n: int = 4) -> DataFrame:
-    """(doc_id, n_pieces, score, nbest_scores, ids_sha256, round_trip): the
-    hash is that of the ids as little-endian 32-bit numbers; round_trip: decoding gives the text back."""
+    """(doc_id, n_pieces, score, nbest_scores, ids_sha256, round_trip,
+    alternatives): the hash is that of the best ids as little-endian 32-bit
+    numbers; round_trip: decoding gives the text back; alternatives as in
+    ``encode``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, n)
         for batch in batches:
             for s in tokens.slices(batch.column(1), slice_bytes=1 << 20):
-                size, best, scores, sha, back = [], [], [], [], []
-                for i, (ids, top, _) in enumerate(encoder.encode(s)):
+                size, best, scores, sha, back, changes = [], [], [], [], [], []
+                for i, (ids, top, others) in enumerate(encoder.encode(s)):
                     size.append(len(ids))
                     best.append(top[0])
                     scores.append(top)
+                    changes.append(change_lists(others))
                     sha.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
                     back.append(vocabulary.decode(ids.tolist()) == s.data[s.offsets[i]:s.offsets[i + 1]].tobytes())
                 yield pa.record_batch([batch.column(0).slice(s.row, s.n_texts), pa.array(size, pa.int64()), pa.array(best, pa.float64()), pa.array(scores, pa.list_(pa.float64())),
-                                       pa.array(sha, pa.string()), pa.array(back, pa.bool_())], names=["doc_id", "n_pieces", "score", "nbest_scores", "ids_sha256", "round_trip"])
+                                       pa.array(sha, pa.string()), pa.array(back, pa.bool_()), pa.array(changes, CHANGE_LISTS)], names=["doc_id", "n_pieces", "score", "nbest_scores", "ids_sha256", "round_trip", "alternatives"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(tokens.tidy(run), "doc_id long, n_pieces long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean")
+    return rows.mapInArrow(tokens.tidy(run), f"doc_id long, n_pieces long, score double, nbest_scores array<double>, ids_sha256 string, round_trip boolean, alternatives {CHANGES}")

@@ -69,3 +69,13 @@ def test_query_and_pipeline_use_the_fitted_scores(spark, vocabulary):
 def test_nothing_to_fit(spark):
     v = pieces.fitted(spark.createDataFrame([], llm_cases.DOCS), MODEL)
     assert np.isfinite(v.scores).all() and v.decode(first(v, "a b")[0].tolist()) == b"a b"
+
+
+def test_digest_returns_every_rank(spark, vocabulary):
+    df = spark.createDataFrame([(1, "there", "en", "s", 5), (2, "", "en", "s", 0), (3, "of these and there", "en", "s", 18)], llm_cases.DOCS)
+    got = {r.doc_id: r for r in pieces.segmentation_digest(df, vocabulary).collect()}
+    for r in pieces.encode(df, vocabulary).collect():
+        assert got[r.doc_id].alternatives == r.alternatives and len(r.alternatives) == len(r.scores)
+    others = [change[0].ids for change in got[1].alternatives[1:]]
+    assert len({tuple(x) for x in others}) == 3 and all(vocabulary.decode(x) == b"there" for x in others)
+    assert [sum(vocabulary.scores[x]) for x in others] == got[1].nbest_scores[1:]
