@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
+from . import decontaminate, filter_audit, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
 from .store import new_folder, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -101,9 +101,13 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), simhash.as_hex(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_host_quality, op2_ngram_trie, op3_language_mix, op4_nbest_pieces, op5_contamination,
-                             op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components)
+                             op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components, op11_filter_audit)
 }
 
 SQL: dict[str, str] = {}
@@ -217,3 +221,39 @@ SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest AS payload_d
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM p JOIN digests USING (sha)
 """
+
+SQL["op11_filter_audit"] = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marked AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), firsts AS (
+  SELECT text, min(doc_id) AS first_id FROM words GROUP BY text
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text), regexp_matches(text, '[#$%&*|]'),
+    first_id IS NOT NULL AND (doc_id IS NULL OR doc_id > first_id)] AS f
+  FROM words JOIN firsts USING (text) LEFT JOIN marked USING (doc_id)
+), cells AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, f
+), letters AS (SELECT unnest(range(1, 6)) AS x),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT o, k, o[k] AS x FROM orders, (SELECT unnest(range(1, 6)) AS k)
+), states AS (
+  SELECT part, array_to_string([substr('ABCDE', p, 1) FOR p IN o], '') AS filter_order, k AS step, x, n, good, toxic, f[x] AS fails,
+    len([p FOR p IN o[1:k - 1] IF f[p]]) > 0 AS earlier, len([p FOR p IN o IF f[p]]) AS fail_count
+  FROM cells, steps
+), report AS (
+  SELECT part, filter_order, step, x, coalesce(sum(n) FILTER (NOT earlier AND NOT fails), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT earlier), 0) AS removed,
+    coalesce(sum(n) FILTER (fails AND earlier), 0) AS redundant, coalesce(sum(n) FILTER (fails AND fail_count = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT earlier), 0) AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT earlier), 0) AS toxic_lost
+  FROM states GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM report
+"""
