@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filter_audit, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
+from . import conversation_repair, decontaminate, filter_audit, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
 from .store import new_folder, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -105,9 +105,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_host_quality, op2_ngram_trie, op3_language_mix, op4_nbest_pieces, op5_contamination,
-                             op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components, op11_filter_audit)
+                             op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components, op11_filter_audit,
+                             op13_conversation_repair)
 }
 
 SQL: dict[str, str] = {}
