@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontaminate, filter_audit, host_rules, language_mix, ngram_trie, pieces, quality_model, simhash, substring, token_ledger, warc_zip
+from . import conversation_repair, decontaminate, filter_audit, host_rules, language_mix, ngram_trie, pieces, quality_model, run_index, simhash, substring, token_ledger, warc_zip
 from .store import new_folder, written
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -105,6 +105,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index.repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
@@ -112,7 +116,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_host_quality, op2_ngram_trie, op3_language_mix, op4_nbest_pieces, op5_contamination,
                              op6_warc_zip, op7_token_ledger, op7_token_ledger_bpe, op8_quality_model, op9_substring_dedup, op10_simhash_components, op11_filter_audit,
-                             op13_conversation_repair)
+                             op12_run_index, op13_conversation_repair)
 }
 
 SQL: dict[str, str] = {}
@@ -262,3 +266,26 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
 FROM report
 """
+
+SQL["op12_run_index"] = r"""
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS gram FROM (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS s FROM docs)
+), later AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS k FROM windows) WHERE k > 1
+), parted AS (
+  SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS part
+  FROM (SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS fresh FROM later)
+), spans AS (
+  SELECT doc_id, min(s) AS lo, max(s) + 100 AS hi FROM parted GROUP BY doc_id, part
+), between_ AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM spans
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) || substr(max(h), 2 * max(hi) + 1) AS h, sum(hi - lo) AS n_removed, count(*) AS n_spans
+  FROM between_ JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
