@@ -8,14 +8,8 @@ set-based:
    year, end year) — equal keys get equal matches, so work is done once
    per key (a set-based memo), and the result is joined back;
 2. each key's lookup queries (C5) become ILIKE patterns (C4);
-3. ``search_text ILIKE pattern`` has no equality key, so it is blocked
-   exactly: every literal run of a pattern must occur in a matching
-   search text, so every n-gram of it must too. Each pattern probes with
-   its *rarest* n-gram (n = 3, or the run length when shorter), found
-   through a gram-frequency table; candidates are exploded to their
-   distinct grams and equi-joined on the probe, then verified with
-   ``ilike``. Nothing can be lost (the probe gram is necessary) and nothing
-   doubled (one probe per pattern);
+3. patterns and candidates are joined by ``gram_join.ilike_join``: an
+   equi-join on each pattern's rarest n-grams, with long posting lists split;
 4. the year and office rules filter the pairs, duplicates per (key,
    candidate, cycle) are dropped, and markets are left-joined back.
 """
@@ -29,63 +23,11 @@ from ..functions import vocab
 from ..functions.parsing import lenient_timestamp, safe_int
 from ..functions.text import extract_queries, normalize_query, py_strip
 from .common import broadcast_if_small
+from .gram_join import ilike_join, literal_runs
 
 KEY = ("_k_names", "_k_office", "_k_start_year", "_k_end_year")
 
 
-def grams(text: Column, n: int) -> Column:
-    """Distinct n-grams of a (lower-cased) text; [] when it is shorter.
-
-    One regex with a zero-width look-ahead yields every overlapping n-gram
-    (a built-in, compiled expression; no per-element lambda)."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
-
-
-def literal_runs(pattern: Column) -> Column:
-    """Runs of literal characters of a LIKE pattern (split at % and _);
-    runs containing the escape character are left out."""
-    runs = F.flatten(F.transform(F.split(pattern, "%"), lambda s: F.split(s, "_")))
-    return F.filter(runs, lambda r: (F.length(r) > 0) & ~r.contains("\\"))
-
-
-def _run_grams(run: Column) -> Column:
-    n = F.length(run)
-    return F.when(n >= 3, grams(run, 3)).when(n == 2, grams(run, 2)).otherwise(grams(run, 1))
-
-
-def pattern_grams(pattern: Column) -> Column:
-    """Every n-gram (n = min(3, run length)) of every literal run."""
-    return F.array_distinct(F.flatten(F.transform(literal_runs(F.lower(pattern)), _run_grams)))
-
-
-def candidate_grams(search_text: Column) -> Column:
-    """All distinct 1-, 2- and 3-grams of the lower-cased search text."""
-    low = F.lower(search_text)
-    return F.array_distinct(F.concat(grams(low, 3), grams(low, 2), grams(low, 1)))
-
-
-def ilike_join(patterns: DataFrame, candidates: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
-    """All (pattern, candidate) pairs with ``search_text ILIKE pattern``.
-
-    ``patterns`` has a ``pattern`` column (distinct values); ``candidates`` a
-    ``search_text`` column. Patterns without any literal character match
-    every candidate and are not accepted here."""
-    cand_grams = candidates.select("*", F.explode(candidate_grams(F.col("search_text"))).alias("_gram"))
-    pg = patterns.select("pattern", F.explode(pattern_grams(F.col("pattern"))).alias("_gram"))
-    # only grams that occur in some pattern need a frequency: candidate grams
-    # are filtered against that (bounded) set before anything is shuffled
-    needed = broadcast_if_small(pg.select("_gram").distinct(), broadcast_limit)
-    relevant = cand_grams.select("_gram").join(needed, "_gram", "left_semi")
-    freq = relevant.groupBy("_gram").agg(F.count(F.lit(1)).alias("_freq"))
-    # rarest gram per pattern (absent grams have frequency 0: no candidate)
-    rated = pg.join(broadcast_if_small(freq, broadcast_limit), "_gram", "left").select(
-        "pattern", "_gram", F.coalesce(F.col("_freq"), F.lit(0)).alias("_freq")
-    )
-    probes = rated.groupBy("pattern").agg(F.min_by("_gram", F.struct(F.col("_freq"), F.col("_gram"))).alias("_gram"))
-    pairs = cand_grams.join(broadcast_if_small(probes, broadcast_limit), "_gram")
-    return pairs.filter(F.ilike(F.col("search_text"), F.col("pattern"))).drop("_gram")
-
-
 def _office_code(office: Column) -> Column:
     m = F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in vocab.OFFICE_FILTER_CODES), []))
     return m[office]

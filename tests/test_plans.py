@@ -1,9 +1,7 @@
 """Plan shape and equivalence checks."""
 
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
-from ledgerline.operators import dims, facts, linkage
+from ledgerline.operators import dims, facts
 from ledgerline.plans import driver_queries, standins
 
 
@@ -33,21 +31,6 @@ def test_facts_pushdown_and_pruning(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in text
 
 
-def test_blocked_ilike_join_equals_nested_loop(spark):
-    cand = dims.build_candidate_dim(standins.part_candidate_master(spark, SF_SMALL))
-    cands = cand.select("cand_id", "cycle", "search_text")
-    pats = spark.createDataFrame(
-        [("%small%ring%",), ("%RING%",), ("%Ri%Sm%",), ("%a%",), ("%o_d%",), ("%zzz%",), ("%l%r%g%",)], "pattern string"
-    )
-    blocked = linkage.ilike_join(pats, cands).select("pattern", "cand_id", "cycle")
-    brute = pats.crossJoin(cands).filter(F.ilike(F.col("search_text"), F.col("pattern"))).select(
-        "pattern", "cand_id", "cycle"
-    )
-    a, b = sorted(blocked.collect()), sorted(brute.collect())
-    assert len(a) > 100
-    assert a == b
-
-
 def test_dedup_is_independent_of_partitioning(spark):
     master = standins.candidate_master(spark, SF_SMALL)
     one = dims.build_candidate_dim(master.repartition(1)).collect()
