@@ -9,10 +9,10 @@ raw JSON text of either), the list-valued fields are list *text*.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks.writers import CSV_CELLS
+from .json_pages import page_entries
 
 _S = T.StringType()
 
@@ -35,7 +35,6 @@ EVENT_SCHEMA = T.StructType(
     [T.StructField(f, _S) for f in EVENT_FIELDS] + [T.StructField("markets", T.ArrayType(MARKET_SCHEMA))]
 )
 ANALYTICS_ENTRY_SCHEMA = T.StructType([T.StructField(f, _S) for f in ANALYTICS_FIELDS])
-ANALYTICS_PAGE_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(ANALYTICS_ENTRY_SCHEMA))])
 
 
 def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -47,14 +46,13 @@ def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
 
 
 def read_analytics(spark: SparkSession, path: str) -> DataFrame:
-    """Analytics snapshot pages ``{"data": [...]}``, one per file.
+    """Analytics snapshot pages ``{"data": [...]}``; one large page is
+    read by many tasks (see ``json_pages``). Text that is no such page raises.
 
-    Entries keep their order: ``_file`` and ``_pos`` (position in the
+    Entries keep their order: ``_file`` and ``_pos`` (byte offset in the
     page) order repeated market ids so the latest entry wins (A7)."""
-    pages = spark.read.schema(ANALYTICS_PAGE_SCHEMA).option("multiLine", "true").json(path)
-    return pages.select(
-        F.col("_metadata.file_name").alias("_file"), F.posexplode("data").alias("_pos", "entry")
-    ).select("_file", "_pos", "entry.*")
+    entries = page_entries(spark, path, ANALYTICS_ENTRY_SCHEMA)
+    return entries.withColumnsRenamed({"file": "_file", "at": "_pos"})
 
 
 def read_market_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
