@@ -25,7 +25,7 @@ A shard's texts are repetitive by construction, and are indexed in two rounds:
 
 Matches are of bytes, in the index's text; hashes only choose anchors, deal
 pieces out, and join equal pieces of one slice (64 bits, among the pieces of
-one megabyte). Marked windows are united to spans per document, after all
+two megabytes). Marked windows are united to spans per document, after all
 shards.
 
 No key is too hot for a shard. Of equal pieces in a slice only the first is
@@ -58,7 +58,7 @@ from .store import shard_count, written
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
-SLICE = 1 << 20  # bytes of text that a map task takes at a time
+SLICE = 2 << 20  # bytes of text that a map task takes at a time
 BLOCK = 4 << 20  # window starts of one long text that it takes at a time
 SHARD_BYTES = 6 << 20  # input for each shard
 HOT = 1 << 14  # pieces of one key that a shard may get, at least
@@ -87,25 +87,38 @@ class Pieces:
         """The pieces where the mask ``take`` is set."""
         return Pieces(*(getattr(self, f)[take] for f in self.FIELDS), self.text[np.repeat(take, self.size)])
 
-    def packed(self) -> bytes:
-        head = np.array([len(self.key), len(self.text)], np.int64)
-        text = pa.Codec("zstd", compression_level=1).compress(self.text.tobytes(), asbytes=True) if len(self.text) else b""
-        return b"".join([head.tobytes(), *(getattr(self, f).astype("<u4" if f == "size" else "<i8").tobytes() for f in self.FIELDS), text])
+    def packed(self, window: int) -> bytes:
+        """Keys as they are, the rest compressed: bytes of one significance
+        together, ids once for each row. A key is cut to 32 bits, which may
+        only bring more pieces together."""
+        rows, row = np.unique(np.stack([self.id, self.rid]), axis=1, return_inverse=True)
+        planes = [rows.astype("<i8").ravel(), row.ravel().astype("<u4"), self.start.astype("<i8")]
+        parts = [np.ascontiguousarray(p.view(np.uint8).reshape(-1, p.itemsize).T).tobytes() for p in planes]
+        parts += [(self.anchor - self.start).astype("<u2").tobytes(), (self.size - window).astype("<u2").tobytes(), self.text.tobytes()]
+        body = b"".join(parts)
+        head = np.array([len(self.key), rows.shape[1], len(body)], np.int64)
+        return head.tobytes() + (self.key >> U(32)).astype("<u4").tobytes() + pa.Codec("zstd", compression_level=3).compress(body, asbytes=True)
 
     @staticmethod
     def keys_of(blob) -> np.ndarray:
-        return np.frombuffer(blob, U, np.frombuffer(blob, np.int64, 1)[0], 16)
+        return np.frombuffer(blob, "<u4", np.frombuffer(blob, np.int64, 1)[0], 24)
 
     @staticmethod
-    def unpacked(blob) -> Pieces:
-        n, size = (int(x) for x in np.frombuffer(blob, np.int64, 2))
-        columns, at = [], 16
-        for f in Pieces.FIELDS:
-            kind = np.dtype("<u4" if f == "size" else U if f == "key" else "<i8")
-            columns.append(np.frombuffer(blob, kind, n, at).astype(np.int64 if f == "size" else kind))
-            at += n * kind.itemsize
-        text = pa.Codec("zstd").decompress(memoryview(blob)[at:], decompressed_size=size) if size else b""
-        return Pieces(*columns, np.frombuffer(text, np.uint8))
+    def unpacked(blob, window: int) -> Pieces:
+        n, n_rows, size = (int(x) for x in np.frombuffer(blob, np.int64, 3))
+        body = memoryview(pa.Codec("zstd").decompress(memoryview(blob)[24 + 4 * n:], decompressed_size=size))
+        at = 0
+
+        def plane(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            width = np.dtype(kind).itemsize
+            raw = np.frombuffer(body, np.uint8, count * width, at).reshape(width, count)
+            at += count * width
+            return np.ascontiguousarray(raw.T).view(kind).ravel()
+
+        rows, row, start = plane("<i8", 2 * n_rows).reshape(2, n_rows), plane("<u4", n), plane("<i8", n)
+        ahead, more = (np.frombuffer(body, "<u2", n, at + 2 * n * k).astype(np.int64) for k in (0, 1))
+        return Pieces(Pieces.keys_of(blob), rows[0][row], rows[1][row], start, start + ahead, more + window, np.frombuffer(body, np.uint8, offset=at + 4 * n))
 
     @staticmethod
     def together(parts: list[Pieces]) -> Pieces:
@@ -147,7 +160,7 @@ class Keying:
 
 def text_slices(column, window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, place of its first byte, bytes, offsets of the texts):
-    whole texts up to a megabyte, or a block of one long text."""
+    whole texts up to two megabytes, or a block of one long text."""
     data, offsets = tokens.utf8(column)
     row, n = 0, len(offsets) - 1
     while row < n:
@@ -302,12 +315,18 @@ def _dealt(how: Keying):
             for a, b in zip(cuts[:-1], cuts[1:]):
                 shards.append(int(to[by[a]]))
                 kinds.append(0)
-                blobs.append(found.taken(sent[by[a:b]]).packed())
+                blobs.append(found.taken(sent[by[a:b]]).packed(how.window))
             yield pa.record_batch([pa.array(shards, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["shard", "kind", "blob"])
 
     return run
 
 
+def _group_starts(ordered: np.ndarray) -> np.ndarray:
+    """For every place of a sorted array the first place with its value."""
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
+
+
 class RunIndex:
     """Run-length BWT of pieces with sampled run ends.
 
@@ -332,12 +351,12 @@ class RunIndex:
         # the samples: text positions of each run's first and last row
         self.first, self.last = rows[start], rows[np.r_[start[1:], n] - 1]
         order = np.argsort(self.run_letter, kind="stable")
-        step = np.zeros(len(start), np.int64)
-        step[order] = np.cumsum(self.run_size[order]) - self.run_size[order]
-        self.to_run = np.searchsorted(start, step, "right") - 1  # where a run's first row goes in an LF step
-        self.to_row = step - start[self.to_run]
+        to = np.zeros(len(start), np.int64)
+        to[order] = np.cumsum(self.run_size[order]) - self.run_size[order]
+        self.step = to - start  # a run's rows go to neighbouring rows in an LF step
         self.by_letter = self.run_letter[order] * len(start) + order
         self.order = order
+        self.run_at = np.repeat(np.arange(len(start), dtype=np.int32), self.run_size)  # directory of the rows
         # of rows that share a window: the least piece
         owner = np.searchsorted(ends, rows)
         head = np.flatnonzero(np.r_[True, ~same])
@@ -350,30 +369,48 @@ class RunIndex:
         """Rows (text positions in suffix order) by prefix doubling, and for
         each but the first whether it shares a window with the one before."""
         n = len(letters)
-        wide = np.zeros(n + 8, U)
-        wide[:n] = letters
-        packed = np.zeros(n, U)
-        for k in range(8):
-            packed |= np.where(left > k, wide[k:n + k], U(0)) << U(56 - 8 * k)
+        # eight letters in a number, none of them beyond the piece's end
+        packed = letters.astype(U)
+        for width in (1, 2, 4):
+            more = np.zeros(n, U)
+            more[:n - width] = packed[width:]
+            more[left < width] = 0
+            packed <<= U(8 * width)
+            packed |= more
         self.packed = packed
-        _, rank = np.unique(packed, return_inverse=True)
-        depth, shared = 8, None
-        reach = int(left.max())
-        at = np.arange(n)
-
-        def joined(rank, h):
-            """Ranks by twice what ``rank`` is of, ``h`` letters on."""
-            follow = np.where(left > h, rank[np.minimum(at + h, n - 1)] + 1, 0)
-            return np.unique(rank * (n + 1) + follow, return_inverse=True)[1]
-
-        while depth < max(reach + 1, self.window):
-            if depth < self.window <= 2 * depth:
-                shared = np.where(left >= self.window, rank * (n + 1) + rank[np.minimum(at + self.window - depth, n - 1)], -1)
-            rank = joined(rank, depth)
+        # a rank is the first row of the suffixes that are alike so far; only
+        # those that have company are sorted again
+        rows = np.argsort(packed, kind="quicksort")
+        rank = np.zeros(n, np.int64)
+        first = _group_starts(packed[rows])
+        rank[rows] = first
+        depth, reach, at, shared = 8, int(left.max()), np.arange(n), None
+        while True:
+            if shared is None and (depth >= self.window or 2 * depth > self.window):
+                # the window as two overlapping stretches of ``depth`` letters
+                if depth <= self.window:
+                    shared = np.where(left >= self.window, rank * (n + 1) + rank[np.minimum(at + self.window - depth, n - 1)], -1)
+                else:
+                    shared = np.where(left >= self.window, (packed >> U(64 - 8 * self.window)).astype(np.int64), -1)
+            alone = np.diff(np.r_[np.flatnonzero(np.r_[True, first[1:] != first[:-1]]), n])
+            company = np.flatnonzero(np.repeat(alone > 1, alone))
+            if depth > reach or not len(company):
+                break
+            some = rows[company]
+            follow = np.where(left[some] > depth, rank[np.minimum(some + depth, n - 1)] + 1, 0)
+            key = first[company] * (n + 1) + follow
+            by = np.argsort(key, kind="quicksort")
+            rows[company] = some[by]
+            key = key[by]
+            start = _group_starts(key)  # in the list of those with company
+            group = _group_starts(first[company])
+            first[company] += start - group
+            rank[rows[company]] = first[company]
             depth *= 2
-        rows = np.argsort(rank, kind="stable")
-        if shared is None:  # windows of at most eight bytes
-            shared = np.where(left >= self.window, (packed >> U(max(0, 64 - 8 * self.window))).astype(np.int64), -1)
+        if shared is None:
+            raise AssertionError("windows are longer than any piece")
+        # suffixes that are alike to their ends: in the order of the pieces
+        rows = rows[np.lexsort((rows, first))] if len(company) else rows
         shared = shared[rows]
         return rows, (shared[1:] == shared[:-1]) & (shared[1:] >= 0)
 
@@ -385,15 +422,17 @@ class RunIndex:
             if not len(live):
                 break
             x, y = (np.where(p[live] + k < n, self.packed[np.minimum(p[live] + k, n - 1)], U(0)) for p in (a, b))
-            differ = x ^ y
-            equal = np.zeros(len(live), np.int64)
-            for j in range(8):
-                equal += (differ >> U(56 - 8 * j)) == 0
-            ended = np.zeros(len(live), bool)
-            for j in range(8):
-                ended |= ((x >> U(8 * j)) & U(255)) == 0
+            same = x == y
+            equal = np.full(len(live), 8)
+            if not same.all():
+                differ = x[~same] ^ y[~same]
+                short = np.zeros(len(differ), np.int64)
+                for j in range(8):
+                    short += (differ >> U(56 - 8 * j)) == 0
+                equal[~same] = short
+            ended = (x & U(255)) == 0  # the text's end is among these letters
             out[live] += equal
-            live = live[(equal == 8) & ~ended]
+            live = live[same & ~ended]
         return np.minimum(out, most)
 
     def stream(self, text: np.ndarray, size: np.ndarray):
@@ -402,47 +441,41 @@ class RunIndex:
         for the windows that the index has."""
         by = np.argsort(-size, kind="stable")
         size, ends = size[by], np.cumsum(size)[by]
-        m, runs = len(size), len(self.run_start)
-        run, off = np.zeros(m, np.int64), np.zeros(m, np.int64)
-        length, position = np.zeros(m, np.int64), np.full(m, self.first[0] if runs else 0)
+        m = len(size)
+        row, length, position = np.zeros(m, np.int64), np.zeros(m, np.int64), np.full(m, self.first[0])
         for step in range(int(size[0]) if m else 0):
             m = int(np.searchsorted(-size, -step, "left"))  # pieces longer than the step
-            run, off, length, position = run[:m], off[:m], length[:m], position[:m]
-            letter = text[ends[:m] - 1 - step].astype(np.int64) + 1
+            row, length, position = row[:m], length[:m], position[:m]
+            letter = text[ends[:m] - (1 + step)] + np.uint8(1)
+            run = self.run_at[row]
             other = np.flatnonzero(self.run_letter[run] != letter)
-            if len(other):
-                self._moved(other, letter[other], run, off, length, position)
-            found = self.run_letter[run] == letter
-            # the LF step: the run's rows go to neighbouring rows
-            off = np.where(found, off + self.to_row[run], off)
-            run = np.where(found, self.to_run[run], run)
-            while (over := np.flatnonzero(off >= self.run_size[run])).size:
-                off[over] -= self.run_size[run[over]]
-                run[over] += 1
-            position = np.where(found, position - 1, position)
-            length = np.where(found, np.minimum(length + 1, self.window), 0)
+            lost = self._moved(other, letter[other].astype(np.int64), run, row, length, position) if len(other) else other
+            row += self.step[run]
+            position -= 1
+            length += 1
+            if len(lost):  # the index doesn't have the byte
+                row[lost], position[lost], length[lost] = 0, self.first[0], 0
             if step >= self.window - 1:
                 hit = np.flatnonzero(length >= self.window)
                 if len(hit):
-                    yield by[hit], size[hit] - 1 - step, self._least(self.run_start[run[hit]] + off[hit], position[hit])
+                    yield by[hit], size[hit] - 1 - step, self._least(row[hit], position[hit])
 
-    def _moved(self, who, letter, run, off, length, position) -> None:
-        """Moves matches to the nearest run of the letter, above or below."""
+    def _moved(self, who, letter, run, row, length, position) -> np.ndarray:
+        """Moves matches to the nearest run of the letter, above or below;
+        returns those for whom there is none."""
         runs = len(self.run_start)
         below = np.searchsorted(self.by_letter, letter * runs + run[who])
+        most = np.minimum(length[who], self.window)
         near = []
         for slot, sample in ((below - 1, self.last), (below, self.first)):
-            inside = (slot >= 0) & (slot < runs)
             r = self.order[np.clip(slot, 0, runs - 1)]
-            inside &= self.run_letter[r] == letter
-            kept = np.where(inside, self._common(position[who], sample[r], length[who]), -1)
-            near.append((kept, r, sample[r]))
+            inside = (slot >= 0) & (slot < runs) & (self.run_letter[r] == letter)
+            near.append((np.where(inside, self._common(position[who], sample[r], most), -1), r, sample[r]))
         up = near[0][0] >= near[1][0]
         kept, r, place = (np.where(up, a, b) for a, b in zip(*near))
-        there = kept >= 0
-        who, r = who[there], r[there]
-        run[who], position[who], length[who] = r, place[there], kept[there]
-        off[who] = np.where(up[there], self.run_size[r] - 1, 0)
+        run[who], position[who], length[who] = r, place, kept
+        row[who] = self.run_start[r] + np.where(up, self.run_size[r] - 1, 0)
+        return who[kept < 0]
 
     def _least(self, row: np.ndarray, position: np.ndarray) -> np.ndarray:
         own = np.searchsorted(self.ends, position)
@@ -503,14 +536,14 @@ def _indexed(window: int):
                     spans.append(blob.to_pybytes()[16:])
                 else:
                     blobs.append(blob)
-        keys = np.sort(np.concatenate([Pieces.keys_of(b) for b in blobs] or [np.zeros(0, U)]))
+        keys = np.sort(np.concatenate([Pieces.keys_of(b) for b in blobs] or [np.zeros(0, np.uint32)]))
         again = np.unique(keys[1:][keys[1:] == keys[:-1]])
         del keys
         parts = []
         for blob in blobs if len(again) else ():
             key = Pieces.keys_of(blob)
             if (hit := again[np.minimum(np.searchsorted(again, key), len(again) - 1)] == key).any():
-                parts.append(Pieces.unpacked(blob).only(hit))
+                parts.append(Pieces.unpacked(blob, window).only(hit))
         if parts:
             pieces = Pieces.together(parts)
             del parts, blobs
