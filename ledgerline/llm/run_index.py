@@ -407,8 +407,8 @@ class RunIndex:
             first[company] += start - group
             rank[rows[company]] = first[company]
             depth *= 2
-        if shared is None:
-            raise AssertionError("windows are longer than any piece")
+        if shared is None:  # no suffixes are alike that far
+            shared = np.full(n, -1)
         # suffixes that are alike to their ends: in the order of the pieces
         rows = rows[np.lexsort((rows, first))] if len(company) else rows
         shared = shared[rows]
