@@ -1,9 +1,10 @@
 """Person-name extraction columns.
 
 The original finds person spans with a statistical tagger, then cleans,
-tokenises, filters and deduplicates them. Here the span finder is a
+tokenises, filters and deduplicates them. Here spans are the names of a
+candidate dimension (``name_automaton``); a text without any is left to a
 pluggable ``Column -> array<string>`` function (default: runs of
-capitalised words); every step after it reproduces the original rules,
+capitalised words). Every step after it reproduces the original rules,
 as higher-order array expressions evaluated per row.
 """
 
@@ -13,10 +14,11 @@ import re
 from functools import lru_cache
 from typing import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocab
+from .name_automaton import known_spans
 from .regex import NON_WORD_CLASS, SPACE_CLASS
 from .text import first_spelling
 
@@ -59,12 +61,16 @@ def is_plausible(tokens: Column) -> Column:
     return (F.size(meaningful) > 0) & ~F.arrays_overlap(meaningful, excluded_words)
 
 
-def needs_title_variant(text: Column) -> Column:
-    """The text has letters and none of them is upper-case.
+# characters that end a word wherever they stand
+_WORD_ENDS = r"\s,;:@#$%&?!\"()\[\]{}<>'`"
+
 
-    (The original looks at tagger tokens; without the tagger the whole
-    text is tested.)"""
-    return (text == F.lower(text)) & (text != F.upper(text))
+def needs_title_variant(text: Column) -> Column:
+    """Among the words there are alphabetic ones, and all of these are
+    lower-case. Words with other characters (u.s., well-known, 24th) don't count."""
+    found = F.regexp_extract_all(F.regexp_replace(text, r"\.\s*$", ""), F.lit(f"[^{_WORD_ENDS}]+"), 0)
+    alphabetic = F.filter(found, lambda w: w.rlike(r"^\p{L}+$"))
+    return (F.size(alphabetic) > 0) & F.forall(alphabetic, lambda w: (w == F.lower(w)) & (w != F.upper(w)))
 
 
 def capwords(text: Column) -> Column:
@@ -105,15 +111,26 @@ def candidate_names_from_spans(spans: Column) -> Column:
     return drop_subsumed_single_names(first_spelling(plausible))
 
 
+def searched_texts(texts: Column) -> Column:
+    """The texts as they are searched: empty ones are skipped; each as written
+    and, when its words are all lower-case, also in capitalised form."""
+    kept = F.filter(texts, lambda t: t.isNotNull() & (t != ""))
+    return F.flatten(F.transform(kept, text_variants))
+
+
 def extract_candidate_names(texts: Column, finder: SpanFinder = capitalised_runs) -> Column:
-    """Person names from an array of texts (tags, then notes).
+    """Person names from an array of texts (tags, then notes)."""
+    return candidate_names_from_spans(F.flatten(F.transform(searched_texts(texts), finder)))
 
-    Empty texts are skipped; each text is searched as written and, when it
-    is all lower-case, also in capitalised form."""
-    kept = F.filter(texts, lambda t: t.isNotNull() & (t != ""))
-    variants = F.flatten(F.transform(kept, text_variants))
-    spans = F.flatten(F.transform(variants, finder))
-    return candidate_names_from_spans(spans)
+
+def with_candidate_names(df: DataFrame, texts: Column, known: DataFrame | None = None, finder: SpanFinder = capitalised_runs) -> DataFrame:
+    """``df`` with ``candidate_names``. In each text the names of ``known``
+    (column ``name``) are looked up; ``finder`` serves texts that have none."""
+    if known is None:
+        return df.withColumn("candidate_names", extract_candidate_names(texts, finder))
+    searched = known_spans(df.withColumn("_searched", searched_texts(texts)), "_searched", known, "_known")
+    spans = F.zip_with("_searched", "_known", lambda text, found: F.when(F.size(found) > 0, found).otherwise(finder(text)))
+    return searched.withColumn("candidate_names", candidate_names_from_spans(F.flatten(spans))).drop("_searched", "_known")
 
 
 __all__ = [
@@ -124,6 +141,8 @@ __all__ = [
     "text_variants",
     "drop_subsumed_single_names",
     "candidate_names_from_spans",
+    "searched_texts",
     "extract_candidate_names",
+    "with_candidate_names",
     "NON_WORD_CLASS",
 ]

@@ -2,9 +2,9 @@
 J7, J12, A7, A13, C10-C18).
 
 Events arrive nested (an event holds its markets); one ``explode`` gives a
-row per market. Everything after that is row-local column work plus two
-joins with the analytics snapshot keyed by market id — a left join for
-enrichment and a left-semi join for the gate. Neither side is collected.
+row per market. Everything after that is row-local column work plus one left
+join with the analytics snapshot keyed by market id; the gate is a filter on
+that join's columns. Neither side is collected.
 """
 
 from __future__ import annotations
@@ -103,8 +103,10 @@ def latest_analytics(entries: DataFrame) -> DataFrame:
 
 
 def analytics_columns(analytics: DataFrame) -> DataFrame:
-    """Analytics fields as they are merged into a market record."""
-    return analytics.select(*_analytics_select())
+    """Analytics fields as they are merged into a market record, and
+    whether the entry's tags are of an election (F4)."""
+    parsed = analytics.select(*_analytics_select())
+    return parsed.withColumn("_a_election", classify.is_election_by_tags(F.col("analytics_event_tags")))
 
 
 @lru_cache(maxsize=None)
@@ -126,26 +128,59 @@ def _analytics_select() -> tuple:
     )
 
 
-def gate_markets(markets: DataFrame, analytics: DataFrame | None = None) -> DataFrame:
-    """Keep election markets.
+def with_analytics(markets: DataFrame, analytics: DataFrame | None = None) -> DataFrame:
+    """The fields of each market's analytics entry, NULL without one.
+    The only join with the snapshot: gate and enrichment both read its columns."""
+    no_tags = F.array().cast("array<string>")
+    if analytics is None:
+        absent = {c: F.lit(None).cast("double") for c in (
+            "analytics_market_volume", "analytics_market_open_interest", "analytics_outcome_yes_price",
+            "analytics_outcome_no_price")}
+        absent.update({c: F.lit(None).cast("string") for c in (
+            "analytics_event_slug", "analytics_source", "_a_market_close_date", "_a_event_end_date",
+            "_a_event_title", "_a_event_description")})
+        return markets.withColumns(absent | {"_a_present": F.lit(None).cast("boolean"), "_a_election": F.lit(None).cast("boolean"), "analytics_event_tags": no_tags})
+    a = analytics_columns(analytics)
+    joined = markets.join(a, markets.market_id == a._a_market_id, "left").drop("_a_market_id")
+    return joined.withColumn("analytics_event_tags", F.coalesce("analytics_event_tags", no_tags))
+
+
+def election_markets(markets: DataFrame, with_tags: bool) -> DataFrame:
+    """The election markets among those of ``with_analytics``.
 
     With an analytics snapshot: the market's entry must exist and carry an
-    election tag (a left-semi join). Without: the event text must mention
-    an election word and the question must read as an electoral outcome."""
-    if analytics is None:
-        hay = classify.election_event_text(
-            F.col("event_title"), F.col("_event_description"), F.col("_event_ticker"), F.col("_event_slug"),
-            F.col("category"),
-        )
-        # both texts are referenced by many tests: materialise them once
-        staged = markets.select("*", hay.alias("_hay"), F.lower(F.col("market_question")).alias("_qlow"))
-        keep = classify.mentions_election_word(F.col("_hay")) & classify.is_election_question(
-            F.col("market_question"), F.col("_qlow"))
-        return staged.filter(keep).drop("_hay", "_qlow")
-    qualifying = analytics.filter(classify.is_election_by_tags(parsing.normalize_tags(F.col("event_tags")))).select(
-        F.col("market_id").alias("_q_market_id")
+    election tag. Without: the event text must mention an election word and
+    the question must read as an electoral outcome."""
+    if with_tags:
+        return markets.filter(F.col("_a_election"))
+    hay = classify.election_event_text(
+        F.col("event_title"), F.col("_event_description"), F.col("_event_ticker"), F.col("_event_slug"),
+        F.col("category"),
     )
-    return markets.join(qualifying, markets.market_id == qualifying._q_market_id, "left_semi")
+    # both texts are referenced by many tests: materialise them once
+    staged = markets.select("*", hay.alias("_hay"), F.lower(F.col("market_question")).alias("_qlow"))
+    keep = classify.mentions_election_word(F.col("_hay")) & classify.is_election_question(
+        F.col("market_question"), F.col("_qlow"))
+    return staged.filter(keep).drop("_hay", "_qlow")
+
+
+def gate_markets(markets: DataFrame, analytics: DataFrame | None = None) -> DataFrame:
+    """The election markets, with the columns of ``markets``."""
+    return election_markets(with_analytics(markets, analytics), analytics is not None).select(*markets.columns)
+
+
+def with_names_and_office(markets: DataFrame, known_names: DataFrame | None = None, finder: names.SpanFinder = names.capitalised_runs) -> DataFrame:
+    """Candidate names, from the tags, then the resolution notes, and
+    the office."""
+    texts = F.concat(F.col("analytics_event_tags"), F.array(F.col("resolution_notes")))
+    return with_office(names.with_candidate_names(markets, texts, known_names, finder))
+
+
+def enrich_markets(
+    markets: DataFrame, analytics: DataFrame | None = None, known_names: DataFrame | None = None, finder: names.SpanFinder = names.capitalised_runs
+) -> DataFrame:
+    """Analytics fields, candidate names and office."""
+    return with_names_and_office(with_analytics(markets, analytics), known_names, finder)
 
 
 def office_text(*cols) -> Column:

@@ -450,18 +450,29 @@ def first_spelling(lst: str) -> str:
 _SUFFIXES = ", ".join(q(t) for t in vocab.PERSON_SUFFIX_TOKENS)
 _EXCLUDED = ", ".join(q(t) for t in vocab.PERSON_EXCLUSION_TOKENS)
 
-NAMES = f"""
+# The alphabetic words of a text, those that decide on its capitalised form
+_ALPHABETIC = (r"list_filter(regexp_extract_all(regexp_replace(t, '\.\s*$', ''), '[^\s,;:@#$%&?!\"()\[\]{}<>''`]+'), "
+               r"lambda w: regexp_full_match(w, '\p{L}+'))")
+
+def names_sql(persons: str) -> str:
+    """C9 with the persons of a query (column ``name``): all of them in one
+    alternation, written without the library's word rules. Non-letters are
+    doubled, so that names side by side each find a border."""
+    return f"""
+persons AS (SELECT '(?i)(?:^|[^\\p{{L}}])(' || coalesce(string_agg(DISTINCT replace(name, ' ', '\\s+'), '|'), 'no persons') || ')(?:$|[^\\p{{L}}])' AS pattern FROM ({persons})),
 nm1 AS (
   SELECT market_id,
     list_filter(list_concat(analytics_event_tags, [resolution_notes]), lambda t: t IS NOT NULL AND t <> '') AS kept
   FROM em),
 nm2 AS (
   SELECT market_id, flatten(list_transform(kept, lambda t:
-      CASE WHEN lower(t) = t AND upper(t) <> t AND {capwords('t')} <> t THEN [t, {capwords('t')}] ELSE [t] END)) AS variants
+      CASE WHEN len({_ALPHABETIC}) > 0 AND len(list_filter({_ALPHABETIC}, lambda w: NOT (w = lower(w) AND w <> upper(w)))) = 0
+        AND {capwords('t')} <> t THEN [t, {capwords('t')}] ELSE [t] END)) AS variants
   FROM nm1),
 nm3 AS (
-  SELECT market_id, flatten(list_transform(variants, lambda v: regexp_extract_all(v, {q(CAP_RUN)}, 0))) AS spans
-  FROM nm2),
+  SELECT market_id, flatten(list_transform(variants, lambda v: CASE WHEN regexp_matches(v, pattern) THEN regexp_extract_all(regexp_replace(v, '([^\\p{{L}}])', '\\1\\1', 'g'), pattern, 1)
+    ELSE regexp_extract_all(v, {q(CAP_RUN)}, 0) END)) AS spans
+  FROM nm2, persons),
 nm4 AS (
   SELECT market_id, list_filter(list_transform(spans, lambda s:
       regexp_replace(trim(regexp_replace(s, '{PY_SPACE}+', ' ', 'g')), {q('^' + _EDGE + '+|' + _EDGE + '+$')}, '', 'g')),
@@ -488,8 +499,12 @@ names AS (
       AS candidate_names
   FROM nm8)"""
 
+
+NAMES = names_sql("SELECT NULL AS name WHERE false")
+
 SQL["name_candidates"] = f"""
-WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {NAMES}
+WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED},
+{names_sql(r"SELECT lower(regexp_extract(text, '^(\p{L}+ \p{L}+)', 1)) AS name FROM conversations WHERE turn % 2 = 0 AND regexp_matches(text, '^\p{L}+ \p{L}+')")}
 SELECT market_id, to_json(candidate_names) AS candidate_names FROM names
 """
 

@@ -61,7 +61,11 @@ def q_market_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_analytics_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest analytics entry per market, parsed."""
-    a = markets.analytics_columns(_analytics(spark, sf_dir))
+    return latest_columns(_analytics(spark, sf_dir))
+
+
+def latest_columns(analytics: DataFrame) -> DataFrame:
+    a = markets.analytics_columns(analytics)
     return _json_arrays(a).select(
         F.col("_a_market_id").alias("market_id"), "analytics_market_volume", "analytics_market_open_interest",
         "analytics_outcome_yes_price", "analytics_outcome_no_price", "analytics_event_slug", "analytics_source",
@@ -103,8 +107,11 @@ def q_source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_name_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate names from tags and notes."""
-    return _json_arrays(_enriched(spark, sf_dir).select("market_id", "candidate_names"))
+    """Candidate names from tags and notes: known persons,
+    else runs of capitalised words."""
+    merged = markets.with_analytics(_flat_markets(spark, sf_dir), _analytics(spark, sf_dir))
+    named = markets.with_names_and_office(merged, standins.person_names(spark, sf_dir))
+    return _json_arrays(named.select("market_id", "candidate_names"))
 
 
 def q_market_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dims, markets
+from ..operators.analytics_state import AnalyticsState
 from ..sinks.writers import shared_folder, write_market_dataset, write_matched_csv
 from ..sources.bulk import load_master, load_schedule_a_raw
-from ..sources.markets import read_events, read_market_csv
+from ..sources.markets import read_analytics, read_events, read_market_csv
 from . import standins
 from .market_oracle_sql import SQL as MARKET_SQL
-from .market_queries import _json_arrays, _utc
+from .market_queries import _json_arrays, _utc, latest_columns
 from .oracle_sql import SQL as RECEIPT_SQL
 
 _CELLS = ("market_id", "question", "resolution_notes", "outcomes", "candidate_names", "jurisdiction_sources")
@@ -75,6 +76,44 @@ def q_schedule_a_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_schedule_a_raw(spark, folder, cycles, header_path=f"{folder}/indiv_header.csv")
 
 
+def _land_pages(pages: DataFrame, folder: str) -> None:
+    """One file for each page, named in the order of the pages."""
+    ordered = pages.repartitionByRange("page").sortWithinPartitions("page")
+    ordered.select("value").write.option("maxRecordsPerFile", 1).mode("append").text(folder)
+
+
+def q_analytics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot pages landed as JSON documents, read by byte ranges;
+    the latest entry of each market."""
+    folder = shared_folder(spark, "analytics-pages") + "/pages"
+    _land_pages(standins.analytics_pages(spark, sf_dir), folder)
+    return latest_columns(markets.latest_analytics(read_analytics(spark, folder)))
+
+
+def q_analytics_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages landed in three fetches, merged into the state table after
+    each, the second one twice."""
+    root = shared_folder(spark, "analytics-state")
+    pages = standins.analytics_pages(spark, sf_dir)
+    state = AnalyticsState(spark, f"{root}/state", buckets=8)
+    last = pages.agg(F.max("page")).first()[0] or 0
+    for fetch, (low, high) in enumerate([(0, last // 3), (last // 3 + 1, 2 * last // 3), (2 * last // 3 + 1, last)]):
+        _land_pages(pages.where(F.col("page").between(low, high)), f"{root}/pages/fetch-{fetch}")
+        # file names order the entries: fetches and pages by number
+        _name_pages(spark, f"{root}/pages/fetch-{fetch}", f"{root}/named", fetch)
+        state.merge(f"{root}/named/*.json")
+        state.merge(f"{root}/named/*.json")
+    return latest_columns(state.entries())
+
+
+def _name_pages(spark: SparkSession, folder: str, target: str, fetch: int) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(target))
+    for status in fs.globStatus(path(f"{folder}/part-*")):
+        fs.rename(status.getPath(), path(f"{target}/{fetch}-{status.getPath().getName().removesuffix('.txt')}.json"))
+
+
 def _market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows whose cells hold quotes, commas, line breaks, backslashes,
     outer spaces and lists, from every turn of every conversation."""
@@ -130,6 +169,8 @@ def q_matched_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "events_roundtrip": _utc(q_events_roundtrip),
+    "analytics_roundtrip": _utc(q_analytics_roundtrip),
+    "analytics_merge": _utc(q_analytics_merge),
     "bulk_roundtrip": q_bulk_roundtrip,
     "schedule_a_scan": q_schedule_a_scan,
     "market_csv_roundtrip": q_market_csv_roundtrip,
@@ -139,6 +180,8 @@ QUERIES = {
 
 SQL = {
     "events_roundtrip": MARKET_SQL["market_flatten"],
+    "analytics_roundtrip": MARKET_SQL["analytics_latest"],
+    "analytics_merge": MARKET_SQL["analytics_latest"],
     "bulk_roundtrip": RECEIPT_SQL["dim_dedup"],
     "schedule_a_scan": f"""
 SELECT *, CAST(CAST(report_year AS INTEGER) + CAST(report_year AS INTEGER) % 2 AS INTEGER) AS two_year_transaction_period

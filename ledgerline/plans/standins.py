@@ -335,6 +335,25 @@ def analytics_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name): persons to look for in market texts: the first two words of
+    every second turn, in small letters."""
+    turns = table(spark, sf_dir, "conversations").where("turn % 2 = 0").select("text")
+    name = F.lower(F.regexp_extract("text", r"^(\p{L}+ \p{L}+)", 1))
+    return turns.select(name.alias("name")).where("name <> ''").distinct()
+
+
+def analytics_pages(spark: SparkSession, sf_dir: str, page_entries: int = 500) -> DataFrame:
+    """(page, value): the analytics entries as fetched pages, each one JSON
+    document of at most ``page_entries`` entries, in order."""
+    entries = analytics_entries(spark, sf_dir)
+    fields = [c for c in entries.columns if not c.startswith("_")]
+    entry = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    page = F.floor(F.col("_pos") / page_entries).alias("page")
+    listed = entries.select(page, F.struct("_pos", entry.alias("entry")).alias("e")).groupBy("page").agg(F.sort_array(F.collect_list("e")).alias("es"))
+    return listed.select("page", F.concat(F.lit('{"data": ['), F.array_join(F.transform("es", lambda e: e["entry"]), ", "), F.lit("]}")).alias("value"))
+
+
 def link_markets_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Markets for the linkage job: one per distinct part name.
 

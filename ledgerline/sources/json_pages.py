@@ -45,7 +45,7 @@ SUMMARY = f"{RANGE}, size long, file_size long, ends array<int>, depths array<lo
 CUT = f"{RANGE}, at long, whole boolean, entry string"
 
 
-def page_ranges(spark: SparkSession, path: str) -> DataFrame:
+def page_ranges(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, start, file_size, value): the text of the pages by byte range,
     in order within a range; each value is followed by a brace."""
     text = spark.read.option("lineSep", BRACE.decode()).text(path)
@@ -233,7 +233,7 @@ def _whole(fragments: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows([(r["file"], r["start"], r["at"], r["whole"], r["entry"]) for r in out])])
 
 
-def page_entries(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def page_entries(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """(file, at, fields of ``schema``): the objects of the pages' ``data``
     arrays; ``at`` is an entry's byte offset in its file."""
     from ..sinks.writers import published

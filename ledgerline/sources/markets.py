@@ -45,7 +45,7 @@ def read_events(spark: SparkSession, path: str, multi_line: bool = False) -> Dat
     return reader.option("multiLine", multi_line).json(path)
 
 
-def read_analytics(spark: SparkSession, path: str) -> DataFrame:
+def read_analytics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Analytics snapshot pages ``{"data": [...]}``; one large page is
     read by many tasks (see ``json_pages``). Text that is no such page raises.
 

@@ -29,14 +29,14 @@ def market_stream(spark: SparkSession, events_dir: str, analytics: DataFrame | N
 
     ``analytics`` is a static DataFrame of analytics entries (S12 shape);
     stream-static joins attach it without shuffling the stream."""
-    reader = spark.readStream.schema(EVENT_SCHEMA)
+    # like the batch reader: a page that is no JSON stops the query
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     events = reader.json(events_dir)
     latest = markets.latest_analytics(analytics) if analytics is not None else None
-    flat = markets.flatten_markets(events)
-    gated = markets.gate_markets(flat, latest)
-    enriched = markets.enrich_markets(gated, latest)
+    merged = markets.with_analytics(markets.flatten_markets(events), latest)
+    enriched = markets.with_names_and_office(markets.election_markets(merged, latest is not None))
     return enriched.drop(*[c for c in enriched.columns if c.startswith("_a_") or c.startswith("_event_")])
 
 
