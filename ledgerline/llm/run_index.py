@@ -7,7 +7,9 @@ anchor occurrence are a piece: its text is what these windows cover, and the
 windows of equal anchors are dealt to one shard, so that a shard sees every
 occurrence of its windows.
 
-A shard's texts are repetitive by construction, and are indexed in two rounds:
+Pieces of anchors that occur again are cut down to the windows whose
+surroundings, the 91 bytes that ten neighbouring windows share, come twice. So
+a shard's texts are repetitive, and are indexed in two rounds:
 
 1. Of each anchor that occurs again the earliest piece is the reference. The
    references get a Burrows-Wheeler transform, kept as runs, with the text
@@ -60,8 +62,8 @@ U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
 SLICE = 2 << 20  # bytes of text that a map task takes at a time
 BLOCK = 4 << 20  # window starts of one long text that it takes at a time
-SHARD_BYTES = 6 << 20  # input for each shard
-HOT = 1 << 14  # pieces of one key that a shard may get, at least
+SHARD_BYTES = 8 << 20  # input for each shard
+HOT = 1 << 16  # pieces of one key that a shard may get, at least
 REPORT = 1 << 12
 RANGE = 10  # windows that a hot anchor's pieces hold at most
 PLACE = U((1 << 24) - 1)
@@ -176,6 +178,14 @@ def text_slices(column, window: int) -> Iterator[tuple[int, int, np.ndarray, np.
         row = end
 
 
+def hasher(data: np.ndarray):
+    """64-bit hashes of stretches of ``data``, given as start and length."""
+    power, inverse = tokens._byte_powers.upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, U)
+    np.cumsum(tokens._BYTE_CODE[data] * power[:len(data)], out=total[1:])
+    return lambda lo, size: tokens.mix((total[lo + size] - total[lo]) * inverse[lo] + np.asarray(size).astype(U))
+
+
 def cut(data: np.ndarray, offsets: np.ndarray, base: int, ids: np.ndarray, rids: np.ndarray, how: Keying) -> Cut | None:
     """The pieces of a slice, in the order of the text."""
     n = len(data) - how.window + 1
@@ -185,13 +195,7 @@ def cut(data: np.ndarray, offsets: np.ndarray, base: int, ids: np.ndarray, rids:
     whole = offsets[1:][doc[:n]] - np.arange(n) >= how.window
     if not whole.any():
         return None
-    power, inverse = tokens._byte_powers.upto(len(data) + 1)
-    total = np.zeros(len(data) + 1, U)
-    np.cumsum(tokens._BYTE_CODE[data] * power[:len(data)], out=total[1:])
-
-    def hashed(lo: np.ndarray, size) -> np.ndarray:
-        return tokens.mix((total[lo + size] - total[lo]) * inverse[lo] + np.asarray(size).astype(U))
-
+    hashed = hasher(data)
     grams = hashed(np.arange(len(data) - how.anchor + 1), how.anchor)
     # least hash, then first place, of the anchors in a window
     least = (grams & ~PLACE) | np.arange(len(grams), dtype=U)
@@ -486,6 +490,33 @@ class RunIndex:
         return np.where(grouped, self.group_least[slot], own)
 
 
+def narrowed(pieces: Pieces, window: int) -> Pieces | None:
+    """The pieces cut down to windows whose surroundings come twice: ten
+    neighbouring windows share a stretch of the text, and equal windows have
+    it at the same place. Anchors that recur in ever other texts end here."""
+    ahead = pieces.anchor - pieces.start
+    last = ahead - (pieces.size - window)  # the anchor's offset in the last window
+    least = last // RANGE
+    n = ahead // RANGE - least + 1
+    piece = np.repeat(np.arange(len(n)), n)
+    tens = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n) + least[piece]
+    begin = np.cumsum(pieces.size) - pieces.size
+    context = hasher(pieces.text)(begin[piece] + ahead[piece] - RANGE * tens, window - RANGE + 1) + tens.astype(U)
+    order = np.argsort(context, kind="quicksort")
+    same = context[order][1:] == context[order][:-1]
+    twice = np.zeros(len(context), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    piece, tens = piece[twice], tens[twice]
+    if not len(piece):
+        return None
+    head = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+    piece, low, high = piece[head], tens[head], tens[np.r_[head[1:], len(tens)] - 1]
+    first = np.maximum(0, ahead[piece] - (RANGE * high + RANGE - 1))
+    size = np.minimum(pieces.size[piece] - window, ahead[piece] - RANGE * low) - first + window
+    where = np.repeat(begin[piece] + first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+    return Pieces(pieces.key[piece], pieces.id[piece], pieces.rid[piece], pieces.start[piece] + first, pieces.anchor[piece], size, pieces.text[where])
+
+
 def later_windows(pieces: Pieces, window: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(piece, place in it) of every window that an earlier piece has. The
     pieces are in the order of (key, id, anchor)."""
@@ -545,8 +576,11 @@ def _indexed(window: int):
             if (hit := again[np.minimum(np.searchsorted(again, key), len(again) - 1)] == key).any():
                 parts.append(Pieces.unpacked(blob, window).only(hit))
         if parts:
-            pieces = Pieces.together(parts)
+            pieces = narrowed(Pieces.together(parts), window)
             del parts, blobs
+        else:
+            pieces = None
+        if pieces is not None:
             by = np.lexsort((pieces.rid, pieces.anchor, pieces.id, pieces.key))
             starts = np.cumsum(pieces.size) - pieces.size
             columns = [getattr(pieces, f)[by] for f in Pieces.FIELDS]
@@ -577,9 +611,11 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> list:
     return [F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("rid"), F.col(text_col).alias("text")]
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 24, bound: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 16, bound: int = HOT) -> DataFrame:
     """(id, rid, spans): the byte ranges of each text that are covered by
     windows with an earlier start, maximal and in order."""
+    if not RANGE < window or not 0 < anchor <= window:
+        raise ValueError(f"windows of {window} bytes don't hold anchors of {anchor} or surroundings of {RANGE} windows")
     rows = docs.select(*identified(docs, id_col, text_col))
     none = np.zeros(0, np.int64)
     how = Keying(window, anchor, shard_count(docs, SHARD_BYTES), none, none)
@@ -616,7 +652,7 @@ def _kept(text: bytes, spans: bytes | None) -> tuple[list[bytes], int, int]:
     return [text[a:b] for a, b in zip(edges[::2], edges[1::2])], sum(b - a for a, b in ranges), len(ranges)
 
 
-def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 24, bound: int = HOT) -> DataFrame:
+def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 16, bound: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
 
     def run(batches):
@@ -636,7 +672,7 @@ def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return joined.select("id", "text", "spans").mapInArrow(tokens.tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 24) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 16) -> DataFrame:
     """(doc_id, kept, spans): the bytes that remain of each text (null of a
     null text), and the ranges that went."""
 
