@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.common import is_missing_path
 from ..session import ensure_checkpoint_dir
+from .database import load_table
 
 LOGGER = logging.getLogger("ledgerline.sinks")
 
@@ -69,12 +70,10 @@ def published(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_jdbc(df: DataFrame, table: str, url: str, options: dict | None = None) -> None:
-    """K2: overwrite a database table; ``options`` (user, password, driver,
-    batchsize, numPartitions, ...) are passed through and win."""
-    opts = {"url": url, "dbtable": table}
-    opts.update(options or {})
-    df.write.mode("overwrite").format("jdbc").options(**opts).save()
+def write_jdbc(df: DataFrame, table: str, url: str, options: dict | None = None, load_id: str | None = None) -> bool:
+    """K2: the database table holds the rows of ``df``, or, if the load fails,
+    what it held before (see ``database.load_table``)."""
+    return load_table(df, table, url, options, load_id)
 
 
 def load_tables(
@@ -83,9 +82,11 @@ def load_tables(
     url: str,
     options: dict | None = None,
     tables: Sequence[str] = WAREHOUSE_TABLES,
+    load_id: str | None = None,
 ) -> list[str]:
     """K3: copy published Parquet tables into the database; a missing table
-    is skipped with a warning. Returns the tables loaded."""
+    is skipped with a warning. Returns the tables that are loaded. A job that
+    is run again with its ``load_id`` goes on where it stopped."""
     loaded = []
     for table in tables:
         path = f"{warehouse_root.rstrip('/')}/{table}"
@@ -96,7 +97,7 @@ def load_tables(
                 raise
             LOGGER.warning("skipping %s; parquet path %s not found", table, path)
             continue
-        write_jdbc(df, table, url, options)
+        write_jdbc(df, table, url, options, load_id)
         loaded.append(table)
     return loaded
 

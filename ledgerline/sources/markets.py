@@ -61,3 +61,21 @@ def read_market_csv(spark: SparkSession, path: str, schema: T.StructType | None
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
+
+
+_CATALOG_CELLS = ("jurisdiction", "level", "source_name", "url", "description", "access", "update_frequency", "feasibility", "feasibility_notes")
+CATALOG_CSV_SCHEMA = T.StructType([T.StructField(c, _S) for c in _CATALOG_CELLS])
+CATALOG_JSON_SCHEMA = T.StructType([
+    T.StructField("jurisdiction", _S), T.StructField("level", _S),
+    T.StructField("sources", T.ArrayType(T.StructType([T.StructField("name", _S)] + [T.StructField(c, _S) for c in _CATALOG_CELLS[3:]]))),
+])
+
+
+def read_catalog_csv(spark: SparkSession, path_prefix: str) -> DataFrame:
+    """The source catalogue as the sink writes it: a row for each source."""
+    return read_market_csv(spark, f"{path_prefix}.csv", CATALOG_CSV_SCHEMA)
+
+
+def read_catalog_json(spark: SparkSession, path_prefix: str) -> DataFrame:
+    """The source catalogue as the sink writes it: a row for each jurisdiction."""
+    return spark.read.schema(CATALOG_JSON_SCHEMA).option("mode", "FAILFAST").json(f"{path_prefix}.json")

@@ -46,3 +46,50 @@ def test_json_lines_and_list_text(spark):
     assert js[0] == '{"a":["Yes","No"],"b":"x","c":null}'
     txt = [r[0] for r in df.select(writers.python_list_text(F.col("a"))).collect()]
     assert txt == ["['Yes', 'No']", '["it\'s"]']
+
+
+def _rows(spark, url, table):
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **DERBY).load()
+
+
+def test_load_is_all_or_nothing(spark):
+    """A task fails half-way; another load doubles its rows: the table stays."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from ledgerline.sinks import database
+
+    url = "jdbc:derby:memory:ledgerline_staged;create=true"
+    good = spark.range(100, numPartitions=4).withColumnRenamed("id", "n")
+    assert writers.write_jdbc(good, "facts", url, DERBY, "load-1")
+    broken = good.withColumn("n", F.when(F.col("n") == 70, F.raise_error(F.lit("task fails"))).otherwise(F.col("n") + 1000).cast("long"))
+    with pytest.raises(Exception, match="task fails"):
+        writers.write_jdbc(broken, "facts", url, DERBY, "load-2")
+    assert _rows(spark, url, "facts").agg(F.sum("N")).first()[0] == sum(range(100))
+    assert writers.write_jdbc(good.where("n < 10"), "facts", url, DERBY, "load-2")  # the id was not used up
+    assert not writers.write_jdbc(good, "facts", url, DERBY, "load-2")  # done already
+    assert _rows(spark, url, "facts").count() == 10
+    with database.transaction(spark, url, DERBY) as connection:
+        names = connection.getMetaData().getTables(None, "APP", None, None)
+        left = []
+        while names.next():
+            left.append(names.getString("TABLE_NAME").lower())
+    assert sorted(left) == ["facts", database.LOADS]
+
+
+def test_rows_inserted_twice_are_noticed(spark, monkeypatch):
+    import pytest
+
+    from ledgerline.sinks import database
+
+    url = "jdbc:derby:memory:ledgerline_twice;create=true"
+    df = spark.range(5).withColumnRenamed("id", "n")
+    writers.write_jdbc(df, "facts", url, DERBY)
+    count = database._number
+    # what a task that was tried again after its commit leaves behind
+    monkeypatch.setattr(database, "_number", lambda c, sql: count(c, sql) + 3 * ("_s" in sql and "COUNT" in sql and "ledgerline" not in sql))
+    with pytest.raises(database.LoadFailed):
+        writers.write_jdbc(df.where("n < 2"), "facts", url, DERBY)
+    assert _rows(spark, url, "facts").count() == 5
+    with pytest.raises(ValueError):
+        writers.write_jdbc(df, "facts; DROP TABLE facts", url, DERBY)
