@@ -62,7 +62,7 @@ U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
 SLICE = 2 << 20  # bytes of text that a map task takes at a time
 BLOCK = 4 << 20  # window starts of one long text that it takes at a time
-SHARD_BYTES = 8 << 20  # input for each shard
+SHARD_BYTES = 5 << 20  # input for each shard
 HOT = 1 << 16  # pieces of one key that a shard may get, at least
 REPORT = 1 << 12
 RANGE = 10  # windows that a hot anchor's pieces hold at most
@@ -501,7 +501,16 @@ def narrowed(pieces: Pieces, window: int) -> Pieces | None:
     piece = np.repeat(np.arange(len(n)), n)
     tens = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n) + least[piece]
     begin = np.cumsum(pieces.size) - pieces.size
-    context = hasher(pieces.text)(begin[piece] + ahead[piece] - RANGE * tens, window - RANGE + 1) + tens.astype(U)
+    at = begin[piece] + ahead[piece] - RANGE * tens
+    context = np.zeros(len(piece), U)
+    # hashed a slice's bytes at a time, which is what the tables are made for
+    cuts = np.searchsorted(begin, np.arange(0, len(pieces.text) + SLICE, SLICE))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            low, high = begin[a], begin[b - 1] + pieces.size[b - 1]
+            mine = slice(*np.searchsorted(piece, [a, b]))
+            context[mine] = hasher(pieces.text[low:high])(at[mine] - low, window - RANGE + 1)
+    context += tens.astype(U)
     order = np.argsort(context, kind="quicksort")
     same = context[order][1:] == context[order][:-1]
     twice = np.zeros(len(context), bool)
