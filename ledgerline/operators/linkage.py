@@ -35,7 +35,7 @@ def _office_code(office: Column) -> Column:
 
 def candidate_matches(keys: DataFrame, candidate_dim: DataFrame, broadcast_limit: int | None = None) -> DataFrame:
     """Matches per key: key columns + cand_id, cycle, matched name."""
-    queries = keys.select(*KEY, F.explode(extract_queries(F.col("_k_names"))).alias("_query"))
+    queries = keys.select(*KEY, F.posexplode(extract_queries(F.col("_k_names"))).alias("_query_at", "_query"))
     queries = queries.withColumn("pattern", normalize_query(F.col("_query")))
     # Q10: a query without words would match every candidate; not used
     queries = queries.filter(F.size(literal_runs(F.col("pattern"))) > 0)
@@ -48,6 +48,7 @@ def candidate_matches(keys: DataFrame, candidate_dim: DataFrame, broadcast_limit
         F.lower(py_strip(F.col("office_full"))).alias("_ofull"),
         F.lower(py_strip(F.col("office"))).alias("_ocode"),
         F.coalesce(F.nullif(F.col("normalized_name"), F.lit("")), F.col("display_name")).alias("matched_candidate_name"),
+        F.col("display_name").alias("_display"),
     ).filter(F.col("cand_id").isNotNull() & (F.col("cand_id").cast("string") != ""))  # F13
     hits = ilike_join(patterns, cands, broadcast_limit)
 
@@ -63,8 +64,19 @@ def candidate_matches(keys: DataFrame, candidate_dim: DataFrame, broadcast_limit
     have = F.coalesce(F.nullif(F.col("_ofull"), F.lit("")), F.col("_ocode"), F.lit(""))
     office_ok = ~enforce | (have == wanted) | (have == _office_code(wanted))
     kept = pairs.filter(year_ok & office_ok)
-    # One row per (key, candidate, cycle)
-    return kept.select(*KEY, "cand_id", "_cycle", "matched_candidate_name").dropDuplicates([*KEY, "cand_id", "_cycle"])
+    # One row per (key, candidate, cycle): that of the first query which finds it
+    found = kept.groupBy(*KEY, "cand_id", "_cycle").agg(F.min(F.struct("_query_at", "_display", "matched_candidate_name")).alias("_first"))
+    return found.select(*KEY, "cand_id", "_cycle", "_first.*")
+
+
+# Matches of a market in the order in which its queries find them
+MATCH_ORDER = ("_query_at", "_cycle", "_display")
+
+
+def match_order() -> list[Column]:
+    """The order of a market's matches: by query, then as the search returns
+    them (O1). Needs the columns that ``keep_order`` leaves in."""
+    return [F.col("_query_at").asc_nulls_first(), F.col("_cycle").desc_nulls_first(), F.col("_display").asc_nulls_last(), F.col("matched_candidate_id").asc_nulls_last()]
 
 
 def link_markets(
@@ -75,11 +87,13 @@ def link_markets(
     start: Column | None = None,
     end: Column | None = None,
     broadcast_limit: int | None = None,
+    keep_order: bool = False,
 ) -> DataFrame:
     """Every market row once per matching candidate (a candidate found
     in two cycles appears twice, Q12), or once with NULL match columns.
 
-    Output: the market columns + matched_candidate_id, matched_candidate_name."""
+    Output: the market columns + matched_candidate_id, matched_candidate_name,
+    and with ``keep_order`` the columns of MATCH_ORDER."""
     cols = markets.columns
     if start is None:
         start = _first_present(markets, ("start_time", "start_date"))
@@ -102,13 +116,14 @@ def link_markets(
         *[F.col(k).alias("_m" + k) for k in KEY],
         F.col("cand_id").alias("matched_candidate_id"),
         "matched_candidate_name",
+        *MATCH_ORDER,
     )
     cond = None
     for k in KEY:
         c = F.col(k).eqNullSafe(F.col("_m" + k))
         cond = c if cond is None else cond & c
     joined = keyed.join(broadcast_if_small(matches, broadcast_limit), cond, "left")
-    return joined.select(*[F.col(c) for c in cols], "matched_candidate_id", "matched_candidate_name")
+    return joined.select(*[F.col(c) for c in cols], "matched_candidate_id", "matched_candidate_name", *[c for c in MATCH_ORDER if keep_order])
 
 
 def _first_present(df: DataFrame, names) -> Column | None:

@@ -430,6 +430,14 @@ SELECT s.jurisdiction, s.level, s.name AS source_name, s.url, s.description, s.a
 FROM srcs s JOIN best b ON s.jurisdiction = b.jurisdiction
 """
 
+# what the catalogue files hold (see roundtrip_queries)
+SQL["catalog_sources"] = f"""
+WITH {FLAT_MARKETS}, {ANALYTICS}, {ENRICHED}, {TAGGED}, {catalog_sql()}
+SELECT jurisdiction, level, name AS source_name, url, description, access, update_frequency, feasibility, feasibility_notes, level AS json_level,
+       CAST(row_number() OVER (PARTITION BY jurisdiction ORDER BY pos) - 1 AS INTEGER) AS source_at, feasibility AS json_feasibility
+FROM srcs
+"""
+
 # --- names and linkage --------------------------------------------------------
 
 CAP_RUN = r"\b[A-Z][A-Za-z'.-]*(?: +[A-Z][A-Za-z'.-]*)*"

@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import dims, markets
+from ..operators import catalog, dims, markets
 from ..operators.analytics_state import AnalyticsState
-from ..sinks.writers import shared_folder, write_market_dataset, write_matched_csv
-from ..sources.bulk import load_master, load_schedule_a_raw
-from ..sources.markets import read_analytics, read_events, read_market_csv
+from ..sinks.writers import published, shared_folder, write_catalog, write_market_dataset, write_matched_csv
+from ..sources.bulk import committee_candidate_map, load_master, load_schedule_a_raw
+from ..sources.markets import read_analytics, read_catalog_csv, read_catalog_json, read_events, read_market_csv
 from . import standins
 from .market_oracle_sql import SQL as MARKET_SQL
-from .market_queries import _json_arrays, _utc, latest_columns
+from .market_queries import _json_arrays, _tagged, _utc, latest_columns
 from .oracle_sql import SQL as RECEIPT_SQL
 
 _CELLS = ("market_id", "question", "resolution_notes", "outcomes", "candidate_names", "jurisdiction_sources")
@@ -34,11 +34,11 @@ def q_events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _json_arrays(flat.drop(*[c for c in flat.columns if c.startswith("_")]))
 
 
-def _land(rows: DataFrame, folder: str, name: str, header: str) -> list[int]:
+def _land(rows: DataFrame, folder: str, name: str, header: str, manifest: str | None = None) -> list[int]:
     """``rows`` (column ``cycle`` and the file's columns) as pipe-delimited
-    bulk files ``{name}_{cycle}_{n}.txt`` (``{name}_{cycle}.txt`` for a single
-    file per cycle) below ``folder``, with their header file; returns the
-    cycles. Only file names pass through the driver."""
+    bulk files ``{name}_{cycle}_{n}.txt``, as many to a cycle as tasks have
+    rows of it, below ``folder``, with their header file and, if named, their
+    manifest; returns the cycles. Only file names pass through the driver."""
     spark, columns = rows.sparkSession, [c for c in rows.columns if c != "cycle"]
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     landing = shared_folder(spark, "landing") + "/parts"
@@ -51,19 +51,61 @@ def _land(rows: DataFrame, folder: str, name: str, header: str) -> list[int]:
         parts.setdefault(status.getPath().getParent().getName().removeprefix("cycle="), []).append(status.getPath())
     for cycle, files in parts.items():
         for n, file in enumerate(files):
-            fs.rename(file, path(f"{folder}/{name}_{cycle}{f'_{n}' if len(files) > 1 else ''}.txt"))
+            fs.rename(file, path(f"{folder}/{name}_{cycle}_{n}.txt"))
+    if manifest:
+        lines = spark.read.option("pathGlobFilter", f"{name}_*.txt").text(folder).groupBy(F.col("_metadata.file_name").alias("file")).count()
+        lines.coalesce(1).write.option("header", "true").csv(f"{folder}/{manifest}")
     spark.range(1).select(F.lit(",".join(columns)).alias("value")).coalesce(1).write.text(f"{folder}/{header}")
     return sorted(map(int, parts))
 
 
+def _landed_master(rows: DataFrame, root: str, table: str) -> DataFrame:
+    """A master table landed in several files to a cycle, with their manifest,
+    and read back; ids get the type they had."""
+    cycles = _land(rows, f"{root}/{table}", table, f"{table}_header_file.csv", f"{table}_manifest.csv")
+    raw = load_master(rows.sparkSession, root, table, cycles)
+    return raw.select(*[F.col(c).cast(rows.schema[c].dataType).alias(c) if c.endswith("_ID") else F.nullif(c, F.lit("")).alias(c) if c != "cycle" else c for c in raw.columns])
+
+
 def q_bulk_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidate master files by cycle, read with their header
-    file and made into the candidate dimension."""
-    root = shared_folder(spark, "bulk")
+    """Candidate master files by cycle, several to a cycle, read
+    with their header file and made into the candidate dimension."""
     master = standins.candidate_master(spark, sf_dir).drop("o_orderkey")
-    cycles = _land(master.repartition("cycle"), f"{root}/candidate_master", "candidate_master", "candidate_master_header_file.csv")
-    raw = load_master(spark, root, "candidate_master", cycles)
-    return dims.build_candidate_dim(raw.withColumn("CAND_ID", F.col("CAND_ID").cast(master.schema["CAND_ID"].dataType)))
+    return dims.build_candidate_dim(_landed_master(master, shared_folder(spark, "bulk"), "candidate_master"))
+
+
+def q_masters_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Committee master and linkage files by cycle, read back and
+    joined to links with roles; the optional table is not there."""
+    root = shared_folder(spark, "bulk")
+    totals = published(spark, standins.committee_candidate_totals(spark, sf_dir), "committee_candidate_totals")
+    committees = _landed_master(standins.committee_master(spark, sf_dir, totals), root, "committee_master")
+    links = _landed_master(standins.candidate_links(spark, sf_dir, totals), root, "candidate_committee_linkage")
+    spark.range(1).select(F.lit("CAND_ID,CMTE_ID").alias("value")).coalesce(1).write.text(f"{root}/committees_to_candidates/committees_to_candidates_header_file.csv")
+    optional = load_master(spark, root, "committees_to_candidates", [1998], required=False)
+    links = links.unionByName(optional.select(F.col("CAND_ID").cast("long"), F.col("CMTE_ID").cast(links.schema["CMTE_ID"].dataType), "cycle"), allowMissingColumns=True)
+    return dims.build_candidate_committees(links, dims.build_committee_dim(committees))
+
+
+def q_committee_map_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON objects of id pairs landed as files, read as a link table."""
+    folder = shared_folder(spark, "committee-map") + "/objects"
+    pair = F.concat(F.lit('"C'), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit('": "P'), F.col("o_custkey").cast("string"), F.lit('"'))
+    orders = standins.table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 4000).alias("part"), pair.alias("pair"))
+    objects = orders.groupBy("part").agg(F.concat(F.lit("{"), F.array_join(F.collect_list("pair"), ",\n "), F.lit("}")).alias("value"))
+    objects.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return committee_candidate_map(spark, folder)
+
+
+def q_catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6/K7: the source catalogue written as CSV and JSON, both read back: a
+    row for each source, with its place and rating in the JSON."""
+    prefix = shared_folder(spark, "catalog") + "/sources"
+    write_catalog(catalog.build_catalog(_tagged(spark, sf_dir), order_col="market_id"), prefix)
+    sources = read_catalog_json(spark, prefix).select(F.col("jurisdiction").alias("j"), F.col("level").alias("json_level"), F.posexplode("sources").alias("source_at", "s"))
+    cells = read_catalog_csv(spark, prefix)
+    same = (cells.jurisdiction == F.col("j")) & (cells.source_name == F.col("s.name")) & (cells.url == F.col("s.url"))
+    return cells.join(sources, same).select(*cells.columns, "json_level", "source_at", F.col("s.feasibility").alias("json_feasibility"))
 
 
 def q_schedule_a_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +214,9 @@ QUERIES = {
     "analytics_roundtrip": _utc(q_analytics_roundtrip),
     "analytics_merge": _utc(q_analytics_merge),
     "bulk_roundtrip": q_bulk_roundtrip,
+    "masters_roundtrip": q_masters_roundtrip,
+    "committee_map_file": q_committee_map_file,
+    "catalog_roundtrip": _utc(q_catalog_roundtrip),
     "schedule_a_scan": q_schedule_a_scan,
     "market_csv_roundtrip": q_market_csv_roundtrip,
     "market_json_roundtrip": q_market_json_roundtrip,
@@ -183,6 +228,11 @@ SQL = {
     "analytics_roundtrip": MARKET_SQL["analytics_latest"],
     "analytics_merge": MARKET_SQL["analytics_latest"],
     "bulk_roundtrip": RECEIPT_SQL["dim_dedup"],
+    "masters_roundtrip": RECEIPT_SQL["committee_roles"],
+    "committee_map_file": """
+SELECT 'C' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS committee_id, 'P' || CAST(o_custkey AS VARCHAR) AS candidate_id FROM orders
+""",
+    "catalog_roundtrip": MARKET_SQL["catalog_sources"],
     "schedule_a_scan": f"""
 SELECT *, CAST(CAST(report_year AS INTEGER) + CAST(report_year AS INTEGER) % 2 AS INTEGER) AS two_year_transaction_period
 FROM ({RECEIPT_SQL["column_aliases"]})

@@ -72,8 +72,9 @@ CATALOG_JSON_SCHEMA = T.StructType([
 
 
 def read_catalog_csv(spark: SparkSession, path_prefix: str) -> DataFrame:
-    """The source catalogue as the sink writes it: a row for each source."""
-    return read_market_csv(spark, f"{path_prefix}.csv", CATALOG_CSV_SCHEMA)
+    """The source catalogue as the sink writes it: a row for each source. Its
+    cells are never NULL; an empty one is an empty text."""
+    return read_market_csv(spark, f"{path_prefix}.csv", CATALOG_CSV_SCHEMA).fillna("")
 
 
 def read_catalog_json(spark: SparkSession, path_prefix: str) -> DataFrame:
