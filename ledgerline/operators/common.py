@@ -70,8 +70,43 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-# finite amounts with up to twelve decimals are summed exactly
+# amounts are summed exactly as far as a decimal with twelve places holds them
 AMOUNT = "decimal(38,12)"
+# whole cents below this are summed as two integers: 20 low bits, and the rest
+CENTS_LIMIT = 1e9
+LOW_BITS = 20
+# what an exact sum is kept as; each part is a plain sum, so parts can be merged
+SUM_PARTS = ("high", "low", "whole", "rest")
+
+
+def sum_terms(amount: Column) -> dict[str, Column]:
+    """What a double amount adds to each part of an exact sum: whole cents go
+    to ``high`` and ``low`` (integers, exact for 2**43 amounts), other amounts
+    that a decimal with twelve places holds unchanged to ``whole``, and smaller
+    fractions, NaN and infinities to ``rest``."""
+    d = amount.cast("double")
+    cents = F.when(F.abs(d) < CENTS_LIMIT, F.round(d * 100)).cast("long")
+    is_cents = F.coalesce(cents.cast("double") / 100 == d, F.lit(False))
+    held = F.when(~is_cents, d.try_cast(AMOUNT))
+    exact = F.coalesce(held.cast("double") == d, F.lit(False))
+    return {
+        "high": F.when(is_cents, F.shiftright(cents, LOW_BITS)),
+        "low": F.when(is_cents, cents.bitwiseAND(F.lit((1 << LOW_BITS) - 1))),
+        "whole": F.when(exact, held),
+        "rest": F.when(~is_cents & ~exact, d),
+    }
+
+
+def merged_sum(parts: dict[str, Column]) -> Column:
+    """The double that the summed parts stand for; NULL if all are NULL."""
+    cents = parts["high"].cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + parts["low"].cast("decimal(20,0)")
+    in_cents = (cents / F.lit(100).cast("decimal(3,0)")).cast(AMOUNT)
+    # one digit less on each side leaves the sum its twelve places
+    narrow = "decimal(37,12)"
+    both = (in_cents.try_cast(narrow) + parts["whole"].try_cast(narrow)).cast("double")
+    exact = (F.when(in_cents.isNull(), parts["whole"].cast("double")).when(parts["whole"].isNull(), in_cents.cast("double"))
+             .otherwise(F.coalesce(both, in_cents.cast("double") + parts["whole"].cast("double"))))
+    return F.when(parts["rest"].isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + parts["rest"])
 
 
 def exact_sum(amount: Column) -> Column:
@@ -79,12 +114,7 @@ def exact_sum(amount: Column) -> Column:
     places holds unchanged are summed exactly, so the result does not depend
     on partitioning; what it can't hold (smaller fractions, NaN, infinities)
     is summed as doubles and shows in the result. All NULL gives NULL."""
-    d = amount.cast("double")
-    held = d.try_cast(AMOUNT)
-    exact = F.coalesce(held.cast("double") == d, F.lit(False))
-    whole = F.sum(F.when(exact, held)).cast("double")
-    rest = F.sum(F.when(~exact, d))
-    return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
+    return merged_sum({part: F.sum(term) for part, term in sum_terms(amount).items()})
 
 
 def is_missing_path(error: Exception) -> bool:
