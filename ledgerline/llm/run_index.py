@@ -27,7 +27,7 @@ a shard's texts are repetitive, and are indexed in two rounds:
 
 Matches are of bytes, in the index's text; hashes only choose anchors, deal
 pieces out, and join equal pieces of one slice (64 bits, among the pieces of
-two megabytes). Marked windows are united to spans per document, after all
+four megabytes). Marked windows are united to spans per document, after all
 shards.
 
 No key is too hot for a shard. Of equal pieces in a slice only the first is
@@ -60,7 +60,7 @@ from .store import shard_count, written
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
-SLICE = 2 << 20  # bytes of text that a map task takes at a time
+SLICE = 4 << 20  # bytes of text that a map task takes at a time
 BLOCK = 4 << 20  # window starts of one long text that it takes at a time
 SHARD_BYTES = 5 << 20  # input for each shard
 HOT = 1 << 16  # pieces of one key that a shard may get, at least
@@ -162,7 +162,7 @@ class Keying:
 
 def text_slices(column, window: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, place of its first byte, bytes, offsets of the texts):
-    whole texts up to two megabytes, or a block of one long text."""
+    whole texts up to four megabytes, or a block of one long text."""
     data, offsets = tokens.utf8(column)
     row, n = 0, len(offsets) - 1
     while row < n:
@@ -341,7 +341,7 @@ class RunIndex:
         self.window = window
         n = len(text) + len(size)
         ends = np.cumsum(size + 1) - 1
-        self.ends = ends
+        self.piece = np.repeat(np.arange(len(size), dtype=np.int32), size + 1)  # of a text position
         letters = np.zeros(n, np.uint8)
         inside = np.ones(n, bool)
         inside[ends] = False
@@ -362,7 +362,7 @@ class RunIndex:
         self.order = order
         self.run_at = np.repeat(np.arange(len(start), dtype=np.int32), self.run_size)  # directory of the rows
         # of rows that share a window: the least piece
-        owner = np.searchsorted(ends, rows)
+        owner = self.piece[rows]
         head = np.flatnonzero(np.r_[True, ~same])
         several = np.diff(np.r_[head, n]) > 1
         self.group_start, self.group_end = head[several], np.r_[head[1:], n][several]
@@ -398,6 +398,8 @@ class RunIndex:
                     shared = np.where(left >= self.window, (packed >> U(64 - 8 * self.window)).astype(np.int64), -1)
             alone = np.diff(np.r_[np.flatnonzero(np.r_[True, first[1:] != first[:-1]]), n])
             company = np.flatnonzero(np.repeat(alone > 1, alone))
+            # suffixes that end before are alike to their ends
+            company = company[left[rows[company]] >= depth]
             if depth > reach or not len(company):
                 break
             some = rows[company]
@@ -414,7 +416,8 @@ class RunIndex:
         if shared is None:  # no suffixes are alike that far
             shared = np.full(n, -1)
         # suffixes that are alike to their ends: in the order of the pieces
-        rows = rows[np.lexsort((rows, first))] if len(company) else rows
+        tied = np.flatnonzero(np.repeat(alone > 1, alone))
+        rows[tied] = rows[tied][np.argsort(first[tied] * n + rows[tied], kind="quicksort")]
         shared = shared[rows]
         return rows, (shared[1:] == shared[:-1]) & (shared[1:] >= 0)
 
@@ -482,7 +485,7 @@ class RunIndex:
         return who[kept < 0]
 
     def _least(self, row: np.ndarray, position: np.ndarray) -> np.ndarray:
-        own = np.searchsorted(self.ends, position)
+        own = self.piece[position]
         if not len(self.group_start):
             return own
         slot = np.maximum(np.searchsorted(self.group_start, row, "right") - 1, 0)
@@ -646,10 +649,29 @@ def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "rid", "spans"])
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, others: list) -> DataFrame:
-    rows = docs.select(*identified(docs, id_col, text_col), *others)
+PACKED = "id long, rid long, size long, packed binary"
+
+
+def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: what travels to meet the spans."""
+    codec = pa.Codec("zstd", compression_level=1)
+    for batch in batches:
+        texts = batch.column(2).cast(pa.binary())
+        size = [None if t is None else len(t) for t in (v.as_buffer() for v in texts)]
+        packed = [None if t is None else codec.compress(t, asbytes=True) for t in (v.as_buffer() for v in texts)]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(packed, pa.binary())], names=["id", "rid", "size", "packed"])
+
+
+def _text(size: int | None, packed: bytes | None) -> bytes | None:
+    return None if packed is None else pa.Codec("zstd").decompress(packed, decompressed_size=size, asbytes=True)
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, size, packed, spans) of every document."""
+    rows = docs.select(*identified(docs, id_col, text_col)).mapInArrow(tokens.tidy(_packed_texts), PACKED)
     held = spans.select(F.col("id").alias("s_id"), F.col("rid").alias("s_rid"), "spans")
-    return rows.join(held, (F.coalesce("id", F.lit(LAST)) == F.col("s_id")) & (F.col("rid") == F.col("s_rid")), "left").drop("s_id", "s_rid", "rid")
+    same = (F.coalesce("id", F.lit(LAST)) == F.col("s_id")) & (F.col("rid") == F.col("s_rid"))
+    return rows.join(held, same, "left").select("id", "size", "packed", "spans")
 
 
 def _kept(text: bytes, spans: bytes | None) -> tuple[list[bytes], int, int]:
@@ -667,8 +689,8 @@ def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches):
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column(1).cast(pa.binary()), batch.column(2).to_pylist()):
-                text = text.as_py() or b""
+            for size, packed, spans in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                text = _text(size, packed) or b""
                 kept, gone, n = _kept(text, spans)
                 sha = hashlib.sha256()
                 for part in kept:
@@ -677,8 +699,8 @@ def repeat_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             columns = [pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int64(),) * 3 + (pa.string(),))] if out else [pa.array([], t) for t in (pa.int64(),) * 3 + (pa.string(),)]
             yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = _with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor, bound), id_col, text_col, [])
-    return joined.select("id", "text", "spans").mapInArrow(tokens.tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    joined = _with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor, bound), id_col, text_col)
+    return joined.mapInArrow(tokens.tidy(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, anchor: int = 16) -> DataFrame:
@@ -687,10 +709,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         for batch in batches:
-            spans = batch.column(2).to_pylist()
-            kept = [None if (text := t.as_py()) is None else b"".join(_kept(text, s)[0]) for t, s in zip(batch.column(1).cast(pa.binary()), spans)]
+            sizes, packed, spans = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            kept = [None if (text := _text(n, z)) is None else b"".join(_kept(text, s)[0]) for n, z, s in zip(sizes, packed, spans)]
             ranges = [np.frombuffer(s or b"", "<i8").reshape(-1, 2).tolist() for s in spans]
             yield pa.record_batch([batch.column(0), pa.array(kept, pa.binary()), pa.array(ranges, pa.list_(pa.list_(pa.int64())))], names=["doc_id", "kept", "spans"])
 
-    joined = _with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [])
-    return joined.select("id", "text", "spans").mapInArrow(tokens.tidy(run), "doc_id long, kept binary, spans array<array<long>>")
+    joined = _with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col)
+    return joined.mapInArrow(tokens.tidy(run), "doc_id long, kept binary, spans array<array<long>>")
