@@ -120,6 +120,31 @@ def q_history_page(spark, sf_dir):
     return lookup.schedule_a_history(flat, LOOKUP_CANDIDATE, cycles=[1996, 1998], limit=20, page=2, tie_breaker=ties)
 
 
+from ..operators import history_pages  # noqa: E402
+from ..operators.name_index import NameIndex  # noqa: E402
+
+
+def q_history_by_key(spark, sf_dir):
+    """Page 3 (10 rows) of a candidate's receipts by page tokens, over
+    receipts clustered for it."""
+    folder = standins.shared_folder(spark, "history") + "/receipts"
+    key = F.concat_ws("-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("committee_id").cast("string"), "contributor_name")
+    history_pages.write_history(standins.receipts(spark, sf_dir).withColumn("sub_id", key), folder)
+    stored, token = history_pages.read_history(spark, folder), None
+    for _ in range(2):
+        rows, token = history_pages.page(stored, LOOKUP_CANDIDATE, token, limit=10)
+        if token is None:
+            return stored.where("false")
+    return history_pages.history_from(stored, LOOKUP_CANDIDATE, token, limit=10)
+
+
+def q_name_index_search(spark, sf_dir):
+    """C4/F8/O1/O2: the name search by the stored gram index, first 50."""
+    index = NameIndex(spark, standins.shared_folder(spark, "name-index"), buckets=16)
+    index.build(standins.published(spark, _part_dim(spark, sf_dir), "candidate_dim"))
+    return index.search(SEARCH_NAME, limit=50)
+
+
 def q_top_lookup(spark, sf_dir):
     """Top contributors of one candidate, latest cycle first."""
     top = facts.top_contributors(standins.receipts(spark, sf_dir, candidate="nation"))
@@ -154,6 +179,8 @@ def q_cycle_union(spark, sf_dir):
 QUERIES.update({
     "candidate_summary_lookup": q_candidate_summary_lookup,
     "history_page": q_history_page,
+    "history_by_key": q_history_by_key,
+    "name_index_search": q_name_index_search,
     "top_lookup": q_top_lookup,
     "candidate_search": q_candidate_search,
     "name_parts": q_name_parts,

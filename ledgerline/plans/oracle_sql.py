@@ -225,6 +225,26 @@ SELECT candidate_id, candidate_name, candidate_office, recipient_committee_type,
 FROM flat GROUP BY ALL
 """
 
+# the summary of the flat receipts, which the receipts job publishes
+_CENTS = "CAST(contribution_receipt_amount AS DECIMAL(18,2))"
+SQL["receipts_job"] = f"""
+WITH {_CANDIDATE_DIM_CTES}, {_COMMITTEE_DIM_CTES}, {_LINKS_CTES},
+raw AS (
+  SELECT committee_id, CASE WHEN entity_type = 'COM' THEN candidate_id END AS candidate_id, entity_type, two_year_transaction_period, contribution_receipt_amount FROM ({_RECEIPTS})),
+flat AS (
+  SELECT coalesce(sa.candidate_id, cc.cand_id) AS candidate_id, sa.two_year_transaction_period AS cycle, entity_type, contribution_receipt_amount
+  FROM raw sa LEFT JOIN cc ON sa.committee_id = cc.cmte_id AND sa.two_year_transaction_period = cc.cycle),
+s AS (
+  SELECT candidate_id, cycle, CAST(SUM({_CENTS}) AS DOUBLE) AS total_receipts,
+       CAST(SUM(CASE WHEN entity_type = 'IND' THEN {_CENTS} ELSE 0 END) AS DOUBLE) AS individual_receipts,
+       CAST(SUM(CASE WHEN entity_type IN ('CCM','COM') THEN {_CENTS} ELSE 0 END) AS DOUBLE) AS committee_receipts,
+       CAST(SUM(CASE WHEN entity_type = 'PTY' THEN {_CENTS} ELSE 0 END) AS DOUBLE) AS party_receipts,
+       COUNT(*) AS transaction_count
+  FROM flat WHERE candidate_id IS NOT NULL GROUP BY ALL)
+SELECT s.candidate_id, s.cycle, d.display_name, total_receipts, individual_receipts, committee_receipts, party_receipts, transaction_count
+FROM s LEFT JOIN cdim d ON s.candidate_id = d.cand_id AND s.cycle = d.cycle
+"""
+
 _SUMMARY_SQL = f"""
   SELECT candidate_id, two_year_transaction_period AS cycle,
        CAST(SUM(CAST(contribution_receipt_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_receipts,
@@ -251,6 +271,13 @@ ORDER BY contribution_receipt_date DESC NULLS FIRST, candidate_id, committee_id,
 LIMIT 20 OFFSET 20
 """
 
+# page 3 by keys; the tie-breaker is the query's own
+SQL["history_by_key"] = f"""
+SELECT *, lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-' || CAST(committee_id AS VARCHAR) || '-' || contributor_name AS sub_id
+FROM (SELECT * EXCLUDE (nationkey) FROM ({_RECEIPTS})) WHERE candidate_id = 1
+ORDER BY contribution_receipt_date DESC NULLS FIRST, sub_id LIMIT 10 OFFSET 20
+"""
+
 SQL["top_lookup"] = SQL["top_contributors"].replace(
     ") WHERE rk <= 20",
     ") WHERE rk <= 20 AND candidate_id = 1\nORDER BY cycle DESC NULLS FIRST, total_amount DESC NULLS FIRST, "
@@ -266,6 +293,8 @@ ORDER BY cycle DESC NULLS FIRST, display_name ASC NULLS LAST, cand_id ASC NULLS
 LIMIT 50
 """
 
+SQL["name_index_search"] = SQL["candidate_search"]
+
 SQL["name_parts"] = f"""
 WITH pm AS ({_PART_MASTER}), {name_parts_ctes('pm', 'CAND_NAME', 'np')}
 SELECT CAND_ID AS cand_id, CAND_NAME AS display_name, normalized_name, first_name, middle_name, last_name,

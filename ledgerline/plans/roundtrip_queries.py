@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import vocab
 from ..operators import catalog, dims, markets
 from ..operators.analytics_state import AnalyticsState
 from ..sinks.writers import published, shared_folder, write_catalog, write_market_dataset, write_matched_csv
-from ..sources.bulk import committee_candidate_map, load_master, load_schedule_a_raw
+from ..sources.bulk import committee_candidate_map, load_master, load_schedule_a_raw, read_schedule, schedule_b_schema, schedule_e_schema
 from ..sources.markets import read_analytics, read_catalog_csv, read_catalog_json, read_events, read_market_csv
-from . import standins
+from . import pipelines, standins
 from .market_oracle_sql import SQL as MARKET_SQL
 from .market_queries import _json_arrays, _tagged, _utc, latest_columns
 from .oracle_sql import SQL as RECEIPT_SQL
@@ -156,6 +157,48 @@ def _name_pages(spark: SparkSession, folder: str, target: str, fetch: int) -> No
         fs.rename(status.getPath(), path(f"{target}/{fetch}-{status.getPath().getName().removesuffix('.txt')}.json"))
 
 
+def _in_columns(rows: DataFrame, columns) -> DataFrame:
+    """``rows`` in the order of ``columns``, with what it has none of empty."""
+    return rows.select(*[F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
+def q_receipts_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole receipts job over landed files, those
+    of Schedule A without a header file; the summary as SQL over the views of
+    the published tables sees it."""
+    raw, warehouse = shared_folder(spark, "raw"), shared_folder(spark, "warehouse")
+    totals = published(spark, standins.committee_candidate_totals(spark, sf_dir), "committee_candidate_totals")
+    for table, rows in (("candidate_master", standins.candidate_master(spark, sf_dir).drop("o_orderkey")),
+                        ("committee_master", standins.committee_master(spark, sf_dir, totals)), ("candidate_committee_linkage", standins.candidate_links(spark, sf_dir, totals))):
+        _land(rows, f"{raw}/{table}", table, f"{table}_header_file.csv", f"{table}_manifest.csv")
+    receipts = standins.raw_receipts(spark, sf_dir)
+    lines = _in_columns(receipts, vocab.SCHEDULE_A_DEFAULT_COLUMNS).withColumn("cycle", F.col("two_year_transaction_period").cast("int"))
+    cycles = _land(lines, f"{raw}/schedule_a", "itcont", "no_header_here")
+    pipelines.run_receipts(spark, pipelines.ReceiptsConfig(raw_root=raw, warehouse_root=warehouse, cycles=cycles, schedule_a_dir=f"{raw}/schedule_a"))
+    pipelines.register_lookup_views(spark, warehouse)
+    return spark.sql("""
+        SELECT CAST(s.candidate_id AS BIGINT) AS candidate_id, s.cycle, c.display_name, s.total_receipts, s.individual_receipts, s.committee_receipts,
+               s.party_receipts, s.transaction_count
+        FROM candidate_cycle_summary s LEFT JOIN candidate c ON s.candidate_id = c.cand_id AND s.cycle = c.cycle""")
+
+
+def q_schedule_be_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: Schedule B and E files without header files, by their default columns."""
+    root = shared_folder(spark, "schedules")
+    li = standins.table(spark, sf_dir, "lineitem")
+    sub_id = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    amount, day = F.col("l_extendedprice").cast("decimal(18,2)"), F.date_format("l_shipdate", "yyyy-MM-dd")
+    found = []
+    for letter, schema, party, date, money in (("b", schedule_b_schema(spark), "recipient_name", "disbursement_date", "disbursement_amount"),
+                                                ("e", schedule_e_schema(spark), "payee_name", "expenditure_date", "expenditure_amount")):
+        rows = li.select(F.col("l_suppkey").alias("committee_id"), F.concat(F.lit('the "'), F.col("l_partkey").cast("string")).alias(party), day.alias(date), amount.alias(money), sub_id.alias("sub_id"))
+        cells = _in_columns(rows, schema.names)
+        cells.select(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in cells.columns]).alias("value")).write.text(f"{root}/{letter}")
+        back = read_schedule(spark, f"{root}/{letter}", schema)
+        found.append(back.select(F.lit(letter).alias("schedule"), "committee_id", F.col(party).alias("party"), F.col(date).alias("date"), F.col(money).alias("amount"), "sub_id", F.lit(len(back.columns)).alias("n_columns")))
+    return found[0].unionByName(found[1])
+
+
 def _market_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows whose cells hold quotes, commas, line breaks, backslashes,
     outer spaces and lists, from every turn of every conversation."""
@@ -215,6 +258,8 @@ QUERIES = {
     "analytics_merge": _utc(q_analytics_merge),
     "bulk_roundtrip": q_bulk_roundtrip,
     "masters_roundtrip": q_masters_roundtrip,
+    "receipts_job": q_receipts_job,
+    "schedule_be_scan": q_schedule_be_scan,
     "committee_map_file": q_committee_map_file,
     "catalog_roundtrip": _utc(q_catalog_roundtrip),
     "schedule_a_scan": q_schedule_a_scan,
@@ -229,6 +274,12 @@ SQL = {
     "analytics_merge": MARKET_SQL["analytics_latest"],
     "bulk_roundtrip": RECEIPT_SQL["dim_dedup"],
     "masters_roundtrip": RECEIPT_SQL["committee_roles"],
+    "receipts_job": RECEIPT_SQL["receipts_job"],
+    "schedule_be_scan": """
+SELECT schedule, CAST(l_suppkey AS VARCHAR) AS committee_id, 'the "' || CAST(l_partkey AS VARCHAR) AS party, strftime(l_shipdate, '%Y-%m-%d') AS date,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS amount, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS sub_id, n_columns
+FROM lineitem, (VALUES ('b', 30), ('e', 26)) AS s(schedule, n_columns)
+""",
     "committee_map_file": """
 SELECT 'C' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS committee_id, 'P' || CAST(o_custkey AS VARCHAR) AS candidate_id FROM orders
 """,
