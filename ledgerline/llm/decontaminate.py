@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import column
+
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of a lower-cased text
 IN_GAP = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"  # of any text
 CANDIDATES = "id long, text_hash long, at int, width int, item string, gram string"
@@ -92,7 +94,7 @@ def with_hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, ite
     """(_row, _words, _hits): every document with its normalised words and
     its verified hits (at, width, item), null where it has no candidate."""
     key = F.col(id_col).cast("long")
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), key.alias("_id"), F.xxhash64(key, F.col(text_col)).alias("_hash"))
+    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("_row"), key.alias("_id"), F.xxhash64(key, F.col(text_col)).alias("_hash"))
     found = candidates(docs, items, id_col, text_col, item_col, item_text_col, window, max_broadcast_bytes)
     found = found.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "width", "item", "gram"))).alias("found"))
     joined = rows.join(found, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash")), "left")

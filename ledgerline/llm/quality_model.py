@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .store import column
 
 U = np.uint64
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -141,7 +142,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
 
     others = [c for c in passing if c != text_col]  # the text itself travels once
     place = [1 if c == text_col else 2 + others.index(c) for c in passing]
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(others)])
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"), *[column(c).alias(f"o{i}") for i, c in enumerate(others)])
     schema = "id long, score double" + "".join(f", c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(passing))
     names = ["id", "score", *[f"c{i}" for i in range(len(passing))]]
     return rows.mapInArrow(tokens.tidy(run), schema)

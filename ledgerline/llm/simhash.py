@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .store import written
+from .store import column, written
 
 U = np.uint64
 LANES = U(0x0101010101010101)
@@ -301,8 +301,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     led = groups.where(F.col("id").eqNullSafe(F.col("component")))
     first = written(led.groupBy("root").agg(F.min(F.struct("rid", "id")).alias("lead")).select("lead.*").distinct(), "first-of-component")
     names = docs.columns
-    others = [F.col(c).alias(f"c{i}") for i, c in enumerate(names) if c != text_col]
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_hash(id_col, text_col).alias("_rid"), F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"),
+    others = [column(c).alias(f"c{i}") for i, c in enumerate(names) if c != text_col]
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), row_hash(id_col, text_col).alias("_rid"), F.struct(*[column(c).alias(f"c{i}") for i, c in enumerate(names)]).alias("_row"),
                        F.to_json(F.struct(*others)).alias("_order"))
     # of repeated rows one, cut down before the shuffle
     one = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_rid").orderBy("_order"))).where("_n = 1")

@@ -10,11 +10,17 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.common import estimated_bytes
 from ..session import ensure_checkpoint_dir
 
 
+def column(name: str):
+    """A column by its exact name, which may hold dots and backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name in the shared folder, deleted with the session."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .store import shard_count
+from .store import column, shard_count
 
 U = np.uint64
 LAST = np.iinfo(np.int64).max  # stands for a null id
@@ -351,6 +351,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             new = pc.if_else(was_null, pa.scalar(None, pa.string()), raw)
             yield pa.record_batch([new if c == text_col else batch.column(2 + others.index(c)) for c in names], names=names)
 
-    joined = with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    joined = with_spans(docs, repeated_spans(docs, id_col, text_col, window, anchor), id_col, text_col, [column(c).alias(f"_c{i}") for i, c in enumerate(others)])
     ordered = joined.select("_text", "_spans", *[f"_c{i}" for i in range(len(others))])
     return ordered.mapInArrow(tokens.tidy(run), docs.schema)

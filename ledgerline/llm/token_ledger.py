@@ -28,7 +28,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .decontaminate import GAP, lower_ascii
 
 GROUP = ["source", "lang", "tokenizer"]
 SIGNED = "doc_id long, source string, lang string, tokenizer string, d_docs long, d_tokens long"
@@ -79,6 +78,7 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, folder: str, counters: Mapping[str, Callable[[Column], Column]] = COUNTERS):
         self.spark, self.folder, self.counters = spark, folder.rstrip("/"), dict(counters)
+        self._known: dict[int, str] = {}
 
     def _fs(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
@@ -87,17 +87,32 @@ class Ledger:
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
 
+    def _log(self) -> dict[int, str]:
+        """The commits by number, each with its batch. A commit file is never
+        changed, so each is read once."""
+        fs, at = self._fs(), self._path("commits")
+        for status in fs.listStatus(at) if fs.exists(at) else []:
+            number = int(status.getPath().getName())
+            if number not in self._known:
+                stream = fs.open(status.getPath())
+                try:
+                    self._known[number] = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                finally:
+                    stream.close()
+        return self._known
+
     def committed(self) -> list[str]:
         """Ids of the committed batches that no compaction has taken up."""
-        fs, at = self._fs(), self._path("commits")
-        if not fs.exists(at):
-            return []
-        names = {s.getPath().getName() for s in fs.listStatus(at)}
+        fs, names = self._fs(), set(self._log().values())
         folded = {s.getPath().getName() for s in fs.listStatus(self._path("folded"))} if fs.exists(self._path("folded")) else set()
         return sorted(names - {n.rpartition("@")[0] for n in folded if n.rpartition("@")[2] in names})
 
     def is_committed(self, batch: str) -> bool:
-        return self._fs().exists(self._path("commits", batch))
+        return batch in self._log().values()
+
+    def sequence(self) -> int:
+        """Number of the last commit: what signed rows are worked out from."""
+        return max(self._log(), default=0)
 
     def _read(self, kind: str, schema: str) -> DataFrame:
         paths = [f"{self.folder}/{kind}/{b}" for b in self.committed()]
@@ -136,26 +151,44 @@ class Ledger:
         """Make ``changes`` part of the ledger; False if the batch already is."""
         if "@" in batch or "/" in batch or not batch:
             raise ValueError("a batch id is a file name without @")
-        if self.is_committed(batch):
-            return False
-        self._write(batch, self.signed(changes))
-        return True
-
-    def _write(self, batch: str, signed: DataFrame) -> None:
+        while not self.is_committed(batch):
+            base = self.sequence()
+            if self._write(batch, self.signed(changes), base):
+                return True
+        return False
+
+    def _write(self, batch: str, signed: DataFrame, base: int) -> bool:
+        """Commits rows that were worked out after commit ``base``; False, and
+        no change, if another commit came between: the rows may take back what
+        the ledger no longer holds, and have to be worked out anew."""
         at = f"{self.folder}/documents/{batch}"
         signed.write.mode("overwrite").parquet(at)
         rows = self.spark.read.schema(SIGNED).parquet(at)
         rows.groupBy(*GROUP).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens")).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/totals/{batch}")
-        self._fs().create(self._path("commits", batch), False).close()
+        fs, log = self._fs(), self._path("commits", f"{base + 1:010d}")
+        if self.sequence() != base:
+            return False
+        try:
+            stream = fs.create(log, False)
+        except Exception:
+            if fs.exists(log):
+                return False
+            raise
+        try:
+            stream.write(bytearray(batch.encode()))
+        finally:
+            stream.close()
+        return True
 
     def compact(self, batch: str) -> None:
         """Fold all committed batches into one. Readers see either the old
         batches or the new one: a batch counts as folded only when the marker
         of what took it up exists."""
-        old = self.committed()
+        base, old = self.sequence(), self.committed()
         if self.is_committed(batch) or not old:
             return
         rows = self.documents().select("doc_id", *GROUP, F.col("n_docs").alias("d_docs"), F.col("n_tokens").alias("d_tokens"))
         for name in old:
             self._fs().create(self._path("folded", f"{name}@{batch}"), True).close()
-        self._write(batch, rows)
+        if not self._write(batch, rows, base):
+            raise RuntimeError("a batch was committed meanwhile; compact again")

@@ -31,7 +31,6 @@ import json
 import struct
 import uuid
 import zipfile
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -231,19 +230,31 @@ class Package:
             raise ValueError("no local header")
         return m.header + 30 + sum(struct.unpack_from("<HH", raw, 26))
 
+    def index_lines(self, name: str) -> Iterator[dict]:
+        """Entries of a CDXJ index member, which may be gzipped, or start with
+        lines about itself."""
+        raw = self.read(self.place(name), self.members[name].size)
+        if name.endswith(".gz"):
+            raw = gzip.decompress(raw)
+        for line in raw.splitlines():
+            if b"{" in line and not line.startswith((b"!", b"#")):
+                entry = json.loads(line[line.index(b"{"):])
+                if "filename" in entry:
+                    # the common writers put numbers as text
+                    yield {"filename": entry["filename"], "offset": int(entry["offset"]), "length": int(entry["length"])}
+
     def records(self) -> Iterator[tuple[dict[str, str], bytes]]:
         """All records of the index members, each by its own range."""
         for name in sorted(self.members):
-            if not name.startswith("indexes/"):
+            if not name.startswith("indexes/") or not name.endswith((".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz")):
                 continue
             starts: dict[str, int] = {}
-            for line in self.read(self.place(name), self.members[name].size).splitlines():
-                entry = json.loads(line[line.index(b"{"):])
-                member = "archive/" + entry["filename"]
+            for entry in self.index_lines(name):
+                member = entry["filename"] if entry["filename"] in self.members else "archive/" + entry["filename"]
                 if member not in starts:
                     starts[member] = self.place(member)
                 raw = self.read(starts[member] + entry["offset"], entry["length"])
-                yield parse_record(zlib.decompress(raw, 31) if member.endswith(".gz") else raw)
+                yield parse_record(gzip.decompress(raw) if member.endswith(".gz") else raw)
 
 
 def read_packages(paths: DataFrame, folder: str) -> DataFrame:

@@ -31,6 +31,6 @@ def clashing(df):
     """Extra columns whose names the operators use inside or return."""
     from pyspark.sql import functions as F
 
-    for name in ("id", "fp", "rid", "spans", "words", "score", "kept", "shard", "component", "_id", "_text", "_spans", "key", "host", "n_words", "value", "text_hash", "hits"):
+    for name in ("id", "fp", "rid", "spans", "words", "score", "kept", "shard", "component", "_id", "_text", "_spans", "key", "host", "n_words", "value", "text_hash", "hits", "m.k", "a`b"):
         df = df.withColumn(name, F.lit(f"extra {name}"))
     return df

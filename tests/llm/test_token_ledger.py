@@ -64,7 +64,7 @@ def test_a_broken_off_batch_is_written_anew(spark, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(ledger, "_fs", fail)
         with pytest.raises(OSError):
-            ledger._write("b1", first.select("doc_id", "source", "lang", "tokenizer", F.lit(1).cast("long").alias("d_docs"), F.lit(9).cast("long").alias("d_tokens")))
+            ledger._write("b1", first.select("doc_id", "source", "lang", "tokenizer", F.lit(1).cast("long").alias("d_docs"), F.lit(9).cast("long").alias("d_tokens")), ledger.sequence())
     assert totals(ledger) == {}
     assert ledger.commit("b1", first) and totals(ledger) == {("s", "en", "words-1"): (1, 2)}
 
@@ -88,3 +88,21 @@ def test_byte_pair_counts(spark):
     rows = [(i, t) for i, t, *_ in llm_cases.documents()[:40]] + [(900, None), (901, "")]
     got = {r.doc_id: r.n for r in spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", count("text").alias("n")).collect()}
     assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) if t else 0 for i, t in rows}
+
+
+def test_overlapping_commits(spark):
+    """A revision and a deletion of one document, both worked out after the
+    first batch: the second to be written is worked out anew."""
+    folder = new_folder(spark, "ledger")
+    row = lambda op, seq, text: [(op, seq, 7, text, "s", "en", "words-1")]
+    one, two = token_ledger.Ledger(spark, folder), token_ledger.Ledger(spark, folder)
+    feed = lambda rows: spark.createDataFrame(rows, FEED)
+    one.commit("b1", feed(row("insert", 1, "a b c")))
+    base = two.sequence()
+    revised = two.signed(feed(row("revise", 2, "a b c d e")))
+    assert one.commit("b2", feed(row("delete", 2, None)))
+    assert not two._write("b3", revised, base)
+    assert totals(two) == {} and not two.is_committed("b3")
+    assert two.commit("b3", feed(row("revise", 3, "a b c d e")))
+    assert totals(one) == {("s", "en", "words-1"): (1, 5)} == totals(two)
+    assert one.documents().count() == 1

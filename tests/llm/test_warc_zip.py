@@ -84,3 +84,27 @@ def test_broken_files_are_refused():
             list(warc_zip.Package(io.BytesIO(bad)).records())
     with pytest.raises(ValueError, match="not stored"):
         list(warc_zip.Package(io.BytesIO(package(method=zipfile.ZIP_DEFLATED))).records())
+
+
+def test_packages_of_other_writers(tmp_path):
+    """Gzipped indexes, numbers as text, lines about the index."""
+    import gzip
+    import io
+    import json
+    import zipfile
+
+    body = lambda n: f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/{n}\r\nContent-Length: 5\r\n\r\npage{n}\r\n\r\n".encode()
+    records = [gzip.compress(body(n)) for n in range(3)]
+    lines, at = [b'!meta {"format": "cdxj-gzip-1.0"}'], 0
+    for n, r in enumerate(records):
+        lines.append(b"com,x)/%d 2024 " % n + json.dumps({"url": f"http://x/{n}", "filename": "data.warc.gz", "offset": str(at), "length": str(len(r))}).encode())
+        at += len(r)
+    for name, how, raw in (("indexes/index.cdx.gz", zipfile.ZIP_STORED, gzip.compress(b"\n".join(lines))), ("indexes/index.cdxj", zipfile.ZIP_STORED, b"\n".join(lines))):
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            z.writestr("datapackage.json", "{}")
+            z.writestr(zipfile.ZipInfo("archive/data.warc.gz"), b"".join(records))
+            z.writestr("indexes/index.idx", b"com,x)/0 0 100")
+            z.writestr(name, raw, compress_type=how)
+        found = list(warc_zip.Package(packed).records())
+        assert [f["warc-target-uri"] for f, _ in found] == [f"http://x/{n}" for n in range(3)] and [b for _, b in found] == [b"page%d" % n for n in range(3)]
