@@ -93,8 +93,9 @@ class Pieces:
         """Keys as they are, the rest compressed: bytes of one significance
         together, ids once for each row. A key is cut to 32 bits, which may
         only bring more pieces together."""
-        rows, row = np.unique(np.stack([self.id, self.rid]), axis=1, return_inverse=True)
-        planes = [rows.astype("<i8").ravel(), row.ravel().astype("<u4"), self.start.astype("<i8")]
+        new = np.r_[True, (self.id[1:] != self.id[:-1]) | (self.rid[1:] != self.rid[:-1])]  # in the order of the texts
+        rows = np.stack([self.id[new], self.rid[new]])
+        planes = [rows.astype("<i8").ravel(), (np.cumsum(new) - 1).astype("<u4"), self.start.astype("<i8")]
         parts = [np.ascontiguousarray(p.view(np.uint8).reshape(-1, p.itemsize).T).tobytes() for p in planes]
         parts += [(self.anchor - self.start).astype("<u2").tobytes(), (self.size - window).astype("<u2").tobytes(), self.text.tobytes()]
         body = b"".join(parts)
@@ -230,14 +231,19 @@ def cut(data: np.ndarray, offsets: np.ndarray, base: int, ids: np.ndarray, rids:
 
 
 def _fresh(found: Cut) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the first of equal pieces, and of its later occurrences.
+    """Indexes of the first of equal pieces, in order, and of its later occurrences.
     Copies in the same row of a repeated row are neither."""
-    by = np.lexsort((found.anchor, found.id, found.same))
-    same, id_, anchor = found.same[by], found.id[by], found.anchor[by]
-    new = np.r_[True, same[1:] != same[:-1]]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    by = np.argsort(found.same, kind="quicksort")
+    alike = found.same[by][1:] == found.same[by][:-1]
+    company = np.zeros(len(by), bool)
+    company[by[1:][alike]] = company[by[:-1][alike]] = True
+    few = np.flatnonzero(company)
+    few = few[np.lexsort((found.anchor[few], found.id[few], found.same[few]))]
+    same, id_, anchor = found.same[few], found.id[few], found.anchor[few]
+    new = np.r_[True, same[1:] != same[:-1]][:len(few)]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(few)), 0))
     later = (id_ != id_[head]) | (anchor != anchor[head])
-    return by[new], by[later]
+    return np.sort(np.r_[np.flatnonzero(~company), few[new]]), few[later]
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], how: Keying) -> Iterator[Cut]:
@@ -532,8 +538,9 @@ def narrowed(pieces: Pieces, window: int) -> Pieces | None:
 def later_windows(pieces: Pieces, window: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(piece, place in it) of every window that an earlier piece has. The
     pieces are in the order of (key, id, anchor)."""
-    _, order = np.unique(np.stack([pieces.id, pieces.anchor]), axis=1, return_inverse=True)
-    order = order.ravel()
+    by = np.lexsort((pieces.anchor, pieces.id))
+    order = np.zeros(len(by), np.int64)
+    order[by] = np.cumsum(np.r_[False, (pieces.id[by][1:] != pieces.id[by][:-1]) | (pieces.anchor[by][1:] != pieces.anchor[by][:-1])])
     out: list[tuple[np.ndarray, np.ndarray]] = []
     reference = np.r_[True, pieces.key[1:] != pieces.key[:-1]]
     numbers = np.arange(len(order))
@@ -662,8 +669,11 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(packed, pa.binary())], names=["id", "rid", "size", "packed"])
 
 
+_unpacking = pa.Codec("zstd")
+
+
 def _text(size: int | None, packed: bytes | None) -> bytes | None:
-    return None if packed is None else pa.Codec("zstd").decompress(packed, decompressed_size=size, asbytes=True)
+    return None if packed is None else _unpacking.decompress(packed, decompressed_size=size, asbytes=True)
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
