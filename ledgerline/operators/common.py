@@ -33,6 +33,12 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
+    """Whether a side's scaled size estimate is within the limit."""
+    size = estimated_bytes(df)
+    return size is not None and size * DECODE_EXPANSION <= (DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes)
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFrame:
     """Broadcast hint only for a side whose scaled size estimate is within
     the limit.
@@ -42,11 +48,9 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int | None = None) -> DataFra
     larger side, or one whose size is unknown, is left to the planner
     (sort-merge join; AQE re-plans with runtime statistics and splits skewed
     partitions)."""
-    limit = DEFAULT_BROADCAST_LIMIT if limit_bytes is None else limit_bytes
-    size = estimated_bytes(df)
-    if size is not None and size * DECODE_EXPANSION <= limit:
+    if fits_broadcast(df, limit_bytes):
         return F.broadcast(df)
-    LOGGER.info("not broadcasting side of ~%s bytes (limit %s)", size, limit)
+    LOGGER.info("not broadcasting side of ~%s bytes (limit %s)", estimated_bytes(df), limit_bytes)
     return df
 
 
