@@ -31,6 +31,7 @@ import json
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import new_folder
+from .tokens import tidy
 
 DATE = "2024-01-01T00:00:00Z"  # records carry no clock, so that a repeated task writes the same bytes
 MEMBER_BYTES = 256 << 20
@@ -142,7 +144,7 @@ def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
             done.append(writer.close())
         yield pa.record_batch([pa.array(done, pa.string())], names=["path"])
 
-    return folder, linked.select("id", "url", "payload", "sha", refers.alias("refers_to")).mapInArrow(run, "path string")
+    return folder, linked.select("id", "url", "payload", "sha", refers.alias("refers_to")).mapInArrow(tidy(run), "path string")
 
 
 # --- reading -----------------------------------------------------------------
@@ -254,7 +256,7 @@ class Package:
                 if member not in starts:
                     starts[member] = self.place(member)
                 raw = self.read(starts[member] + entry["offset"], entry["length"])
-                yield parse_record(gzip.decompress(raw) if member.endswith(".gz") else raw)
+                yield parse_record(zlib.decompress(raw, 31) if member.endswith(".gz") else raw)
 
 
 def read_packages(paths: DataFrame, folder: str) -> DataFrame:
@@ -283,4 +285,4 @@ def read_packages(paths: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.record_batch(list(map(pa.array, zip(*rows), kinds.types)), schema=kinds)
 
-    return paths.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
+    return paths.mapInArrow(tidy(run), "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
