@@ -591,3 +591,44 @@ LINKAGE_COLUMNS = (
     ("CMTE_TP", "committee_type_code"), ("CMTE_DSGN", "designation_code"),
 )
 NAME_PART_COLUMNS = ("first_name", "middle_name", "last_name", "prefix", "suffix")
+
+# --- fixed column lists of the receipts warehouse ---
+
+# receipt column <- dimension column, when the receipt's own value is NULL
+CANDIDATE_BACKFILL = (
+    ("candidate_name", "display_name"),
+    ("candidate_first_name", "first_name"),
+    ("candidate_last_name", "last_name"),
+    ("candidate_middle_name", "middle_name"),
+    ("candidate_prefix", "prefix"),
+    ("candidate_suffix", "suffix"),
+    ("candidate_office", "office"),
+    ("candidate_office_state", "state"),
+    ("candidate_office_district", "district"),
+)
+
+COMMITTEE_BACKFILL = (
+    ("recipient_committee_type", "committee_type"),
+    ("recipient_committee_org_type", "org_type"),
+    ("recipient_committee_designation", "designation"),
+)
+
+# canonical columns the flat-receipt job reads; absent ones are added as NULL (Q3)
+REQUIRED_RECEIPT_COLUMNS = (
+    "committee_id", "candidate_id", "entity_type", "contributor_name",
+    "contribution_receipt_amount", "contribution_receipt_date", "report_year", "report_type",
+    "recipient_committee_type", "recipient_committee_org_type", "recipient_committee_designation",
+    "candidate_name", "candidate_first_name", "candidate_last_name", "candidate_middle_name",
+    "candidate_prefix", "candidate_suffix", "candidate_office", "candidate_office_state",
+    "candidate_office_district", "sub_id",
+)
+
+WAREHOUSE_TABLES = (
+    "candidate_dim",
+    "committee_dim",
+    "candidate_committees",
+    "candidate_cycle_summary",
+    "candidate_committee_details",
+    "top_contributors",
+    "schedule_a_flat",
+)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.common import is_missing_path
+from ..functions.vocab import WAREHOUSE_TABLES
 from ..session import ensure_checkpoint_dir
 from .database import load_table
 
@@ -26,16 +27,6 @@ LOGGER = logging.getLogger("ledgerline.sinks")
 # reader with the same options gets every cell back.
 CSV_CELLS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
-WAREHOUSE_TABLES = (
-    "candidate_dim",
-    "committee_dim",
-    "candidate_committees",
-    "candidate_cycle_summary",
-    "candidate_committee_details",
-    "top_contributors",
-    "schedule_a_flat",
-)
-
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, dynamic: bool = False) -> None:
     """K1: overwrite a Parquet table, optionally partitioned by one column.
