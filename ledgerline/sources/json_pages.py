@@ -242,9 +242,16 @@ def page_entries(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     states = ranges.mapInArrow(_summaries, SUMMARY).groupBy("file").applyInArrow(_states, STATE)
     # one row for each byte range of the scan, whatever its size
     states = published(spark, states, "page-ranges").select(F.col("file").alias("s_file"), F.col("start").alias("s_start"), "in_string", "depth", "array", "offset", "size")
-    begun = ranges.join(F.broadcast(states), (F.col("file") == F.col("s_file")) & (F.col("start") == F.col("s_start"))).drop("s_file", "s_start")
-    cut = begun.mapInArrow(_entries, CUT)
-    fragments = cut.where("NOT whole").groupBy("file").applyInArrow(_whole, CUT)
-    parsed = cut.where("whole").unionAll(fragments).select(
+
+    def cut(states: DataFrame) -> DataFrame:
+        begun = ranges.join(F.broadcast(states), (F.col("file") == F.col("s_file")) & (F.col("start") == F.col("s_start"))).drop("s_file", "s_start")
+        return begun.mapInArrow(_entries, CUT)
+
+    entries = cut(states).where("whole")
+    # only a border between ranges leaves fragments: pages of one range are read once
+    dealt_out = states.join(states.where("s_start > 0").select("s_file").distinct(), "s_file", "left_semi")
+    if not dealt_out.isEmpty():
+        entries = entries.unionAll(cut(dealt_out).where("NOT whole").groupBy("file").applyInArrow(_whole, CUT))
+    parsed = entries.select(
         F.element_at(F.split("file", "/"), -1).alias("file"), "at", F.from_json("entry", schema, {"mode": "FAILFAST"}).alias("entry"))
     return parsed.select("file", "at", "entry.*")
