@@ -36,6 +36,7 @@ QUERIES = {
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from ..functions import vocab  # noqa: E402
 from ..operators import dims, lookup, receipts as receipts_op  # noqa: E402
 from ..operators.common import union_all  # noqa: E402
 
@@ -44,24 +45,25 @@ def _candidate_dim(spark, sf_dir):
     return dims.build_candidate_dim(standins.candidate_master(spark, sf_dir))
 
 
-def _committee_dim(spark, sf_dir, totals=None):
-    return dims.build_committee_dim(standins.committee_master(spark, sf_dir, totals))
+def _committee_dim(spark, sf_dir, cycles=None):
+    return dims.build_committee_dim(standins.committee_master(spark, sf_dir, cycles))
 
 
-def _candidate_committees(spark, sf_dir, totals=None, committee_dim=None):
-    cdim = committee_dim if committee_dim is not None else _committee_dim(spark, sf_dir, totals)
-    return dims.build_candidate_committees(standins.candidate_links(spark, sf_dir, totals), cdim)
+def _candidate_committees(spark, sf_dir, cycles=None, committee_dim=None):
+    cdim = committee_dim if committee_dim is not None else _committee_dim(spark, sf_dir, cycles)
+    return dims.build_candidate_committees(standins.candidate_links(spark, sf_dir, cycles), cdim)
 
 
-def _flat(spark, sf_dir):
+def _flat(spark, sf_dir, columns=None):
     # dimensions are published first, as in the receipts job; the receipts
     # aggregate both link and committee stand-ins derive from is published once
     pub = standins.published
-    totals = pub(spark, standins.committee_candidate_totals(spark, sf_dir), "committee_candidate_totals")
-    committee_dim = pub(spark, _committee_dim(spark, sf_dir, totals), "committee_dim")
+    cycles = pub(spark, standins.committee_cycles(spark, sf_dir), "committee_cycles")
+    committee_dim = pub(spark, _committee_dim(spark, sf_dir, cycles), "committee_dim")
+    raw = standins.raw_receipts(spark, sf_dir)
     return receipts_op.build_schedule_a_flat(
-        standins.raw_receipts(spark, sf_dir),
-        pub(spark, _candidate_committees(spark, sf_dir, totals, committee_dim), "candidate_committees"),
+        raw.select(*columns) if columns else raw,
+        pub(spark, _candidate_committees(spark, sf_dir, cycles, committee_dim), "candidate_committees"),
         pub(spark, _candidate_dim(spark, sf_dir), "candidate_dim"),
         committee_dim,
     )
@@ -79,7 +81,11 @@ def q_committee_roles(spark, sf_dir):
 
 def q_receipts_flat(spark, sf_dir):
     """Flat receipts, summarised per back-filled attributes."""
-    flat = _flat(spark, sf_dir)
+    # columns that the summary has no use for would be carried through the
+    # written join of large dimensions, where they can't be pruned
+    joined_by = ["committee_id", "candidate_id", "two_year_transaction_period", "contribution_receipt_amount"]
+    backfilled = [c for c, _ in (*vocab.CANDIDATE_BACKFILL, *vocab.COMMITTEE_BACKFILL)]
+    flat = _flat(spark, sf_dir, joined_by + backfilled)
     return flat.groupBy(
         "candidate_id", "candidate_name", "candidate_office", "recipient_committee_type",
         "recipient_committee_designation", "two_year_transaction_period",
