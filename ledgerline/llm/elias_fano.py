@@ -2,7 +2,7 @@
 
 A strictly or weakly rising sequence of n numbers keeps the low bits of each
 number packed, and its high part in unary: bit ``high + i`` is set for number
-i. Ranks per word of the unary part, and the word of every 64th one and zero,
+i. Ranks per word of the unary part, and the word of every 32nd one and zero,
 make both kinds of select a short walk.
 """
 
@@ -11,11 +11,24 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-STRIDE = 64
+STEP = 5  # select starts from every 32nd one and zero
+ONES, TOPS = U(0x0101010101010101), U(0x8080808080808080)
 _SELECT = np.zeros((256, 8), np.uint8)
 for _byte in range(256):
     _places = [b for b in range(8) if _byte >> b & 1]
     _SELECT[_byte, :len(_places)] = _places
+_SELECT = _SELECT.ravel()
+
+
+def select_in_word(x: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th (from 0) one of each 64-bit word, which has it."""
+    upto = x - ((x >> U(1)) & U(0x5555555555555555))
+    upto = (upto & U(0x3333333333333333)) + ((upto >> U(2)) & U(0x3333333333333333))
+    upto = ((upto + (upto >> U(4))) & U(0x0F0F0F0F0F0F0F0F)) * ONES  # byte i: ones in bytes 0 to i
+    k = k.astype(U)
+    shift = ((((((k * ONES) | TOPS) - upto) & TOPS) >> U(7)) * ONES >> U(56)) << U(3)  # 8 x bytes with at most k ones so far
+    k -= ((upto << U(8)) >> shift) & U(255)
+    return (shift + _SELECT[(((x >> shift) & U(255)) << U(3)) | k]).astype(np.int64)
 
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -40,7 +53,7 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     rank = np.zeros(len(upper) + 1, np.int64)
     np.cumsum(np.bitwise_count(upper), out=rank[1:])
     zeros = np.arange(len(rank)) * 64 - rank
-    hint = lambda r, total: (np.searchsorted(r, np.arange(0, total + 1, STRIDE), "right") - 1).astype(np.uint32)
+    hint = lambda r, total: np.r_[np.searchsorted(r, np.arange(0, total + 1, 1 << STEP), "right") - 1, len(upper) - 1].astype(np.uint32)
     return {"head": np.array([n, bits, last], np.int64), "low": packed, "upper": upper, "rank": rank.astype(np.uint32 if n < 2**32 else np.int64),
             "ones": hint(rank, n), "zeros": hint(zeros, int(zeros[-1]))}
 
@@ -54,19 +67,32 @@ class EliasFano:
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Place of the k-th (from 0) one or zero of the unary part."""
         before = (lambda w: self.rank[w].astype(np.int64)) if ones else (lambda w: 64 * w - self.rank[w].astype(np.int64))
-        word = self.hints[ones][k // STRIDE].astype(np.int64)
-        open_ = np.arange(len(k))
-        while len(open_):
-            open_ = open_[before(word[open_] + 1) <= k[open_]]
-            word[open_] += 1
-        rest = k - before(word)
+        hints, step = self.hints[ones], k >> STEP
+        word = hints[step].astype(np.int64)
+        on = np.flatnonzero(before(word + 1) <= k)
+        if len(on):
+            a, b, want = word[on] + 1, hints[step[on] + 1].astype(np.int64), k[on]
+            word[on] = a
+            open_ = np.flatnonzero(a < b)
+            while len(open_):
+                on, a, b, want = on[open_], a[open_], b[open_], want[open_]
+                mid = (a + b + 1) >> 1
+                there = before(mid) <= want
+                a, b = np.where(there, mid, a), np.where(there, b, mid - 1)
+                word[on] = a
+                open_ = np.flatnonzero(a < b)
         raw = self.upper[word] if ones else ~self.upper[word]
-        parts = raw.view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-        byte = (upto <= rest[:, None]).sum(1)
-        row = np.arange(len(k))
-        rest = rest - np.where(byte > 0, upto[row, np.maximum(byte - 1, 0)], 0)
-        return word * 64 + byte * 8 + _SELECT[parts[row, byte], rest]
+        return word * 64 + select_in_word(raw, k - before(word))
+
+    def _next(self, place: np.ndarray, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Place of the k-th one or zero, the first of its kind from ``place`` on."""
+        word = place >> 6
+        raw = (self.upper[word] if ones else ~self.upper[word]) >> (place & 63).astype(U)
+        out = place + np.bitwise_count((raw & (~raw + U(1))) - U(1))
+        far = np.flatnonzero(raw == 0)
+        if len(far):
+            out[far] = self._select(k[far], ones)
+        return out
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -81,6 +107,12 @@ class EliasFano:
         i = np.asarray(i, np.int64)
         return ((self._select(i, True) - i) << self.bits) | self._low(i)
 
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at positions ``i`` and ``i + 1``."""
+        place = self._select(i, True)
+        after = self._next(place + 1, i + 1, True)
+        return ((place - i) << self.bits) | self._low(i), ((after - i - 1) << self.bits) | self._low(i + 1)
+
     def find(self, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Position of ``x`` among positions lo to hi, or -1: the successor of
         x there, if it is x. Numbers with x's high part lie between two zeros
@@ -91,8 +123,8 @@ class EliasFano:
         if not len(live):
             return out
         high, low = x[live] >> self.bits, x[live] & ((1 << self.bits) - 1)
-        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) - high + 1, 0)
-        a, end = np.maximum(begin, lo[live]), np.minimum(self._select(high, False) - high, hi[live])
+        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) + 1, 0)
+        a, end = np.maximum(begin - high, lo[live]), np.minimum(self._next(begin, high, False) - high, hi[live])
         b = end.copy()
         while (on := np.flatnonzero(a < b)).size:
             mid = (a[on] + b[on]) >> 1

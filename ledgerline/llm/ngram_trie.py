@@ -11,12 +11,12 @@ in one task. Trigrams are counted only where both bigrams in them are kept.
 Nothing passes through the driver but a few numbers per reducer.
 
 The trie lies in files of the shared folder, one set per reducer. A reducer
-holds the bigrams (u, v) of its share: the words u that have any, monotone
-pointers to the ranges of their successors v, the successors, made monotone
+holds the bigrams (u, v) of its share: the words u that have any (four bytes
+each), monotone pointers to the ranges of their successors v, the successors, made monotone
 over all ranges; and under each bigram a pointer to its range of third words.
 A third word w is written as its place among the successors of v (place times
 the number of shares, plus the share of (v, w)), so these numbers are small.
-All sequences are Elias-Fano; probabilities and back-off weights are one byte
+These sequences are Elias-Fano; probabilities and back-off weights are one byte
 each, into a table of bin means. Words get dense numbers in hash order.
 
 Scoring: tasks map the files into memory and search in arrays of tokens: first
@@ -51,6 +51,7 @@ U = np.uint64
 END = U(0x9D5B1F3A7C24E680)  # stands for the end token's hash
 BLOCKS = "shard int, block binary"
 HELD = 1_500_000  # n-grams that a map task combines before it sends them
+SLICE_BYTES = 2 << 20  # texts worked on at once: each slice visits every share
 _codec = pa.Codec("zstd", compression_level=1)
 
 
@@ -115,6 +116,18 @@ def blocks_of(table: pa.Table) -> list[bytes]:
     return [b.as_py() for b in table.column("block")]
 
 
+def freeing(write: Callable) -> Callable:
+    """``write``, the function of a share, giving memory back at its end."""
+
+    def task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        try:
+            return write(key, table)
+        finally:
+            tokens.give_back()
+
+    return task
+
+
 # --- files -------------------------------------------------------------------
 
 
@@ -141,14 +154,14 @@ def load(folder: str, name: str) -> dict[str, np.ndarray]:
     system, root = pafs.FileSystem.from_uri(folder)
     path = f"{root}/{name}"
     if isinstance(system, pafs.LocalFileSystem):
-        raw = np.memmap(path, np.uint8, "r")
+        raw = np.asarray(np.memmap(path, np.uint8, "r"))  # plain arrays: a memmap's are slow to index
     else:
         with tempfile.TemporaryFile() as copy:
             with system.open_input_stream(path) as source:
                 while chunk := source.read(1 << 20):
                     copy.write(chunk)
             copy.flush()
-            raw = np.memmap(copy, np.uint8, "r")
+            raw = np.asarray(np.memmap(copy, np.uint8, "r"))
     n = int(raw[:8].view(np.int64)[0])
     at = 8 + -(-n // 8) * 8
     out = {}
@@ -225,6 +238,15 @@ def pair_shard(pair: np.ndarray, shards: int) -> np.ndarray:
     return (tokens.mix(pair) % U(shards)).astype(np.int64)
 
 
+def by_share(share: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each share among those of the places ``at``, and its places in order."""
+    of = share[at]
+    order = np.argsort(of.astype(np.uint16) if len(of) and of.max() < 1 << 16 else of, kind="stable")
+    of = of[order]
+    for part in np.split(order, np.flatnonzero(of[1:] != of[:-1]) + 1) if len(of) else ():
+        yield int(share[at[part[0]]]), at[part]
+
+
 class Words:
     """Numbers and counts of words."""
 
@@ -248,11 +270,13 @@ class Words:
         return out[back]
 
     def _gather(self, arrays: list[np.ndarray], number: np.ndarray, missing) -> np.ndarray:
+        order = np.argsort(number, kind="stable")
+        cut = np.searchsorted(number[order], self.offset)
         out = np.full(len(number), missing, np.float64)
-        share = np.searchsorted(self.offset, number, "right") - 1
         for k, a in enumerate(arrays):
-            here = np.flatnonzero((share == k) & (number >= 0))
-            out[here] = a[number[here] - self.offset[k]]
+            if cut[k] < cut[k + 1]:
+                here = order[cut[k]:cut[k + 1]]
+                out[here] = a[number[here] - self.offset[k]]
         return out
 
     def count(self, number: np.ndarray) -> np.ndarray:
@@ -273,28 +297,25 @@ class Pairs:
 
     def __init__(self, meta: Meta):
         self.meta, self.files = meta, [load(meta.folder, f"pairs-{k}") for k in range(meta.shards)]
-        self.first, self.pointers, self.members = ([sequence(f, p) for f in self.files] for p in ("first", "pointers", "members"))
+        self.pointers, self.members = ([sequence(f, p) for f in self.files] for p in ("pointers", "members"))
 
     def find(self, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(share, place in its level or -1, place in the range) of each of
         some distinct sorted pairs (first << 32 | second)."""
         share = pair_shard(pair, self.meta.shards)
         place, within = np.full(len(pair), -1, np.int64), np.zeros(len(pair), np.int64)
-        order = np.argsort(share, kind="stable")
-        cut = np.searchsorted(share[order], np.arange(self.meta.shards + 1))
-        for k in range(self.meta.shards):
-            at = order[cut[k]:cut[k + 1]]
-            if not len(at) or not self.first[k].n:
+        for k, at in by_share(share, np.arange(len(pair))):
+            first = self.files[k]["first"]
+            if not len(first):
                 continue
-            u, v = (pair[at] >> U(32)).astype(np.int64), (pair[at] & U(0xFFFFFFFF)).astype(np.int64)
+            u, v = (pair[at] >> U(32)).astype(np.int32), (pair[at] & U(0xFFFFFFFF)).astype(np.int64)
             head = np.r_[True, u[1:] != u[:-1]]
-            word, back = u[head], np.cumsum(head) - 1
-            row = self.first[k].find(word, np.zeros(len(word), int), np.full(len(word), self.first[k].n))
-            known = np.flatnonzero(row >= 0)
-            lo, hi, base = (np.zeros(len(word), np.int64) for _ in range(3))
-            lo[known], hi[known], base[known] = range_of(self.pointers[k], self.members[k], row[known])
-            found = self.members[k].find(v + base[back], lo[back], hi[back])
-            place[at], within[at] = found, np.where(found >= 0, found - lo[back], 0)
+            row = np.searchsorted(first, u[head])
+            known = first[np.minimum(row, len(first) - 1)] == u[head]
+            back = np.cumsum(head) - 1
+            here = np.flatnonzero(known[back])
+            found, begin = find_in_ranges(self.pointers[k], self.members[k], row[known], (np.cumsum(known) - 1)[back[here]], v[here])
+            place[at[here]], within[at[here]] = found, np.where(found >= 0, found - begin, 0)
         return share, place, within
 
     def code(self, share: np.ndarray, within: np.ndarray) -> np.ndarray:
@@ -306,22 +327,29 @@ class Pairs:
         return gather(self.files, "alpha", share, place, 0.0)
 
 
-def range_of(pointers: EliasFano, members: EliasFano, row: np.ndarray):
-    """(begin, end, base) of ranges: base is what a member's number is added to."""
-    lo, hi = pointers.access(row), pointers.access(row + 1)
-    base = np.zeros(len(row), np.int64)
-    later = np.flatnonzero((lo > 0) & (lo < hi))
-    base[later] = members.access(lo[later] - 1) + 1
-    return lo, hi, base
+def find_in_ranges(pointers: EliasFano, members: EliasFano, row: np.ndarray, back: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place among the members or -1, begin of the range) of each number ``x``
+    in the range ``row[back]``. A member is written plus its range's base, one
+    more than the member before the range. That one and the first of the range
+    stand side by side and settle most numbers; the others are searched for."""
+    lo, hi = pointers.access_two(row)
+    base, first = np.zeros(len(row), np.int64), np.full(len(row), -1)
+    inner, at_start = np.flatnonzero((lo > 0) & (lo < hi)), np.flatnonzero((lo == 0) & (lo < hi))
+    before, first[inner] = members.access_two(lo[inner] - 1)
+    base[inner] = before + 1
+    first[at_start] = members.access(lo[at_start])
+    begin, x, first = lo[back], x + base[back], first[back]
+    out = np.where(x == first, begin, -1)
+    rest = np.flatnonzero((x > first) & (begin + 1 < hi[back]))
+    out[rest] = members.find(x[rest], begin[rest] + 1, hi[back[rest]])
+    return out, begin
 
 
 def gather(files: list[dict], name: str, share: np.ndarray, place: np.ndarray, missing: float) -> np.ndarray:
     """Dequantised values at places of shares; ``missing`` where place is -1."""
     out = np.full(len(share), missing)
-    for k, f in enumerate(files):
-        at = np.flatnonzero((share == k) & (place >= 0))
-        if len(at):
-            out[at] = f[name + "_table"][f[name][place[at]]]
+    for k, at in by_share(share, np.flatnonzero(place >= 0)):
+        out[at] = files[k][name + "_table"][files[k][name][place[at]]]
     return out
 
 
@@ -336,18 +364,19 @@ class Triples:
         """(discounted probability, back-off weight) of third words ``code``
         (-1: not a successor) after the bigrams at ``place`` of ``share``."""
         alpha, weight = np.zeros(len(share)), np.ones(len(share))
-        for k in range(self.meta.shards):
-            at = np.flatnonzero((share == k) & (place >= 0))
+        for k, at in by_share(share, np.flatnonzero(place >= 0)):
             f = self.files[k]
-            if not len(at) or not self.members[k].n:
+            if not self.members[k].n:
                 continue
             weight[at] = f["weight_table"][f["weight"][place[at]]]
             at = at[code[at] >= 0]
             if not len(at):
                 continue
-            node, back = np.unique(place[at], return_inverse=True)
-            lo, hi, base = range_of(self.pointers[k], self.members[k], node)
-            found = self.members[k].find(code[at] + base[back], lo[back], hi[back])
+            key, back = np.unique((place[at].astype(U) << U(32)) | code[at].astype(U), return_inverse=True)
+            node = (key >> U(32)).astype(np.int64)
+            head = np.r_[True, node[1:] != node[:-1]]
+            found, _ = find_in_ranges(self.pointers[k], self.members[k], node[head], np.cumsum(head) - 1, (key & U(0xFFFFFFFF)).astype(np.int64))
+            found = found[back]
             hit = np.flatnonzero(found >= 0)
             alpha[at[hit]] = f["alpha_table"][f["alpha"][found[hit]]]
         return alpha, weight
@@ -400,7 +429,7 @@ def train(docs: DataFrame, may_teach: Column, text_col: str = "text", min_count:
     def count_words(batches):
         send = Combiner(shards, lambda h: word_shard(h, shards))
         for batch in batches:
-            for s in tokens.slices(batch.column(0), lower=True):
+            for s in tokens.slices(batch.column(0), lower=True, slice_bytes=SLICE_BYTES):
                 yield from send.add(np.r_[tokens.word_hashes(s), np.full(s.n_texts, END)])
         yield from send.flush()
 
@@ -409,7 +438,7 @@ def train(docs: DataFrame, may_teach: Column, text_col: str = "text", min_count:
         save(folder, f"words-{key[0].as_py()}", {"hash": h, "count": n})
         return pa.table({"shard": [key[0].as_py()], "words": [len(h)], "total": [int(n.sum())]}, schema=pa.schema([("shard", pa.int32()), ("words", pa.int64()), ("total", pa.int64())]))
 
-    rows = texts.mapInArrow(count_words, BLOCKS).groupBy("shard").applyInArrow(write_words, "shard int, words long, total long").collect()  # one row per share
+    rows = texts.mapInArrow(tokens.tidy(count_words), BLOCKS).groupBy("shard").applyInArrow(freeing(write_words), "shard int, words long, total long").collect()  # one row per share
     sizes = {r.shard: r.words for r in rows}
     for k in set(range(shards)) - set(sizes):
         save(folder, f"words-{k}", {"hash": np.zeros(0, U), "count": np.zeros(0, np.int64)})
@@ -427,7 +456,7 @@ def _write_pairs(texts: DataFrame, meta: Meta) -> None:
     def count_pairs(batches):
         words, send = Words(meta), Combiner(shards, lambda p: pair_shard(p, shards))
         for batch in batches:
-            for s in tokens.slices(batch.column(0), lower=True):
+            for s in tokens.slices(batch.column(0), lower=True, slice_bytes=SLICE_BYTES):
                 t = with_signs(s, words.number, meta.start)
                 yield from send.add(pairs_at(t, t.places(1)))
         yield from send.flush()
@@ -453,7 +482,7 @@ def _write_pairs(texts: DataFrame, meta: Meta) -> None:
         first, group = np.unique(u, return_inverse=True)
         pointers, members = ranges(group, v, len(first))
         code, means = quantised(alpha)
-        save(folder, f"pairs-{k}", {**named("first", encode(first)), **named("pointers", pointers), **named("members", members), "alpha": code, "alpha_table": means, "count": n})
+        save(folder, f"pairs-{k}", {"first": first.astype(np.int32), **named("pointers", pointers), **named("members", members), "alpha": code, "alpha_table": means, "count": n})
 
     def write_backoff(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         words, k = Words(meta), key[0].as_py()
@@ -467,8 +496,8 @@ def _write_pairs(texts: DataFrame, meta: Meta) -> None:
 
     every = texts.sparkSession.range(shards + 1).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("block"))
     blank = every.where(F.col("shard") < shards)
-    some = lambda fn: lambda key, table: fn(key, table.filter(table.column("block").is_valid()))
-    counted = texts.mapInArrow(count_pairs, BLOCKS).unionByName(blank).groupBy("shard").applyInArrow(some(write), BLOCKS)
+    some = lambda fn: freeing(lambda key, table: fn(key, table.filter(table.column("block").is_valid())))
+    counted = texts.mapInArrow(tokens.tidy(count_pairs), BLOCKS).unionByName(blank).groupBy("shard").applyInArrow(some(write), BLOCKS)
     counted.unionByName(every).groupBy("shard").applyInArrow(some(write_backoff), "shard int").count()
 
 
@@ -478,14 +507,14 @@ def _write_triples(texts: DataFrame, meta: Meta) -> None:
     def count_triples(batches):
         words, pairs, send = Words(meta), Pairs(meta), [Combiner(1, lambda x: np.zeros(len(x), int)) for _ in range(shards)]
         for batch in batches:
-            for s in tokens.slices(batch.column(0), lower=True):
+            for s in tokens.slices(batch.column(0), lower=True, slice_bytes=SLICE_BYTES):
                 t = with_signs(s, words.number, meta.start)
                 at = t.places(2)
                 share, place, code = pair_places(pairs, t)
                 ok = at[(place[at - 1] >= 0) & (place[at] >= 0)]
                 key = (place[ok - 1].astype(U) << U(32)) | code[ok].astype(U)
-                for k in range(shards):
-                    yield from (renamed(b, k) for b in send[k].add(key[share[ok - 1] == k]))
+                for k, here in by_share(share[ok - 1], np.arange(len(ok))):
+                    yield from (renamed(b, k) for b in send[k].add(key[here]))
                 while sum(c.size for c in send) > HELD:
                     k = max(range(shards), key=lambda j: send[j].size)
                     yield from (renamed(b, k) for b in send[k].flush())
@@ -510,7 +539,7 @@ def _write_triples(texts: DataFrame, meta: Meta) -> None:
         return pa.table({"shard": pa.array([k], pa.int32())})
 
     blank = texts.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(None).cast("binary").alias("block"))
-    texts.mapInArrow(count_triples, BLOCKS).unionByName(blank).groupBy("shard").applyInArrow(write, "shard int").count()
+    texts.mapInArrow(tokens.tidy(count_triples), BLOCKS).unionByName(blank).groupBy("shard").applyInArrow(freeing(write), "shard int").count()
 
 
 def pair_places(pairs: Pairs, t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -538,17 +567,18 @@ class Model:
         """(tokens, known tokens, base score, score) of each text."""
         t = with_signs(s, self.words.number, self.meta.start)
         at = t.places(1)
-        count = self.words.count(t.number[at])
+        number, back = np.unique(t.number, return_inverse=True)
+        count = self.words.count(number)
         one = (count + 0.5) / (self.meta.total + 0.5 * (self.meta.n_words + 1))
         share, place, code = pair_places(self.pairs, t)
-        two = self.pairs.alpha(share[at], place[at]) + self.words.backoff(t.number[at - 1]) * one
+        two = self.pairs.alpha(share[at], place[at]) + self.words.backoff(number)[back[at - 1]] * one[back[at]]
         p = np.zeros(len(t.number))
         p[at] = two
         later = t.places(2)
         alpha, weight = self.triples.find(share[later - 1], place[later - 1], code[later])
         p[later] = alpha + weight * p[later]
         total = lambda x: np.add.reduceat(x, np.cumsum(t.n) - t.n)  # noqa: E731  every text has its end token
-        return t.n, total((count > 0).astype(np.int64)), total(np.log10(one)), total(np.log10(np.minimum(p[at], 1.0)))
+        return t.n, total((count > 0).astype(np.int64)[back[at]]), total(np.log10(one)[back[at]]), total(np.log10(np.minimum(p[at], 1.0)))
 
 
 def score(docs: DataFrame, meta: Meta, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -559,8 +589,8 @@ def score(docs: DataFrame, meta: Meta, id_col: str = "doc_id", text_col: str = "
         model = None
         for batch in batches:
             model = model or Model(meta)
-            for s in tokens.slices(batch.column(1), lower=True):
+            for s in tokens.slices(batch.column(1), lower=True, slice_bytes=SLICE_BYTES):
                 yield pa.record_batch([batch.column(0).slice(s.row, s.n_texts), *map(pa.array, model.score(s))], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.mapInArrow(tokens.tidy(run), "id long, n_tokens long, n_known long, base_score double, score double")

@@ -107,6 +107,58 @@ def test_elias_fano_against_numpy():
     assert (elias_fano.EliasFano(elias_fano.encode(weak)).access(np.arange(400)) == weak).all()
 
 
+class Counted:
+    """An array that counts its look-ups."""
+
+    def __init__(self, array):
+        self.array, self.calls = array, 0
+
+    def __getitem__(self, at):
+        self.calls += 1
+        return self.array[at]
+
+
+def test_select_in_a_long_run_takes_few_steps():
+    run = np.r_[np.arange(40_000), np.arange(1, 2001) * 10**6]  # a dense range, then few numbers far apart
+    e = elias_fano.EliasFano(elias_fano.encode(run))
+    for ones, total in ((True, e.n), (False, run[-1] >> e.bits)):
+        k = np.arange(0, total, 7)
+        places = np.flatnonzero(np.unpackbits(e.upper.view(np.uint8), bitorder="little") == ones)
+        e.rank = Counted(e.rank)
+        assert (e._select(k, ones) == places[k]).all()
+        assert e.rank.calls < 20  # word by word: one look-up for each of 600
+        e.rank = e.rank.array
+
+
+def test_neighbours_of_a_sequence():
+    rng = np.random.default_rng(6)
+    for n, top in ((2, 3), (300, 400), (3000, 10**9)):
+        x = np.sort(rng.integers(0, top, n))
+        e, i = elias_fano.EliasFano(elias_fano.encode(x)), np.arange(n - 1)
+        a, b = e.access_two(i)
+        assert (a == x[:-1]).all() and (b == x[1:]).all()
+
+
+def test_ranges_are_searched_as_dictionaries():
+    rng = np.random.default_rng(8)
+    group = np.sort(rng.choice([0, 1, 1, 1, 2, 5, 6, 6, 9], 400))
+    x = rng.integers(0, 500, 400)
+    group, x = np.unique(np.c_[group, x], axis=0).T
+    for groups in (10, 12):
+        pointers, members = (elias_fano.EliasFano(a) for a in ngram_trie.ranges(group, x, groups))
+        row, value = np.repeat(np.arange(groups), 500), np.tile(np.arange(500), groups)
+        got, begin = ngram_trie.find_in_ranges(pointers, members, np.arange(groups), row, value)
+        known = {(g, v): i for i, (g, v) in enumerate(zip(group.tolist(), x.tolist()))}
+        assert got.tolist() == [known.get(k, -1) for k in zip(row.tolist(), value.tolist())]
+        assert (begin == np.searchsorted(group, row)).all()
+
+
+def test_files_are_read_as_plain_arrays(tmp_path):
+    ngram_trie.save(tmp_path.as_uri(), "x", {"a": np.arange(5)})
+    a = ngram_trie.load(tmp_path.as_uri(), "x")["a"]
+    assert type(a) is np.ndarray and a.tolist() == [0, 1, 2, 3, 4]  # a memmap builds an object at each look-up
+
+
 def test_blocks_round_trip():
     keys = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
     counts = np.arange(1, 1001)
